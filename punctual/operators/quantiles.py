@@ -22,7 +22,7 @@ def group_quantiles(
 
     Two passes. The first takes approximate quantiles a little below and above each wanted
     one; their error is bounded, so each pair brackets the exact answer. The second keeps
-    single values only inside the brackets and collapses everything between two brackets to
+    single values only inside the brackets (or of small groups) and collapses everything between two brackets to
     one count, so the running count that finds the exact ranks sees a tiny part of the group.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -42,7 +42,8 @@ def group_quantiles(
 
     low = [F.col("_b")[2 * i] for i in range(len(wanted))]
     high = [F.col("_b")[2 * i + 1] for i in range(len(wanted))]
-    inside = F.lit(False)
+    # a group this small is simply kept; its brackets would be narrower than one rank
+    inside = F.col("_n") <= accuracy
     anchor = F.lit(float("-inf"))
     for lo, hi in zip(low, high):
         inside = inside | F.col("_v").between(lo, hi)

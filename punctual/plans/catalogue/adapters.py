@@ -1,7 +1,7 @@
 """The given tables in the roles the operators expect, in Spark and as SQL.
 
 ``events`` plays the order table: a time, an entity (user), a group (event type), a duration
-(value) and a count (k). ``lineitem`` with ``orders`` plays the raw order log with text
+(value, in whole hundredths, so that sums of it are exact) and a count (k). ``lineitem`` with ``orders`` plays the raw order log with text
 timestamps, twins, cancellations and impossible deliveries.
 """
 
@@ -21,11 +21,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def rules_minutes():
-    """Every term is a multiple of one half, so the estimate is exact in any engine."""
+    """An estimate in hundredths, like the value it is compared with."""
     return additive_rules(
-        base=20.0,
-        per_unit={"k": 0.5},
-        when=[(F.col("event_type") == "purchase", 5.0), (is_peak(), 10.0)],
+        base=2000.0,
+        per_unit={"k": 50.0},
+        when=[(F.col("event_type") == "purchase", 500.0), (is_peak(), 1000.0)],
     )
 
 
@@ -34,6 +34,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(spark, sf, "events")
     return raw.withColumns(
         {
+            "value": F.round(F.col("value") * 100),
             "k": F.get_json_object("props", "$.k").cast("int"),
             "hour": F.hour("ts"),
             "dow": iso_weekday("ts"),
@@ -43,14 +44,14 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 EVENTS = """
 ev0 as (
-  select event_id, ts, user_id, event_type, value,
+  select event_id, ts, user_id, event_type, round(value * 100) as value,
          cast(json_extract_string(props, '$.k') as int) as k,
          cast(hour(ts) as int) as hour, cast(isodow(ts) as int) as dow
   from events
 ),
 ev as (
-  select *, 20.0::double + k * 0.5::double + case when event_type = 'purchase' then 5.0::double else 0.0::double end
-         + case when hour in (12, 13, 19, 20) then 10.0::double else 0.0::double end as pred
+  select *, 2000.0::double + k * 50.0::double + case when event_type = 'purchase' then 500.0::double else 0.0::double end
+         + case when hour in (12, 13, 19, 20) then 1000.0::double else 0.0::double end as pred
   from ev0
 )"""
 
@@ -63,9 +64,9 @@ LONG_HOLDOUT_DAYS = 29
 def sides(days: int) -> str:
     """SQL for the time split of ``ev``: tables tr and te."""
     return f"""
-cut as (select max(ts) - interval {days} day as at from ev),
-tr as (select * from ev where ts < (select at from cut)),
-te as (select * from ev where ts >= (select at from cut))"""
+cut as (select max(ts) - interval {days} day as cut_at from ev),
+tr as (select * from ev where ts < (select cut_at from cut)),
+te as (select * from ev where ts >= (select cut_at from cut))"""
 
 
 def raw_orders(spark: SparkSession, sf: str) -> DataFrame:

@@ -28,13 +28,13 @@ from punctual.plans.catalogue.registry import query, rounded
     h as (select user_id, avg(value) as m from tr group by user_id),
     p as (select user_id, hour in (12, 13, 19, 20) as is_peak, avg(value) as m from tr group by 1, 2),
     g as (select avg(value) as m from tr),
-    both as (select *, 'train' as side from tr union all select *, 'test' from te)
+    merged as (select *, 'train' as side from tr union all select *, 'test' from te)
     select event_id, side, hour >= 21 or hour < 9 as is_night, hour in (12, 13, 19, 20) as is_peak, dow >= 6 as is_weekend,
            case when k <> 0 then value / k end as value_per_k,
-           round(coalesce(h.m, (select m from g)), 6) as user_mean,
-           round(coalesce(p.m, (select m from g)), 6) as user_peak_mean
-    from both left join h on both.user_id = h.user_id
-         left join p on both.user_id = p.user_id and (hour in (12, 13, 19, 20)) = p.is_peak
+           coalesce(h.m, (select m from g)) as user_mean,
+           coalesce(p.m, (select m from g)) as user_peak_mean
+    from merged left join h on merged.user_id = h.user_id
+         left join p on merged.user_id = p.user_id and (hour in (12, 13, 19, 20)) = p.is_peak
     """
 )
 def features_train_only(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def features_train_only(spark: SparkSession, sf: str) -> DataFrame:
     )
     columns = ["event_id", "is_night", "is_peak", "is_weekend", "value_per_k", "user_mean", "user_peak_mean"]
     parts = [df.select(F.lit(side).alias("side"), *columns) for side, df in zip(("train", "test"), built)]
-    return rounded(parts[0].unionByName(parts[1]), ["user_mean", "user_peak_mean"])
+    return parts[0].unionByName(parts[1])
 
 
 @query(
@@ -57,7 +57,7 @@ def features_train_only(spark: SparkSession, sf: str) -> DataFrame:
     with {EVENTS}, {sides(HOLDOUT_DAYS)},
     h as (select event_type, hour, avg(value) as m from tr group by 1, 2),
     g as (select avg(value) as m from tr)
-    select event_id, round(coalesce(h.m, (select m from g)), 6) as type_hour_mean
+    select event_id, coalesce(h.m, (select m from g)) as type_hour_mean
     from te left join h on te.event_type = h.event_type and te.hour = h.hour
     """
 )
@@ -65,7 +65,7 @@ def group_hour_history(spark: SparkSession, sf: str) -> DataFrame:
     """History over two keys, joined onto the held-out rows."""
     train, test = time_split(events(spark, sf), "ts", HOLDOUT_DAYS)
     history = fit_history(train, ["event_type", "hour"], "value", "type_hour_mean")
-    return rounded(history.apply(test).select("event_id", "type_hour_mean"), ["type_hour_mean"])
+    return history.apply(test).select("event_id", "type_hour_mean")
 
 
 @query(
@@ -113,12 +113,12 @@ def store_sql(source: str, name: str, stamp: str = STAMP) -> str:
 @query(
     f"""
     with {EVENTS}, {store_sql('ev', 'store')}
-    select user_id, event_type, value, k, round(pred, 6) as pred, orders_seen, computed_at, distance_unit from store
+    select user_id, event_type, value, k, pred, orders_seen, computed_at, distance_unit from store
     """
 )
 def feature_store(spark: SparkSession, sf: str) -> DataFrame:
     """A2 A3 A4: one row per entity with mode, medians, mean, count and stamps."""
-    return rounded(user_store(events(spark, sf)), ["pred"])
+    return user_store(events(spark, sf))
 
 
 @query(
@@ -133,16 +133,16 @@ def store_status(spark: SparkSession, sf: str) -> DataFrame:
     return store_info(user_store(events(spark, sf)), F.lit(NOW).cast("timestamp"))
 
 
-DEFAULTS = {"event_type": "none", "value": 35.0, "k": 50.0, "pred": 45.0}
+DEFAULTS = {"event_type": "none", "value": 3500.0, "k": 50.0, "pred": 4500.0}
 
 
 @query(
     f"""
     with {EVENTS}, {sides(LONG_HOLDOUT_DAYS)}, {store_sql('tr', 'store')}
     select event_id, case when s.user_id is null then 'none' else s.event_type end as event_type,
-           case when s.user_id is null then 35.0 else s.value end as value,
+           case when s.user_id is null then 3500.0 else s.value end as value,
            case when s.user_id is null then 50.0 else s.k end as k,
-           round(case when s.user_id is null then 45.0 else s.pred end, 6) as pred,
+           case when s.user_id is null then 4500.0 else s.pred end as pred,
            s.user_id is null as used_default_profile
     from te left join store s on te.user_id = s.user_id
     """
@@ -152,7 +152,7 @@ def lookup_with_default_profile(spark: SparkSession, sf: str) -> DataFrame:
     train, test = time_split(events(spark, sf), "ts", LONG_HOLDOUT_DAYS)
     requests = test.select("event_id", "user_id")
     served = lookup_with_default(requests, user_store(train), "user_id", DEFAULTS)
-    return rounded(served.drop("user_id"), ["pred"])
+    return served.drop("user_id")
 
 
 @query(
@@ -170,7 +170,7 @@ def silent_fallback_rates(spark: SparkSession, sf: str) -> DataFrame:
     profiles = train.groupBy("user_id").agg(
         F.max(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("value")
     )
-    served = lookup_with_default(test.select("event_id", "user_id"), profiles, "user_id", {"value": 35.0})
+    served = lookup_with_default(test.select("event_id", "user_id"), profiles, "user_id", {"value": 3500.0})
     filled = fill_zero(served.withColumn("value", to_number("value")), ["value"])
     return silent_fallbacks(filled, "used_default_profile", "filled")
 
@@ -195,7 +195,7 @@ def corrupted(store: DataFrame) -> DataFrame:
     union all
     select 'k', 0.0, 1.0, quantile_cont(k, 0.5), null, null, 'nulls' from store
     union all
-    select 'pred', 0.0, 0.0, round(quantile_cont(pred, 0.5), 6), round(quantile_cont(pred, 0.5), 6), 1.0, 'ok' from store
+    select 'pred', 0.0, 0.0, round(quantile_cont(pred, 0.5), 3), round(quantile_cont(pred, 0.5), 3), 1.0, 'ok' from store
     """
 )
 def store_drift_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,7 +205,7 @@ def store_drift_report(spark: SparkSession, sf: str) -> DataFrame:
     store = settle(user_store(events(spark, sf)))
     return rounded(
         store_drift(store, corrupted(store), ["value", "k", "pred"]).withColumns(
-            {c: F.when(F.col("feature") == "pred", F.round(c, 6)).otherwise(F.col(c)) for c in ("old_median", "new_median")}
+            {c: F.when(F.col("feature") == "pred", F.round(c, 3)).otherwise(F.col(c)) for c in ("old_median", "new_median")}
         ),
         ["old_null_rate", "new_null_rate"],
     )
@@ -232,15 +232,15 @@ def store_alarm_list(spark: SparkSession, sf: str) -> DataFrame:
     f"""
     with {EVENTS}, {store_sql('ev', 'store')},
     served as (select s.value, s.k from ev join store s on ev.user_id = s.user_id)
-    select 'value' as feature, round((select avg(value) from ev), 6) as train_mean,
-           round((select avg(value) from served), 6) as served_mean
+    select 'value' as feature, (select avg(value) from ev) as train_mean,
+           (select avg(value) from served) as served_mean
     union all
-    select 'k', round((select avg(k) from ev), 6), round((select avg(k) from served), 6)
+    select 'k', (select avg(k) from ev), (select avg(k) from served)
     """
 )
 def train_serve_skew(spark: SparkSession, sf: str) -> DataFrame:
     """Mean of a feature where it is learned (per row) and where it is served (per entity)."""
     rows = events(spark, sf)
     store = user_store(rows)
-    served = lookup_with_default(rows.select("event_id", "user_id"), store, "user_id", {"value": 35.0, "k": 50.0})
-    return rounded(skew_between(rows, served, ["value", "k"]), ["train_mean", "served_mean"])
+    served = lookup_with_default(rows.select("event_id", "user_id"), store, "user_id", {"value": 3500.0, "k": 50.0})
+    return skew_between(rows, served, ["value", "k"])

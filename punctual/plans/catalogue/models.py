@@ -87,7 +87,7 @@ def sampler_models(spark: SparkSession, sf: str) -> DataFrame:
 def rare_class_models(spark: SparkSession, sf: str) -> DataFrame:
     """Plain against weighted, and the best threshold."""
     train, test = _sides(spark, sf)
-    late = (F.col("value") > 90).cast("int")
+    late = (F.col("value") > 9000).cast("int")
     return imbalance_bakeoff(
         train.withColumn("late", late), test.withColumn("late", late), FEATURES, "late", categorical=GROUPS, **SMALL
     )

@@ -145,14 +145,15 @@ def sampler_night_rows(spark: SparkSession, sf: str) -> DataFrame:
     f"""
     with {EVENTS}
     select event_id, event_type, hour, k, pred, value, '' as acceptable
-    from ev where abs(value - pred) <= 6
+    from ev where abs(value - pred) <= 600
     order by md5(concat('8', event_id)), event_id limit 20
     """
 )
 def borderline_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Twenty rows for a reviewer."""
     return borderline_sheet(
-        events(spark, sf), "event_id", "value", "pred", ["event_id", "event_type", "hour", "k", "pred", "value"]
+        events(spark, sf), "event_id", "value", "pred", ["event_id", "event_type", "hour", "k", "pred", "value"],
+        band=600,
     )
 
 

@@ -11,7 +11,7 @@ from punctual.operators.split import time_split
 from punctual.plans.catalogue.adapters import EVENTS, LONG_HOLDOUT_DAYS, events, rules_minutes, sides, table
 from punctual.plans.catalogue.history import store_sql, user_store
 from punctual.plans.catalogue.quality import request_bodies
-from punctual.plans.catalogue.registry import query, rounded
+from punctual.plans.catalogue.registry import query
 from punctual.functions.calendar import iso_weekday
 from punctual.session import shared_path
 from punctual.sources.versions import publish, read_version
@@ -25,7 +25,7 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
     raw = event_time(file_stream(spark, sf, schema, pattern="events.parquet"), "ts")
     return raw.withColumns(
-        {"k": F.get_json_object("props", "$.k").cast("int"), "hour": F.hour("ts"), "dow": iso_weekday("ts")}
+        {"value": F.round(F.col("value") * 100), "k": F.get_json_object("props", "$.k").cast("int"), "hour": F.hour("ts"), "dow": iso_weekday("ts")}
     ).withColumn("pred", rules_minutes())
 
 
@@ -36,8 +36,8 @@ def _rows(spark: SparkSession, out: str) -> DataFrame:
 @query(
     f"""
     with {EVENTS}
-    select date_trunc('day', ts)::timestamp as window_start, count(*) as rows, round(avg(pred - value), 6) as bias,
-           round(avg(abs(pred - value)), 6) as mae
+    select date_trunc('day', ts)::timestamp as window_start, count(*) as rows, avg(pred - value) as bias,
+           avg(abs(pred - value)) as mae
     from ev group by 1
     having date_trunc('day', min(ts)) + interval 1 day <= (select max(ts) from ev) - interval 1 hour
     """
@@ -46,11 +46,10 @@ def stream_daily_bias(spark: SparkSession, sf: str) -> DataFrame:
     """Bias per day, emitted once the watermark has closed the day."""
     out = shared_path(spark, "daily-bias")
     drain(bias_by_window(event_stream(spark, sf), "ts", "pred", "value"), out)
-    closed = _rows(spark, out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-    return rounded(closed, ["bias", "mae"])
+    return _rows(spark, out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("select event_id, user_id, event_type, value from events")
+@query("select event_id, user_id, event_type, round(value * 100) as value from events")
 def stream_drop_twins(spark: SparkSession, sf: str) -> DataFrame:
     """Every event written twice by its source; one of each comes out."""
     out = shared_path(spark, "twins")
@@ -62,7 +61,7 @@ def stream_drop_twins(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-    select p.event_id, p.user_id, d.event_id as delivered_id, date_diff('second', p.ts, d.ts) / 60.0::double as actual_minutes
+    select p.event_id, p.user_id, d.event_id as delivered_id, cast(floor((epoch_us(d.ts) - epoch_us(p.ts)) / 1000000) as bigint) / 60.0::double as actual_minutes
     from events p join events d on p.user_id = d.user_id
       and d.ts > p.ts and d.ts < p.ts + interval 12 hour
     where p.event_type = 'view' and d.event_type = 'purchase'
@@ -79,7 +78,6 @@ def stream_deliveries(spark: SparkSession, sf: str) -> DataFrame:
     )
     matched = deliveries(placed, delivered, on=["user_id"], placed_at="placed_at", delivered_at="delivered_at")
     drain(matched.select("event_id", "user_id", "delivered_id", "actual_minutes"), out)
-    # seconds between instants are cut to whole seconds on both sides
     return _rows(spark, out)
 
 
@@ -96,8 +94,8 @@ SCORED_DEFAULTS = {"event_type": "none", "k": 50.0}
                  hour(rq.ts) as hour
           from rq left join store s on rq.user_id = s.user_id)
     select concat('E', event_id) as order_id, used_default_profile,
-           20.0 + k * 0.5 + case when event_type = 'purchase' then 5.0 else 0.0 end
-           + case when hour in (12, 13, 19, 20) then 10.0 else 0.0 end as pred,
+           2000.0 + k * 50.0 + case when event_type = 'purchase' then 500.0 else 0.0 end
+           + case when hour in (12, 13, 19, 20) then 1000.0 else 0.0 end as pred,
            cast(1 as bigint) as store_version
     from x
     """

@@ -45,18 +45,21 @@ def askers(
     }
 
 
-def same_answers(answers: dict[str, DataFrame], by: str, digits: int = 6) -> DataFrame:
-    """Per group, the answer of each variant and whether all agree to ``digits`` decimals."""
+def same_answers(answers: dict[str, DataFrame], by: str, tolerance: float = 1e-9) -> DataFrame:
+    """Per group, the answer, and whether all variants agree on it to a relative ``tolerance``."""
     stacked = None
     for name, answer in answers.items():
         measure = next(c for c in answer.columns if c.startswith("mean_"))
-        part = answer.select(by, F.lit(name).alias("variant"), F.round(measure, digits).alias("answer"), "rows")
+        part = answer.select(by, F.lit(name).alias("variant"), F.col(measure).alias("answer"), "rows")
         stacked = part if stacked is None else stacked.unionByName(part)
     return stacked.groupBy(by).agg(
         F.count(F.lit(1)).alias("variants"),
         F.max("answer").alias("answer"),
         F.max("rows").alias("rows"),
-        ((F.min("answer") == F.max("answer")) & (F.min("rows") == F.max("rows"))).alias("agree"),
+        (
+            (F.max("answer") - F.min("answer") <= F.abs(F.max("answer")) * tolerance)
+            & (F.min("rows") == F.max("rows"))
+        ).alias("agree"),
     )
 
 

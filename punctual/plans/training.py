@@ -109,10 +109,10 @@ def fit_classifier(
     shared_root(train.sparkSession)
     _check_categories(train, [c for c in categorical if c in features])
     learner = GBTClassifier(
-        featuresCol="_features", labelCol=target, predictionCol="_class", probabilityCol="_probability",
-        rawPredictionCol="_raw", maxIter=trees, maxDepth=depth, maxBins=MAX_CATEGORIES, seed=seed,
-        checkpointInterval=10,
+        featuresCol="_features", labelCol=target, predictionCol="_class", maxIter=trees, maxDepth=depth,
+        maxBins=MAX_CATEGORIES, seed=seed, checkpointInterval=10,
     )
+    learner = learner.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     columns = [*features, F.col(target).cast("double").alias(target)]
     if weight:
         learner = learner.setWeightCol(weight)

@@ -1,10 +1,8 @@
-"""Declared schemas of the tables the library reads from text formats or streams."""
+"""Declared schemas, as DDL text, of the tables read from text formats or streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-RAW_ORDERS = T.StructType.fromDDL(
+RAW_ORDERS = (
     "order_id string, placed_at string, city string, restaurant_id string, courier_id string, status string, "
     "distance_km double, n_items int, subtotal_inr double, weather string, is_weekend boolean, "
     "courier_rating double, restaurant_prep_min_estimate double, promised_eta_min double, "
@@ -14,20 +12,20 @@ RAW_ORDERS = T.StructType.fromDDL(
     "sla_breach boolean"
 )
 
-FEATURE_STORE = T.StructType.fromDDL(
+FEATURE_STORE = (
     "restaurant_id string, city string, distance_km double, prep_min_estimate double, courier_rating double, "
     "promised_eta_min double, orders_seen long, computed_at string, distance_unit string"
 )
 
-REQUEST = T.StructType.fromDDL(
+REQUEST = (
     "order_id string, restaurant_id string, n_items int, weather string, placed_at string"
 )
 
-LABEL_SHEET = T.StructType.fromDDL(
+LABEL_SHEET = (
     "order_id string, city string, hour int, weather string, distance_km double, n_items int, "
     "promised_eta_min double, actual_minutes double, acceptable string"
 )
 
-RUNS = T.StructType.fromDDL(
+RUNS = (
     "name string, params map<string,string>, metrics map<string,double>, logged_at timestamp"
 )

@@ -15,13 +15,13 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, columns: list[str] | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, columns: list[str] | None = None) -> DataFrame:
     """CSV with a header and a declared schema, so that no pass over the text is spent on guessing types."""
     df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return df.select(*columns) if columns else df
 
 
-def read_orders(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_orders(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Raw orders from Parquet, with NaN measures as null."""
     return nan_to_null(spark.read.schema(schema).parquet(path))
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 
 def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, *, pattern: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, schema: StructType | str, *, pattern: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
     """New Parquet files of a folder as a stream."""
     reader = spark.readStream.schema(schema)
@@ -41,7 +41,7 @@ def drain(df: DataFrame, out: str, *, mode: str = "append") -> StreamingQuery:
     return query
 
 
-def drained(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+def drained(spark: SparkSession, out: str, schema: StructType | str) -> DataFrame:
     """What ``drain`` wrote; with the schema given, also when it wrote nothing."""
     return spark.read.schema(schema).parquet(os.path.join(out, "rows"))
 
