@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.features import flags, ratio
-from punctual.operators.lookup import attach
-from punctual.session import settle
+from punctual.operators.lookup import attach, estimated_bytes, size_metrics
+from punctual.session import settle_observed
 
 
 @dataclass(frozen=True)
@@ -20,22 +20,23 @@ class History:
     name: str
     table: DataFrame
     fallback: float
+    size: int
 
     def apply(self, rows: DataFrame) -> DataFrame:
         rows = rows.drop(self.name)
-        joined = attach(rows, self.table.select(*self.keys, self.name), list(self.keys), stored=True)
+        joined = attach(rows, self.table.select(*self.keys, self.name), list(self.keys), size=self.size)
         return joined.withColumn(self.name, F.coalesce(F.col(self.name), F.lit(self.fallback)))
 
 
 def fit_history(train: DataFrame, keys: list[str], target: str, name: str) -> History:
     """One grouped pass over ``train``; the table is written once and shared by every use."""
-    sums = settle(
-        train.groupBy(*keys).agg(
-            F.avg(target).alias(name), F.sum(target).alias("_total"), F.count(target).alias("_n")
-        )
+    sums = train.groupBy(*keys).agg(
+        F.avg(target).alias(name), F.sum(target).alias("_total"), F.count(target).alias("_n")
     )
-    total, n = sums.agg(F.sum("_total"), F.sum("_n")).first()
-    return History(tuple(keys), name, sums, total / n if n else float("nan"))
+    metrics = {**size_metrics(sums), "total": F.sum("_total"), "n": F.sum("_n")}
+    sums, seen = settle_observed(sums, metrics)
+    fallback = seen["total"] / seen["n"] if seen["n"] else float("nan")
+    return History(tuple(keys), name, sums, fallback, estimated_bytes(sums, seen))
 
 
 # The histories that the order table is given, by output name.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.functions.calendar import calendar
@@ -96,13 +96,9 @@ def drop_ledger(df: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
             ).otherwise(F.array(F.struct(F.col("reason").alias("outcome"), F.col("n").alias("rows"))))
         )
     )
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        lines.groupBy("outcome")
-        .agg(F.sum("rows").alias("rows"))
-        .filter(F.col("rows") > 0)
-        .withColumn("share", F.col("rows") / total)
-    )
+    ledger = lines.groupBy("outcome").agg(F.sum("rows").alias("rows")).filter(F.col("rows") > 0)
+    # at most one line per outcome is left here
+    return ledger.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy()))
 
 
 def naive_minutes_by_group(df: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctual.session import settle
+from punctual.session import settle_observed
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key counts as hot from 1/HOT_SHARE of all rows, so there can be at most HOT_SHARE hot keys.
@@ -19,18 +19,37 @@ HOT_SHARE = 1000
 SALTS = 64
 
 
-def measured_bytes(table: DataFrame) -> int:
-    """Upper estimate of the in-memory size of a (settled or stored) table."""
-    width, variable = 16, []
+def _text_bytes(table: DataFrame) -> Column | None:
+    lengths = []
     for field in table.schema:
-        if isinstance(field.dataType, T.StringType):
-            variable.append(F.octet_length(field.name))
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            lengths.append(F.octet_length(field.name))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            variable.append(F.octet_length(F.to_json(F.struct(field.name))) * 2)
-        width += 16
-    text = sum((F.coalesce(F.sum(c), F.lit(0)) for c in variable), F.lit(0))
-    rows, extra = table.agg(F.count(F.lit(1)), text).first()
-    return rows * width + extra
+            lengths.append(F.octet_length(F.to_json(F.struct(field.name))) * 2)
+    return sum((F.coalesce(F.sum(c), F.lit(0)) for c in lengths), F.lit(0)) if lengths else None
+
+
+def size_metrics(table: DataFrame) -> dict[str, Column]:
+    """Aggregates from which ``estimated_bytes`` tells the in-memory size of ``table``."""
+    text = _text_bytes(table)
+    return {"_rows": F.count(F.lit(1)), "_text": F.lit(0) if text is None else text}
+
+
+def estimated_bytes(table: DataFrame, metrics: dict) -> int:
+    return metrics["_rows"] * 16 * (1 + len(table.columns)) + metrics["_text"]
+
+
+def stored_fits(table: DataFrame, limit: int) -> bool:
+    """Whether a table read from files stays below ``limit`` bytes in memory.
+
+    Rows are counted first, which reads no column of a Parquet file; only a table that may
+    still fit has its texts measured.
+    """
+    text = _text_bytes(table)
+    size = estimated_bytes(table, {"_rows": table.count(), "_text": 0})
+    if size > limit or text is None:
+        return size <= limit
+    return size + table.agg(text).first()[0] <= limit
 
 
 def attach(
@@ -40,25 +59,33 @@ def attach(
     how: str = "left",
     *,
     stored: bool = False,
+    size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``facts`` with a ``table`` that has one row per ``on``.
 
     ``stored`` says that ``table`` is read straight from files, so that measuring it is cheap
-    and it need not be written out first.
+    and it need not be written out first; ``size`` that it is settled and already measured.
     """
     on = [on] if isinstance(on, str) else list(on)
-    table = table if stored else settle(table)
-    if measured_bytes(table) <= broadcast_bytes:
-        return facts.join(F.broadcast(table), on, how)
-    return salted_join(facts, table, on, how)
+    if size is not None:
+        small = size <= broadcast_bytes
+    elif stored:
+        small = stored_fits(table, broadcast_bytes)
+    else:
+        table, metrics = settle_observed(table, size_metrics(table))
+        small = estimated_bytes(table, metrics) <= broadcast_bytes
+    return facts.join(F.broadcast(table), on, how) if small else salted_join(facts, table, on, how)
 
 
-def hot_keys(facts: DataFrame, on: list[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``1/share`` of all rows: never more than ``share`` of them."""
-    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.agg((F.count(F.lit(1)) / F.lit(share)).alias("floor")).scalar()
-    return counts.filter(F.col("_n") >= total).select(*on)
+def hot_hashes(facts: DataFrame, on: list[str], share: int = HOT_SHARE) -> list[int]:
+    """Hashes of all keys that hold at least ``1/share`` of the rows, and perhaps of a few more.
+
+    One pass with a bounded number of counters per task, merged to at most ``share`` items;
+    no key that is hot is ever missed.
+    """
+    keys = facts.select(F.xxhash64(*on).alias("h"))
+    return list(keys.stat.freqItems(["h"], 1.0 / share).first()[0])
 
 
 def salted_join(
@@ -75,20 +102,15 @@ def salted_join(
     Only the table rows of hot keys are repeated. The salt comes from the row's content and
     its input partition, so copies of one row spread too and a retried task salts alike.
     """
-    hot = settle(hot_keys(facts, on, share)).withColumn("_hot", F.lit(True))
-    scatter = F.pmod(F.xxhash64(F.spark_partition_id(), F.struct(*facts.columns)), F.lit(salts)).cast("int")
-    left = (
-        facts.withColumn("_scatter", scatter)
-        .join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.col("_scatter")).otherwise(F.lit(0)))
-        .drop("_hot", "_scatter")
-    )
+    hot = hot_hashes(facts, on, share)
+    if not hot:
+        return facts.join(table, on, how)
+    is_hot = F.xxhash64(*on).isin(hot)
+    content = [f.name for f in facts.schema if "map<" not in f.dataType.simpleString()]
+    scatter = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(salts)).cast("int")
+    left = facts.withColumn("_salt", F.when(is_hot, scatter).otherwise(F.lit(0)))
     every, first = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
-    right = (
-        table.join(F.broadcast(hot), on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every).otherwise(first)))
-        .drop("_hot")
-    )
+    right = table.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(first)))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.operators.lookup import attach
+from punctual.operators.lookup import attach, estimated_bytes, size_metrics
+from punctual.session import settle_observed
 
 ACCURACY = 10_000
+# If no group has more rows than this, Spark's own exact percentile can hold any of them.
+DIRECT_ROWS = 100_000
 
 
 def group_quantiles(
@@ -17,10 +20,11 @@ def group_quantiles(
     probabilities: dict[str, float],
     *,
     accuracy: int = ACCURACY,
+    direct_rows: int = DIRECT_ROWS,
 ) -> DataFrame:
     """One row per group with one column per entry of ``probabilities`` (name -> 0..1).
 
-    Two passes. The first takes approximate quantiles a little below and above each wanted
+    Two passes. The first finds the size of the groups and takes approximate quantiles a little below and above each wanted
     one; their error is bounded, so each pair brackets the exact answer. The second keeps
     single values only inside the brackets (or of small groups) and collapses everything between two brackets to
     one count, so the running count that finds the exact ranks sees a tiny part of the group.
@@ -38,7 +42,11 @@ def group_quantiles(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", points, accuracy).alias("_b"),
     )
-    tagged = attach(data, summary, keys_used, "inner")
+    summary, seen = settle_observed(summary, {**size_metrics(summary), "_most": F.max("_n")})
+    if (seen["_most"] or 0) <= direct_rows:
+        exact = [F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probabilities.items()]
+        return data.groupBy(*keys_used).agg(*exact).select(*keys, *probabilities)
+    tagged = attach(data, summary, keys_used, "inner", size=estimated_bytes(summary, seen))
 
     low = [F.col("_b")[2 * i] for i in range(len(wanted))]
     high = [F.col("_b")[2 * i + 1] for i in range(len(wanted))]

@@ -1,8 +1,8 @@
 """Exact, repeatable samples of any size.
 
 Rows are ordered by a keyed hash of their id (or by time), and a sample is "everything up to
-a cutoff". The cutoff is found from bucket counts: the bucket it falls in is known exactly,
-and only that bucket is ranked. No step sorts the table or gathers a stratum in one task.
+a cutoff". The cutoff is found by counting cells: the cell it falls in is known exactly, and
+only that cell is ranked. No step sorts the table or gathers a stratum in one task.
 """
 
 from __future__ import annotations
@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.operators.lookup import attach
-from punctual.session import settle
+from punctual.operators.lookup import attach, estimated_bytes, size_metrics
+from punctual.session import settle, settle_observed
 
-ROWS_PER_BUCKET = 500_000
-_SPAN = float(16**12)
+# Above this many rows a cell is divided again before its rows are ranked.
+ROWS_PER_CELL = 500_000
+# How many leading hex digits of the hash make up each level of cells.
+DIGITS = (3, 6, 9)
 
 
 def shuffle_key(row_id: str, seed: int) -> Column:
@@ -24,15 +26,12 @@ def shuffle_key(row_id: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), F.col(row_id).cast("string")).cast("binary"))
 
 
-def _hash_bucket(key: str, buckets: int) -> Column:
-    """Equal-width buckets over the hash, in hash order."""
-    unit = F.conv(F.substring(F.col(key), 1, 12), 16, 10).cast("long").cast("double") / F.lit(_SPAN)
-    return F.floor(unit * F.lit(float(buckets)))
+def _hashed(df: DataFrame, row_id: str, seed: int) -> DataFrame:
+    keyed = df.withColumn("_key", shuffle_key(row_id, seed))
+    return keyed.withColumns({f"_cell{n}": F.substring("_key", 1, n) for n in DIGITS})
 
 
-def _hashed(df: DataFrame, row_id: str, seed: int, rows_per_bucket: int) -> DataFrame:
-    buckets = max(16, -(-df.count() // rows_per_bucket))
-    return df.withColumn("_key", shuffle_key(row_id, seed)).withColumn("_bucket", _hash_bucket("_key", buckets))
+_HASH_LEVELS = [f"_cell{n}" for n in DIGITS]
 
 
 def _cutoffs(
@@ -41,31 +40,37 @@ def _cutoffs(
     order: list[str],
     levels: list[str],
     quota: Callable[[Column, Column], Column],
+    rows_per_cell: int,
 ) -> DataFrame:
     """Per stratum, the last row (by ``order``) that still belongs to the sample.
 
     Each entry of ``levels`` is a column that never decreases along ``order`` among the rows
-    that agree on the levels before it. Counting per level narrows the search to one cell;
-    the rows of the last cell are ranked. ``quota`` maps (rows in the stratum, rows in total)
-    to the number of rows wanted.
+    that agree on the levels before it. Counting per level narrows the search to one cell per
+    stratum, until those cells are small enough to rank. ``quota`` maps (rows in the stratum,
+    rows in total) to the number of rows wanted.
     """
     within = Window.partitionBy(*strata)
-    inside, wanted = ordered, None
-    for level in levels:
-        counts = settle(inside.groupBy(*strata, level, *(["_left"] if wanted else [])).agg(F.count(F.lit(1)).alias("_c")))
+    inside = ordered
+    for depth, level in enumerate(levels):
+        known = ["_left"] if depth else []
+        counts = settle(inside.groupBy(*strata, level, *known).agg(F.count(F.lit(1)).alias("_c")))
         running = within.orderBy(level).rowsBetween(Window.unboundedPreceding, 0)
         sized = counts.withColumn("_upto", F.sum("_c").over(running))
-        if not wanted:
+        if not known:
             total = counts.agg(F.sum("_c").alias("n")).scalar()
             sized = sized.withColumn("_size", F.sum("_c").over(within))
             sized = sized.withColumn("_left", F.least(quota(F.col("_size"), total).cast("long"), F.col("_size")))
         before = F.col("_upto") - F.col("_c")
         edges = sized.filter((before < F.col("_left")) & (F.col("_left") <= F.col("_upto"))).select(
-            *strata, F.col(level).alias("_edge"), (F.col("_left") - before).alias("_left")
+            *strata, F.col(level).alias("_edge"), (F.col("_left") - before).alias("_left"), "_c"
+        )
+        edges, seen = settle_observed(edges, {**size_metrics(edges), "_most": F.max("_c")})
+        narrowed = attach(
+            inside.drop("_left"), edges.drop("_c"), strata, "inner", size=estimated_bytes(edges, seen)
         )
-        narrowed = attach(inside.drop("_left"), edges, strata, "inner")
         inside = narrowed.filter(F.col(level) == F.col("_edge")).drop("_edge")
-        wanted = True
+        if (seen["_most"] or 0) <= rows_per_cell:
+            break
     rank = F.row_number().over(within.orderBy(*order))
     last = inside.withColumn("_rank", rank).filter(F.col("_rank") == F.col("_left"))
     return last.select(*strata, F.struct(*order).alias("_last"))
@@ -79,9 +84,10 @@ def _take(
     quota: Callable[[Column, Column], Column],
     columns: list[str],
     mark: str | None,
+    rows_per_cell: int,
 ) -> DataFrame:
     narrow = ordered.select(*dict.fromkeys([*strata, *order, *levels]))
-    cutoffs = _cutoffs(narrow, strata, order, levels, quota)
+    cutoffs = _cutoffs(narrow, strata, order, levels, quota, rows_per_cell)
     here = F.struct(*order)
     if mark is None:
         return attach(ordered, cutoffs, strata, "inner").filter(here <= F.col("_last")).select(*columns)
@@ -97,18 +103,18 @@ def take_by_hash(
     strata: list[str] | None = None,
     seed: int = 2026,
     mark: str | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_cell: int = ROWS_PER_CELL,
 ) -> DataFrame:
     """From each stratum exactly ``quota(stratum rows, all rows)`` rows, chosen by hash order.
 
     With ``mark`` all rows are kept and the chosen ones are flagged in that column.
     ``row_id`` must be unique.
     """
-    keyed = _hashed(df, row_id, seed, rows_per_bucket)
+    keyed = _hashed(df, row_id, seed)
     groups = list(strata or [])
     if not groups:
         keyed, groups = keyed.withColumn("_all", F.lit(0)), ["_all"]
-    return _take(keyed, groups, ["_key", row_id], ["_bucket"], quota, df.columns, mark)
+    return _take(keyed, groups, ["_key", row_id], _HASH_LEVELS, quota, df.columns, mark, rows_per_cell)
 
 
 def simple_random(df: DataFrame, n: int, row_id: str, *, seed: int = 2026, **options) -> DataFrame:
@@ -132,17 +138,17 @@ def shuffled_split(df: DataFrame, row_id: str, *, fraction: float = 0.8, seed: i
 
 
 def convenience(
-    df: DataFrame, n: int, ts: str, row_id: str, *, seed: int = 0, rows_per_bucket: int = ROWS_PER_BUCKET
+    df: DataFrame, n: int, ts: str, row_id: str, *, seed: int = 0, rows_per_cell: int = ROWS_PER_CELL
 ) -> DataFrame:
     """The first ``n`` rows by time; rows of the very same time follow in hash order.
 
-    Narrowed by minute, then exact time, then hash bucket, so neither a crowded minute nor
-    a crowded instant has to be ranked as a whole.
+    Narrowed by minute, then exact time, then hash, so neither a crowded minute nor a crowded
+    instant has to be ranked as a whole.
     """
     minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts).cast("timestamp_ntz"))
-    ordered = _hashed(df, row_id, seed, rows_per_bucket).withColumns({"_minute": minute, "_all": F.lit(0)})
-    order, levels = [ts, "_key", row_id], ["_minute", ts, "_bucket"]
-    return _take(ordered, ["_all"], order, levels, lambda size, total: F.lit(n), df.columns, None)
+    ordered = _hashed(df, row_id, seed).withColumns({"_minute": minute, "_all": F.lit(0)})
+    order, levels = [ts, "_key", row_id], ["_minute", ts, *_HASH_LEVELS]
+    return _take(ordered, ["_all"], order, levels, lambda size, total: F.lit(n), df.columns, None, rows_per_cell)
 
 
 def undersample(df: DataFrame, row_id: str, label: str, *, per_rare: float = 1.0, seed: int = 2026) -> DataFrame:
@@ -194,9 +200,9 @@ def borderline_sheet(
 
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Balanced weight per class: rows / (classes x rows of the class)."""
-    counts = settle(df.groupBy(label).agg(F.count(F.lit(1)).alias("n")))
-    rows, classes = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
-    return counts.withColumn(name, F.lit(rows).cast("double") / (F.lit(classes) * F.col("n")))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts, seen = settle_observed(counts, {"rows": F.sum("n"), "classes": F.count(F.lit(1))})
+    return counts.withColumn(name, F.lit(seen["rows"]).cast("double") / (F.lit(seen["classes"]) * F.col("n")))
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:

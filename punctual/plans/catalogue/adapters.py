@@ -7,7 +7,7 @@ timestamps, twins, cancellations and impossible deliveries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.functions.calendar import is_peak, iso_weekday
@@ -29,12 +29,17 @@ def rules_minutes():
     )
 
 
+def hundredths(column: str) -> Column:
+    """A two-decimal amount in whole hundredths, still a double."""
+    return F.floor(F.col(column) * 100 + F.lit(0.5)).cast("double")
+
+
 def events(spark: SparkSession, sf: str) -> DataFrame:
     """event_id, ts, user_id, event_type, value, k, hour, dow and the rules' estimate ``pred``."""
     raw = table(spark, sf, "events")
     return raw.withColumns(
         {
-            "value": F.round(F.col("value") * 100),
+            "value": hundredths("value"),
             "k": F.get_json_object("props", "$.k").cast("int"),
             "hour": F.hour("ts"),
             "dow": iso_weekday("ts"),
@@ -44,7 +49,7 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 EVENTS = """
 ev0 as (
-  select event_id, ts, user_id, event_type, round(value * 100) as value,
+  select event_id, ts, user_id, event_type, floor(value * 100 + 0.5::double) as value,
          cast(json_extract_string(props, '$.k') as int) as k,
          cast(hour(ts) as int) as hour, cast(isodow(ts) as int) as dow
   from events
@@ -81,7 +86,7 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select(
         F.concat_ws(
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            F.col("l_quantity").cast("int"), F.round(F.col("l_extendedprice") * 100).cast("long"),
+            F.col("l_quantity").cast("int"), hundredths("l_extendedprice").cast("long"),
         ).alias("order_id"),
         text(F.col("o_orderdate")).alias("placed_at"),
         F.col("o_orderpriority").alias("city"),
@@ -105,7 +110,7 @@ RAW_RULES = LabelRules(
 RAW_ORDERS = """
 raw_orders as (
   select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int),
-                   cast(round(l_extendedprice * 100) as bigint)) as order_id,
+                   cast(floor(l_extendedprice * 100 + 0.5::double) as bigint)) as order_id,
          strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as placed_at,
          o_orderpriority as city, l_orderkey as restaurant_id, l_linenumber as courier_id,
          case when l_returnflag = 'R' then 'cancelled' else 'delivered' end as status,

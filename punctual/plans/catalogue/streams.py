@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.operators.split import time_split
-from punctual.plans.catalogue.adapters import EVENTS, LONG_HOLDOUT_DAYS, events, rules_minutes, sides, table
+from punctual.plans.catalogue.adapters import EVENTS, LONG_HOLDOUT_DAYS, events, hundredths, rules_minutes, sides, table
 from punctual.plans.catalogue.history import store_sql, user_store
 from punctual.plans.catalogue.quality import request_bodies
 from punctual.plans.catalogue.registry import query
@@ -25,7 +25,7 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = table(spark, sf, "events").schema
     raw = event_time(file_stream(spark, sf, schema, pattern="events.parquet"), "ts")
     return raw.withColumns(
-        {"value": F.round(F.col("value") * 100), "k": F.get_json_object("props", "$.k").cast("int"), "hour": F.hour("ts"), "dow": iso_weekday("ts")}
+        {"value": hundredths("value"), "k": F.get_json_object("props", "$.k").cast("int"), "hour": F.hour("ts"), "dow": iso_weekday("ts")}
     ).withColumn("pred", rules_minutes())
 
 
@@ -49,7 +49,7 @@ def stream_daily_bias(spark: SparkSession, sf: str) -> DataFrame:
     return _rows(spark, out).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("select event_id, user_id, event_type, round(value * 100) as value from events")
+@query("select event_id, user_id, event_type, floor(value * 100 + 0.5::double) as value from events")
 def stream_drop_twins(spark: SparkSession, sf: str) -> DataFrame:
     """Every event written twice by its source; one of each comes out."""
     out = shared_path(spark, "twins")

@@ -269,11 +269,12 @@ def leak_ladder(
         history: History = fit_history(source, history_keys, target, name)
         return history.apply(sides[0]), history.apply(sides[1])
 
-    with_twins = raw_label(False)
+    needed = list(dict.fromkeys([*features, answer, from_answer, *history_keys, target, ts, row_id]))
+    with_twins = raw_label(False).select(*needed)
     twin_sides = shuffled(with_twins)
     all_rows = with_history(with_twins, twin_sides)
     train_only = with_history(twin_sides[0], twin_sides)
-    single = raw_label(True)
+    single = raw_label(True).select(*needed)
     single_sides = shuffled(single)
     no_twins = with_history(single_sides[0], single_sides)
     by_time = time_split(single, ts, holdout_days)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -63,3 +64,10 @@ def settle(df: DataFrame) -> DataFrame:
     """
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settle_observed(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """Like ``settle``, and the given aggregates of ``df``, taken while it is being written."""
+    seen = Observation()
+    settled = settle(df.observe(seen, *[c.alias(name) for name, c in metrics.items()]))
+    return settled, seen.get
