@@ -18,6 +18,7 @@ from punctual.functions.scores import (
 )
 from punctual.operators.lookup import attach
 from punctual.operators.quantiles import group_quantiles
+from punctual.session import settle
 
 # The quantiles that a promise is swept over.
 ALPHAS = (0.5, 0.6, 0.7, 0.8, 0.9)
@@ -72,12 +73,14 @@ def quantile_promises(
     residuals = train.select(segment, (F.col(actual) - F.col(pred)).alias("_residual"))
     names = {f"_q{i}": a for i, a in enumerate(alphas)}
     per_segment = group_quantiles(residuals, [segment], "_residual", names)
-    overall = group_quantiles(residuals, [], "_residual", names).first()
+    per_segment = settle(per_segment)
+    unseen_segments = test.select(segment).distinct().join(per_segment, segment, "left_anti").limit(1).count()
+    overall = group_quantiles(residuals, [], "_residual", names).first() if unseen_segments else dict.fromkeys(names)
     joined = attach(test, per_segment, segment)
     lines = [
         F.struct(
             F.lit(float(a)).alias("alpha"),
-            (F.col(pred) + F.coalesce(F.col(name), F.lit(overall[name]))).alias("promise"),
+            (F.col(pred) + F.coalesce(F.col(name), F.lit(overall[name]).cast("double"))).alias("promise"),
         )
         for name, a in names.items()
     ]

@@ -1,15 +1,16 @@
-"""Exact, interpolated quantiles per group that never gather a group in one task."""
+"""Exact, interpolated quantiles per group that never gather a large group in one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from punctual.operators.lookup import attach, estimated_bytes, size_metrics
-from punctual.session import settle_observed
+from punctual.operators.lookup import attach
+from punctual.session import settle
 
 ACCURACY = 10_000
-# If no group has more rows than this, Spark's own exact percentile can hold any of them.
+# Groups of up to this many rows are left to Spark's own exact percentile, which holds a
+# group's distinct values in one task.
 DIRECT_ROWS = 100_000
 
 
@@ -24,58 +25,72 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per group with one column per entry of ``probabilities`` (name -> 0..1).
 
-    Two passes. The first finds the size of the groups and takes approximate quantiles a little below and above each wanted
-    one; their error is bounded, so each pair brackets the exact answer. The second keeps
-    single values only inside the brackets (or of small groups) and collapses everything between two brackets to
-    one count, so the running count that finds the exact ranks sees a tiny part of the group.
+    The first pass counts the groups and takes approximate quantiles a little below and above
+    each wanted one; the error of those is bounded, so each pair brackets the exact answer.
+    Only the brackets of large groups are kept, and there are few large groups. The second
+    pass keeps single values of a large group only inside its brackets and collapses what lies
+    between two brackets to one count, so the running count that finds the exact ranks sees a
+    tiny part of the group. Small groups need no brackets.
     """
     data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    if not keys:
-        data, keys_used = data.withColumn("_all", F.lit(0)), ["_all"]
-    else:
-        keys_used = list(keys)
+    groups = list(keys)
+    if not groups:
+        data, groups = data.withColumn("_all", F.lit(0)), ["_all"]
 
     wanted = sorted(set(probabilities.values()))
     pad = 4.0 / accuracy
     points = [p for q in wanted for p in (max(0.0, q - pad), min(1.0, q + pad))]
-    summary = data.groupBy(*keys_used).agg(
-        F.count("_v").alias("_n"),
-        F.percentile_approx("_v", points, accuracy).alias("_b"),
+    seen = Observation()
+    summary = (
+        data.groupBy(*groups)
+        .agg(F.count("_v").alias("_n"), F.percentile_approx("_v", points, accuracy).alias("_b"))
+        .observe(
+            seen,
+            F.count_if(F.col("_n") <= direct_rows).alias("small"),
+            F.count_if(F.col("_n") > direct_rows).alias("large"),
+        )
     )
-    summary, seen = settle_observed(summary, {**size_metrics(summary), "_most": F.max("_n")})
-    if (seen["_most"] or 0) <= direct_rows:
+    large = settle(summary.filter(F.col("_n") > direct_rows))
+    parts = []
+    if seen.get["small"] or not seen.get["large"]:
+        rest = attach(data, large.select(*groups), groups, "left_anti") if seen.get["large"] else data
         exact = [F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probabilities.items()]
-        return data.groupBy(*keys_used).agg(*exact).select(*keys, *probabilities)
-    tagged = attach(data, summary, keys_used, "inner", size=estimated_bytes(summary, seen))
+        parts.append(rest.groupBy(*groups).agg(*exact))
+    if seen.get["large"]:
+        parts.append(_bracketed(attach(data, large, groups, "inner"), groups, probabilities, wanted, accuracy))
+    answer = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return answer.select(*keys, *probabilities)
 
+
+def _bracketed(
+    tagged: DataFrame, groups: list[str], probabilities: dict[str, float], wanted: list[float], accuracy: int
+) -> DataFrame:
+    """Exact quantiles of rows that carry their group's size ``_n`` and brackets ``_b``."""
     low = [F.col("_b")[2 * i] for i in range(len(wanted))]
     high = [F.col("_b")[2 * i + 1] for i in range(len(wanted))]
-    # a group this small is simply kept; its brackets would be narrower than one rank
+    # with fewer rows than this a bracket may be narrower than one rank
     inside = F.col("_n") <= accuracy
     anchor = F.lit(float("-inf"))
     for lo, hi in zip(low, high):
         inside = inside | F.col("_v").between(lo, hi)
         anchor = F.when(F.col("_v") > hi, hi).otherwise(anchor)
     collapsed = tagged.select(
-        *keys_used,
-        "_n",
-        F.when(inside, F.col("_v")).otherwise(anchor).alias("_v"),
-        (~inside).alias("_gap"),
+        *groups, "_n", F.when(inside, F.col("_v")).otherwise(anchor).alias("_v"), (~inside).alias("_gap")
     )
-    counts = collapsed.groupBy(*keys_used, "_n", "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy(*keys_used).orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    counts = collapsed.groupBy(*groups, "_n", "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"))
+    running = Window.partitionBy(*groups).orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.withColumn("_upto", F.sum("_c").over(running))
 
-    def at_rank(rank):
+    def at_rank(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") > rank, F.struct("_v", "_gap")))
 
     position = {p: (F.col("_n") - 1) * F.lit(float(p)) for p in wanted}
-    found = ranked.groupBy(*keys_used, "_n").agg(
+    found = ranked.groupBy(*groups, "_n").agg(
         *[at_rank(F.floor(position[p])).alias(f"_lo{i}") for i, p in enumerate(wanted)],
         *[at_rank(F.ceil(position[p])).alias(f"_hi{i}") for i, p in enumerate(wanted)],
     )
 
-    def exact(name):
+    def exact(name: str) -> Column:
         message = F.lit("quantile bracket missed its rank; raise the accuracy")
         return F.when(F.col(f"{name}._gap"), F.raise_error(message).cast("double")).otherwise(F.col(f"{name}._v"))
 
@@ -84,7 +99,7 @@ def group_quantiles(
         i = wanted.index(p)
         lo, hi = exact(f"_lo{i}"), exact(f"_hi{i}")
         out.append((lo + (hi - lo) * (position[p] - F.floor(position[p]))).alias(name))
-    return found.select(*keys, *out)
+    return found.select(*groups, *out)
 
 
 def column_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:

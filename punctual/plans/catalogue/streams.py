@@ -20,12 +20,24 @@ from punctual.streaming.orders import bias_by_window, deliveries, drop_twins
 from punctual.streaming.requests import refresh_store, score_stream
 
 
+def event_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream, be it one file or a folder of files."""
+    events_table = table(spark, sf, "events")
+    first = events_table.select("_metadata.file_path").first()
+    if first is not None and first[0].endswith("/events.parquet"):
+        return file_stream(spark, sf, events_table.schema, pattern="events.parquet")
+    return file_stream(spark, f"{sf.rstrip('/')}/events.parquet", events_table.schema)
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file as a stream, with a zoned event time and the rules' estimate."""
-    schema = table(spark, sf, "events").schema
-    raw = event_time(file_stream(spark, sf, schema, pattern="events.parquet"), "ts")
-    return raw.withColumns(
-        {"value": hundredths("value"), "k": F.get_json_object("props", "$.k").cast("int"), "hour": F.hour("ts"), "dow": iso_weekday("ts")}
+    """Arriving events with a zoned event time and the rules' estimate."""
+    return event_time(event_files(spark, sf), "ts").withColumns(
+        {
+            "value": hundredths("value"),
+            "k": F.get_json_object("props", "$.k").cast("int"),
+            "hour": F.hour("ts"),
+            "dow": iso_weekday("ts"),
+        }
     ).withColumn("pred", rules_minutes())
 
 
@@ -60,24 +72,24 @@ def stream_drop_twins(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    """
-    select p.event_id, p.user_id, d.event_id as delivered_id, cast(floor((epoch_us(d.ts) - epoch_us(p.ts)) / 1000000) as bigint) / 60.0::double as actual_minutes
-    from events p join events d on p.user_id = d.user_id
-      and d.ts > p.ts and d.ts < p.ts + interval 12 hour
-    where p.event_type = 'view' and d.event_type = 'purchase'
+    f"""
+    with {EVENTS}
+    select event_id, user_id, k * 10 / 1.0::double as actual_minutes from ev
+    where event_type <> 'error' and k * 10 > 0 and k * 10 < 720
     """
 )
 def stream_deliveries(spark: SparkSession, sf: str) -> DataFrame:
-    """Placements matched with deliveries of the same entity within twelve hours."""
+    """Each order is placed, and unless it fails delivered k x 10 minutes later; one row per
+    order delivered within twelve hours."""
     out = shared_path(spark, "deliveries")
-    placed = event_stream(spark, sf).filter("event_type = 'view'").select("event_id", "user_id", F.col("ts").alias("placed_at"))
+    placed = event_stream(spark, sf).select("event_id", "user_id", F.col("ts").alias("placed_at"))
     delivered = (
         event_stream(spark, sf)
-        .filter("event_type = 'purchase'")
-        .select(F.col("event_id").alias("delivered_id"), "user_id", F.col("ts").alias("delivered_at"))
+        .filter("event_type <> 'error'")
+        .select("event_id", F.timestamp_add("MINUTE", F.col("k") * 10, F.col("ts")).alias("delivered_at"))
     )
-    matched = deliveries(placed, delivered, on=["user_id"], placed_at="placed_at", delivered_at="delivered_at")
-    drain(matched.select("event_id", "user_id", "delivered_id", "actual_minutes"), out)
+    matched = deliveries(placed, delivered, on=["event_id"], placed_at="placed_at", delivered_at="delivered_at")
+    drain(matched.select("event_id", "user_id", "actual_minutes"), out)
     return _rows(spark, out)
 
 
@@ -125,7 +137,7 @@ def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
 def stream_refreshed_store(spark: SparkSession, sf: str) -> DataFrame:
     """Arriving files trigger a rebuild, published as the version of the micro-batch."""
     root, progress = shared_path(spark, "store"), shared_path(spark, "progress")
-    arrivals = file_stream(spark, sf, table(spark, sf, "events").schema, pattern="events.parquet")
+    arrivals = event_files(spark, sf)
     refresh_store(
         arrivals, lambda: events(spark, sf), user_store, root, progress, trigger={"availableNow": True}
     ).awaitTermination()
