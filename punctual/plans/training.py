@@ -10,14 +10,13 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from punctual.functions.calendar import is_night
 from punctual.functions.scores import mae, r2
 from punctual.operators.evaluation import confusion_report, regression_report
-from punctual.operators.history import History, build_features, fit_history
-from punctual.operators.lookup import attach
+from punctual.operators.history import History, fit_history
 from punctual.operators.sampling import (
     convenience,
     shuffled_split,
@@ -157,13 +156,20 @@ def feature_bakeoff(
     categorical: list[str] = CATEGORICAL,
     **model,
 ) -> DataFrame:
-    """The same learner on several column lists; one row each with MAE, R2 and the gain over the first."""
+    """The same learner on several column lists; one row each with MAE, R2 and the gain over the first.
+
+    The columns in use are kept while the models that share them are fitted; a lost executor's
+    part of them is computed again.
+    """
+    used = list(dict.fromkeys([c for features in sets.values() for c in features] + [target]))
+    train, test = train.select(*used).persist(), test.select(*used).persist()
     lines = []
     for name, features in sets.items():
         fitted = fit_regressor(train, features, target, categorical=categorical, **model)
         line = regression_report(score(fitted, test), "pred", target)
         lines.append(line.select(F.lit(name).alias("features"), "mae", "r2"))
     table = settle(_stack(lines))
+    train.unpersist(), test.unpersist()
     base = table.filter(F.col("features") == next(iter(sets))).agg(F.max("mae")).scalar()
     return table.withColumn("gain", base - F.col("mae"))
 

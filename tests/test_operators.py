@@ -1,7 +1,6 @@
 import math
 
 import numpy as np
-import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -36,7 +35,7 @@ from punctual.operators.split import hash_side, time_split
 from punctual.operators.store import StaleStore, check_freshness, order_store, store_alarms, store_drift, store_info
 from punctual.operators.thresholds import average_precision, recall_at_precision, sweep
 
-few = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 # --- values -------------------------------------------------------------------------------
@@ -478,3 +477,16 @@ def test_fingerprint(spark):
     changed = train.withColumn("hour", F.col("hour") + 1)
     assert sha(train, test, ["hour"], contents=True) != sha(changed, test, ["hour"], contents=True)
     assert sha(train, test, ["hour"], contents=True) == sha(train.repartition(3), test, ["hour"], contents=True)
+
+
+# --- empty inputs -------------------------------------------------------------------------
+
+
+def test_empty_tables(spark):
+    full = spark.range(50).select("id", (F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
+    none = full.filter("v < -1")
+    assert attach(full, none.select("k", F.lit(1).alias("z")), "k").filter("z is null").count() == 50
+    assert group_quantiles(none, ["k"], "v", {"m": 0.5}).count() == 0
+    assert simple_random(none, 5, "id").count() == stratified(none, 5, "id", ["k"]).count() == 0
+    assert average_precision(sweep(none, "v", F.col("k") == 1)).first()[0] is None
+    assert fit_history(none, ["k"], "v", "h").apply(full).count() == 50
