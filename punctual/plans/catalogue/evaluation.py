@@ -271,13 +271,13 @@ def regime_report(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     with {EVENTS}
-    select cast(ts as date) as day, count(*) as rows, avg(abs(pred - value)) as mae,
+    select strftime(ts, '%Y-%m-%d') as day, count(*) as rows, avg(abs(pred - value)) as mae,
            avg(pred - value) as bias from ev group by 1
     """
 )
 def daily_errors(spark: SparkSession, sf: str) -> DataFrame:
     """Errors per day, the batch form of the streaming monitor."""
-    rows = events(spark, sf).withColumn("day", F.to_date("ts"))
+    rows = events(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     return group_errors(rows, ["day"], "pred", "value")
 
 
