@@ -118,9 +118,10 @@ def average_precision_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     f"""
-    with {SWEEP}
-    select caught::double / positives as recall, threshold from w where caught::double / flagged >= 0.21
-    order by recall desc, threshold desc limit 1
+    with {SWEEP},
+    fine as (select caught::double / positives as recall, threshold from w where caught::double / flagged >= 0.21),
+    best as (select * from fine order by recall desc, threshold desc limit 1)
+    select coalesce((select recall from best), 0.0::double) as recall, (select threshold from best) as threshold
     """
 )
 def recall_at_min_precision(spark: SparkSession, sf: str) -> DataFrame:
