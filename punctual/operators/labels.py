@@ -43,10 +43,15 @@ def with_times(df: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:
     if rules.skewed_group is not None:
         ahead = F.col(rules.group) == rules.skewed_group
         placed = F.when(ahead, shift_minutes(placed, -rules.skew_minutes)).otherwise(placed)
-    parsed = df.withColumns(
-        {"placed_utc": placed, "_picked": parse_ntz(rules.picked), "_delivered": parse_ntz(rules.delivered)}
+    parsed = F.struct(
+        placed.alias("placed_utc"),
+        parse_ntz(rules.picked).alias("_picked"),
+        parse_ntz(rules.delivered).alias("_delivered"),
     )
-    return parsed.withColumn("actual_minutes", minutes_between(F.col("_delivered"), F.col("placed_utc")))
+    # As a generated row the parsed times are computed once; as plain columns every later rule
+    # that names one of them would parse the text again.
+    times = df.select("*", F.inline(F.array(parsed)))
+    return times.withColumn("actual_minutes", minutes_between(F.col("_delivered"), F.col("placed_utc")))
 
 
 def drop_reason(rules: LabelRules = LabelRules()) -> Column:
@@ -64,8 +69,12 @@ def drop_reason(rules: LabelRules = LabelRules()) -> Column:
 
 
 def label(df: DataFrame, rules: LabelRules = LabelRules(), *, drop_duplicates: bool = True) -> DataFrame:
-    """Labelled rows: durations in range, one row per natural key, calendar columns, late flag."""
-    kept = with_times(df, rules).filter(drop_reason(rules).isNull()).drop("_picked", "_delivered")
+    """Labelled rows: durations in range, one row per natural key, calendar columns, late flag.
+
+    The status and the presence of a delivery are filtered first, where the scan can do it.
+    """
+    done = df.filter((F.col(rules.status) == rules.done) & F.col(rules.delivered).isNotNull())
+    kept = with_times(done, rules).filter(drop_reason(rules).isNull()).drop("_picked", "_delivered")
     if drop_duplicates:
         kept = keep_first(kept, list(rules.natural_key), [rules.order_id])
     return kept.withColumns(

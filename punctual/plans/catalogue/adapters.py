@@ -80,7 +80,12 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
         return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss")
 
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
-    known = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate", "o_orderpriority")
+    known = orders.select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        "o_orderdate",
+        text(F.col("o_orderdate")).alias("placed_at"),
+        F.col("o_orderpriority").alias("city"),
+    )
     joined = attach(lines, known, "l_orderkey", "inner", stored=True)
     lost = F.col("l_quantity") == 50
     return joined.select(
@@ -88,8 +93,8 @@ def raw_orders(spark: SparkSession, sf: str) -> DataFrame:
             "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
             F.col("l_quantity").cast("int"), hundredths("l_extendedprice").cast("long"),
         ).alias("order_id"),
-        text(F.col("o_orderdate")).alias("placed_at"),
-        F.col("o_orderpriority").alias("city"),
+        "placed_at",
+        "city",
         F.col("l_orderkey").alias("restaurant_id"),
         F.col("l_linenumber").alias("courier_id"),
         F.when(F.col("l_returnflag") == "R", "cancelled").otherwise("delivered").alias("status"),

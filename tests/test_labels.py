@@ -14,6 +14,7 @@ from punctual.operators.labels import (
     labelling_diff,
     naive_minutes_by_group,
 )
+from punctual.session import shared_path
 from punctual.sources.schemas import RAW_ORDERS
 
 
@@ -101,3 +102,12 @@ def test_overlap(spark):
     assert tuple(line) == (1, 1, 3)
     seen = rows_seen_in(df.filter("id > 1"), df.filter("id <= 1"), ["k"])
     assert [r["id"] for r in seen.collect()] == [2]
+
+
+def test_status_filter_reaches_the_scan(spark, raw):
+    path = shared_path(spark, "orders")
+    raw.write.parquet(path)
+    labelled = label(spark.read.parquet(path))
+    plan = plan_of(labelled)
+    assert "EqualTo(status,delivered)" in plan and "IsNotNull(delivered_at)" in plan
+    assert labelled.count() == 3
