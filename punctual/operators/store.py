@@ -50,9 +50,10 @@ def build_store(
     )
     middle = column_medians(rows, [entity], {n: source for n, (source, _) in medians.items()})
     middle = middle.withColumns({n: rounded(F.col(n), d) for n, (_, d) in medians.items()})
-    stamp = F.current_timestamp() if computed_at is None else computed_at
+    stamp = (F.current_timestamp() if computed_at is None else computed_at).cast("timestamp").cast("timestamp_ntz")
+    stamp = F.convert_timezone(F.current_timezone(), F.lit("UTC"), stamp)
     return base.join(middle, entity, "left").withColumns(
-        {"computed_at": F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ssXXX"), "distance_unit": F.lit(unit)}
+        {"computed_at": F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "distance_unit": F.lit(unit)}
     )
 
 
