@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm import dedup, mixing, quality, secrets
+import public_tokenizers
+
+from punctual.llm import bpe, dedup, langid, mixing, quality, secrets
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~held_out()))
+    return langid.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+
+
+@query()
+def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.coded(docs, ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
+
+
 @query(r"""
 with j as (
   select doc_id, row_number() over (partition by sha order by doc_id) as rn, min(doc_id) over (partition by sha) as keep_id,
