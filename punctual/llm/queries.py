@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, langid, mixing, quality, secrets
+from punctual.llm import bpe, dedup, html, langid, mixing, quality, secrets
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -25,6 +25,12 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
 
 
+@query()
+def op2_html_template(spark: SparkSession, sf: str) -> DataFrame:
+    texts = html.extract(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query()
 def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
