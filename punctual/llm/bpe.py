@@ -273,21 +273,22 @@ def coded(
     """
     docs.sparkSession.sparkContext.addFile(ranks)
     name = ranks.rsplit("/", 1)[-1]
-    narrow = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    columns = ["n_tokens", "ids_sha256", "decoded_sha256", "token_ids"][: 4 if ids else 3]
 
-    def code(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def code(batches):
         own = codec(SparkFiles.get(name), pattern)
         for batch in batches:
-            counts, seen, back, tokens = [], [], [], []
-            for joined in own.encode(batch["text"].tolist()):
-                counts.append(joined.count(" ") + 1 if joined else 0)
-                seen.append(hashlib.sha256(joined.encode()).hexdigest())
-                back.append(hashlib.sha256(own.decode(joined)).hexdigest())
-                if ids:
-                    tokens.append(np.fromstring(joined, np.int32, sep=" ") if joined else np.empty(0, np.int32))
-            out = {"id": batch["id"], "n_tokens": counts, "ids_sha256": seen, "decoded_sha256": back}
-            yield pd.DataFrame(out | ({"token_ids": tokens} if ids else {}))
-
-    kind = narrow.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return narrow.mapInPandas(code, schema + (", token_ids array<int>" if ids else ""))
+            rows = []
+            for joined in own.encode(batch.tolist()):
+                row = (
+                    joined.count(" ") + 1 if joined else 0,
+                    hashlib.sha256(joined.encode()).hexdigest(),
+                    hashlib.sha256(own.decode(joined)).hexdigest(),
+                )
+                rows.append((*row, [int(i) for i in joined.split()]) if ids else row)
+            yield pd.DataFrame(rows, columns=columns)
+
+    code.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    kinds = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if ids else "")
+    coded_text = F.pandas_udf(code, kinds)(text_or_empty(text_col))
+    return docs.select(F.col(id_col).alias("id"), coded_text.alias("coded")).select("id", "coded.*")

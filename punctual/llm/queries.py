@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, langid, mixing, quality, secrets
+from punctual.llm import bpe, dedup, html, langid, mixing, quality, secrets, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -38,6 +38,23 @@ def op3_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.coded(docs, ranks, public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
 
 
+@query("""
+with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+d as (select page_id, octet_length(payload) as payload_bytes, sha1(payload) as hex from p),
+b as (
+  select *, row_number() over (partition by hex order by page_id) as rn, min(page_id) over (partition by hex) as first_id,
+         list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (
+           (('0x' || substr(hex, (i * 5 // 4)::int + 1, 2))::int >> (3 - i * 5 % 4)::int) & 31)::int + 1, 1)) as letters
+  from d
+)
+select page_id, payload_bytes, array_to_string(letters, '') as payload_digest,
+       case when rn = 1 then 'response' else 'revisit' end as record_type, case when rn > 1 then first_id end as refers_to
+from b""")
+def op4_warc_archive(spark: SparkSession, sf: str) -> DataFrame:
+    records = warc.archived(table(spark, sf, "pages")).withColumnRenamed("id", "page_id")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query(r"""
 with j as (
   select doc_id, row_number() over (partition by sha order by doc_id) as rn, min(doc_id) over (partition by sha) as keep_id,
