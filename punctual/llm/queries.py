@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, langid, mixing, quality, secrets, warc
+from punctual.llm import bpe, dedup, html, jaccard, langid, mixing, quality, secrets, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -102,6 +102,12 @@ def op9_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query()
+def op5_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return jaccard.joined(docs).withColumnRenamed("id", "doc_id").drop("key")
+
+
 @query(r"""
 with d as (select doc_id, source, coalesce(text, '') as text from documents),
 w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words from d),
