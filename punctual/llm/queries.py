@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, jaccard, langid, mixing, quality, secrets, warc
+from punctual.llm import bpe, dedup, html, jaccard, langid, mixing, quality, secrets, suffixes, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -158,3 +158,10 @@ def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_assign", "n_access", "n_hex",
         F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("found")).alias("spans"),
     )
+
+
+@query()
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    cut = suffixes.without_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", kept)
