@@ -25,10 +25,11 @@ from pyspark.sql import functions as F
 from punctual.llm.common import broadcast_if_small, written
 
 #: A class is on at least so many pages of its host and at least this share of them.
-LEAST_PAGES, LEAST_SHARE = 3, 0.5
+LEAST_PAGES, LEAST_SHARE = 5, 0.5
 
 # Elements of HTML by their role.
-RAW = "script style noscript template textarea svg math iframe object select button title head".split()
+RAW = "script style noscript template svg math iframe object textarea select button title head".split()
+RAW_BLOCKS = "textarea select button title head".split()
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr del"
@@ -113,9 +114,9 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         attrs = found["attrs"] or found["attrs2"] or ""
         if name in RAW:
             if not closes:
-                yield from block()
-                token = _hash(f"{stack[-1][1]} {name}")
-                yield Tag(token, stack[-1][1])
+                if name in RAW_BLOCKS:
+                    yield from block()
+                    yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
                 end = re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I).search(html, at)
                 if name == "head":  # may be left open
                     end = end or re.compile(r"(?=<body\b)", re.I).search(html, at)
@@ -124,7 +125,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         if name in INLINE:
             if name == "a":
                 in_link = not closes
-            if name in ("br", "img", "wbr") and name != "wbr":
+            if name in ("br", "img"):
                 pending.append(" ")
             continue
         yield from block()
@@ -181,27 +182,27 @@ def _nested(tokens: pd.DataFrame) -> pd.DataFrame:
 
     ``tokens`` are those on enough pages, at most a few times what one page holds.
     """
-    tags = Counter(zip(tokens["pages"], tokens["vector"], strict=True)) if len(tokens) else {}
-    held = Counter(k for k, is_tag in zip(zip(tokens["pages"], tokens["vector"], strict=True), tokens["is_tag"], strict=True) if is_tag)
-    valid = {k for k in tags if held[k] >= 2}
-    rows = {r.token: r for r in tokens.itertuples() if (r.pages, r.vector) in valid}
-    tag_pages = {r.token: r.pages for r in rows.values() if r.is_tag}
+    every = {r.token: r for r in tokens.itertuples()}
+    held = Counter((r.pages, r.vector) for r in every.values() if r.is_tag)
+    rows = {t: r for t, r in every.items() if held[r.pages, r.vector] >= 2}
     inside: dict[int, bool] = {0: True}
 
     def nests(token: int) -> bool:
-        """The element is in the template, and so is each element around it, on no fewer pages."""
+        """The nearest element around it that is of a valid class nests, and is on no fewer pages."""
         chain = []
         while token not in inside:
             chain.append(token)
-            r = rows.get(token)
-            if r is None or (r.parent and tag_pages.get(r.parent, 0) < r.pages):
+            around = rows[token].parent
+            while around and around not in rows:
+                if around not in every:
+                    return False
+                around = every[around].parent
+            if around and rows[around].pages < rows[token].pages:
                 inside[token] = False
-                break
-            token = r.parent
-        ok = inside[token]
-        for t in chain:
-            inside.setdefault(t, ok)
-        return ok
+            else:
+                token = around
+        inside.update(dict.fromkeys(chain, inside[token]))
+        return inside[token]
 
     kept = [r for r in rows.values() if nests(r.token)]
     return pd.DataFrame({
@@ -254,7 +255,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per row of ``pages``: id, url, text.
 
     A null or empty page has the empty text. Pages whose url names no host form one group. A host of under
-    three pages has no template: its pages are judged by their elements alone. Character references
+    ``LEAST_PAGES`` pages has no template: its pages are judged by their elements alone. Character references
     are decoded, white space within a block is one space, blocks are joined by a line feed. Repeated rows
     are pages of their own. Other columns are ignored. Pages are read twice and not shuffled, but for
     hosts beyond the size up to which their templates are broadcast.
