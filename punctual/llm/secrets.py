@@ -3,7 +3,7 @@
 Long tokens are candidates. The encoding is inferred from the characters in use, and three tests ask
 whether the token could be drawn at random from that alphabet: chi-squared on the letter counts,
 the number of runs above and below the middle, and the correlation of neighbours. Ordinary words
-get p near 0, random tokens any p alike. So the number of tokens with p above one half tells how many
+get p near 0, random tokens any p alike. So the number of tokens with p above ``ORDINARY`` tells how many
 random ones there are of an encoding and length, and how many of those accepted are false; the
 bar is set per encoding and length such that this share stays below ``FALSE_SHARE``.
 Everything is a DataFrame expression.
@@ -35,7 +35,8 @@ ENCODINGS = {
     "base64": UPPER + LOWER + DIGITS + "+/-_",
 }
 FALSE_SHARE = 0.05
-BINS = 20
+#: p is counted in so many bins; above this value hardly any ordinary token has its p.
+BINS, ORDINARY = 20, 0.25
 
 
 def _matches(kind: str, pattern: str) -> dict[str, Column]:
@@ -118,14 +119,15 @@ def battery(tokens: DataFrame) -> DataFrame:
 def accepted(tested: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """Rows of ``tested`` (encoding, long, p, ...) above the bar of their encoding and length.
 
-    Lengths are taken in powers of two. With n tokens at or above p = t, and twice the tokens above
-    one half as the estimate of the random ones, n - random * (1 - t) of those n are false.
+    Lengths are taken in powers of two. The tokens above ``ORDINARY``, scaled up by the
+    share of random tokens there, estimate the random ones; with n tokens at or above p = t,
+    n - random * (1 - t) of those n are false.
     """
     df = tested.withColumns({"size": F.floor(F.log2("long")), "bin": F.floor(F.least("p", F.lit(0.999999)) * BINS)})
     cells = df.groupBy("encoding", "size", "bin").agg(F.count("*").alias("c"))
     group = Window.partitionBy("encoding", "size")
     n = F.sum("c").over(group.orderBy(F.desc("bin")))
-    upper = 2 * F.sum(F.when(F.col("bin") >= BINS // 2, F.col("c")).otherwise(0)).over(group)
+    upper = F.sum(F.when(F.col("bin") >= ORDINARY * BINS, F.col("c")).otherwise(0)).over(group) / (1 - ORDINARY)
     false = n - upper * (1 - F.col("bin") / BINS)
     bars = (
         cells.withColumns({"n": n, "false": false})
