@@ -19,16 +19,25 @@ def parse_ntz(text: str | Column) -> Column:
     return column.try_cast("timestamp_ntz")
 
 
+def utc(instant: Column) -> Column:
+    """An instant as a zone-less UTC timestamp, whatever the session zone and its summer time."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01").cast("timestamp_ntz"))
+
+
 def parse_utc(text: str | Column) -> Column:
     """ISO text to a zone-less UTC timestamp, honouring an offset in the text if there is one."""
     column = F.col(text) if isinstance(text, str) else text
-    moved = F.convert_timezone(
-        F.current_timezone(), F.lit("UTC"), column.try_cast("timestamp").cast("timestamp_ntz")
-    )
+    moved = utc(column.try_cast("timestamp"))
     has_offset = column.rlike(r"(Z|[+-]\d{2}:?\d{2})$") & column.contains(":")
     return F.when(has_offset, moved).otherwise(column.try_cast("timestamp_ntz"))
 
 
+def parse_local(text: str | Column) -> Column:
+    """ISO text to the zone-less time that it names: an offset in the text is left aside."""
+    column = F.col(text) if isinstance(text, str) else text
+    return F.regexp_replace(column, r"(?<=\d[T ]\d\d:[\d:.]{0,15})(Z|[+-]\d{2}(:?\d{2})?)$", "").try_cast("timestamp_ntz")
+
+
 def minutes_between(later: Column, earlier: Column) -> Column:
     """Whole seconds from ``earlier`` to ``later``, as minutes."""
     return F.timestamp_diff("SECOND", earlier, later) / F.lit(60.0)

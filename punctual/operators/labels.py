@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from punctual.functions.calendar import calendar
 from punctual.functions.clean import minutes_between, parse_ntz, shift_minutes
 from punctual.operators.dedup import keep_first
+from punctual.operators.lookup import attach
 from punctual.operators.quantiles import group_quantiles
 
 # The columns of the order table, its known clock fault and the accepted range.
@@ -120,7 +121,7 @@ def naive_minutes_by_group(df: DataFrame, rules: LabelRules = LabelRules()) -> D
         F.avg((F.col("naive_minutes") < 0).cast("double")).alias("share_negative")
     )
     medians = group_quantiles(naive, [rules.group], "naive_minutes", {"median_minutes": 0.5})
-    return shares.join(medians, rules.group, "left").orderBy("median_minutes", rules.group)
+    return attach(shares, medians, rules.group, null_safe=True).orderBy("median_minutes", rules.group)
 
 
 def label_checks(labelled: DataFrame, raw: DataFrame, rules: LabelRules = LabelRules()) -> DataFrame:

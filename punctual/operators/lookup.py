@@ -7,6 +7,9 @@ over several tasks.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,14 +63,18 @@ def attach(
     *,
     stored: bool = False,
     size: int | None = None,
+    null_safe: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``facts`` with a ``table`` that has one row per ``on``.
 
     ``stored`` says that ``table`` is read straight from files, so that measuring it is cheap
     and it need not be written out first; ``size`` that it is settled and already measured.
+    With ``null_safe`` a null key is a key like any other, as it is in a grouping. Keys of
+    different types are compared in their common type, whichever way the join is done.
     """
     on = [on] if isinstance(on, str) else list(on)
+    facts, table = _common_keys(facts, table, on)
     if size is not None:
         small = size <= broadcast_bytes
     elif stored:
@@ -75,7 +82,32 @@ def attach(
     else:
         table, metrics = settle_observed(table, size_metrics(table))
         small = estimated_bytes(table, metrics) <= broadcast_bytes
-    return facts.join(F.broadcast(table), on, how) if small else salted_join(facts, table, on, how)
+    if small:
+        return _joined(facts, F.broadcast(table), on, how, null_safe)
+    return salted_join(facts, table, on, how, null_safe=null_safe)
+
+
+def _common_keys(facts: DataFrame, table: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their keys in one type, so that equal keys have equal hashes."""
+    common = facts.select(*on).union(table.select(*on)).schema
+    sides = []
+    for side in (facts, table):
+        casts = {k: F.col(k).cast(common[k].dataType) for k in on if side.schema[k].dataType != common[k].dataType}
+        sides.append(side.withColumns(casts) if casts else side)
+    return sides[0], sides[1]
+
+
+def _joined(
+    facts: DataFrame, table: DataFrame, on: list[str], how: str, null_safe: bool, also: list[str] | None = None
+) -> DataFrame:
+    """Join on ``on``; with ``null_safe`` nulls match each other. ``also`` are keys that are never null."""
+    also = also or []
+    if not null_safe:
+        return facts.join(table, [*on, *also], how)
+    names = {k: f"_of_{k}" for k in [*on, *also]}
+    renamed = table.withColumnsRenamed(names)
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(names[k])) for k in names])
+    return facts.join(renamed, match, how).drop(*names.values())
 
 
 def hot_hashes(facts: DataFrame, on: list[str], share: int = HOT_SHARE) -> list[int]:
@@ -96,22 +128,24 @@ def salted_join(
     *,
     share: int = HOT_SHARE,
     salts: int = SALTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Shuffle join that spreads each hot key of ``facts`` over ``salts`` tasks.
 
     Only the table rows of hot keys are repeated. The salt comes from the row's content and
     its input partition, so copies of one row spread too and a retried task salts alike.
     """
+    facts, table = _common_keys(facts, table, on)
     hot = hot_hashes(facts, on, share)
     if not hot:
-        return facts.join(table, on, how)
+        return _joined(facts, table, on, how, null_safe)
     is_hot = F.xxhash64(*on).isin(hot)
     content = [f.name for f in facts.schema if "map<" not in f.dataType.simpleString()]
     scatter = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(salts)).cast("int")
     left = facts.withColumn("_salt", F.when(is_hot, scatter).otherwise(F.lit(0)))
     every, first = F.sequence(F.lit(0), F.lit(salts - 1)), F.array(F.lit(0))
     right = table.withColumn("_salt", F.explode(F.when(is_hot, every).otherwise(first)))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return _joined(left, right, on, how, null_safe, ["_salt"]).drop("_salt")
 
 
 def lookup_with_default(

@@ -12,6 +12,8 @@ ACCURACY = 10_000
 # Groups of up to this many rows are left to Spark's own exact percentile, which holds a
 # group's distinct values in one task.
 DIRECT_ROWS = 100_000
+# A bracket is cut into so many cells of equal width, whose rows are ranked on their own.
+CELLS = 1000
 
 
 def group_quantiles(
@@ -53,11 +55,11 @@ def group_quantiles(
     large = settle(summary.filter(F.col("_n") > direct_rows))
     parts = []
     if seen.get["small"] or not seen.get["large"]:
-        rest = attach(data, large.select(*groups), groups, "left_anti") if seen.get["large"] else data
+        rest = attach(data, large.select(*groups), groups, "left_anti", null_safe=True) if seen.get["large"] else data
         exact = [F.percentile("_v", F.lit(float(p))).alias(name) for name, p in probabilities.items()]
         parts.append(rest.groupBy(*groups).agg(*exact))
     if seen.get["large"]:
-        parts.append(_bracketed(attach(data, large, groups, "inner"), groups, probabilities, wanted, accuracy))
+        parts.append(_bracketed(attach(data, large, groups, "inner", null_safe=True), groups, probabilities, wanted, accuracy))
     answer = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     return answer.select(*keys, *probabilities)
 
@@ -74,12 +76,27 @@ def _bracketed(
     for lo, hi in zip(low, high):
         inside = inside | F.col("_v").between(lo, hi)
         anchor = F.when(F.col("_v") > hi, hi).otherwise(anchor)
+    # a cell never falls as values rise; several brackets have cells of their own, one after the other
+    cell = F.lit(-1)
+    for i, (lo, hi) in enumerate(zip(low, high)):
+        part = F.coalesce(F.floor(F.try_divide(F.col("_v") - lo, hi - lo) * (CELLS - 1)), F.lit(0))
+        last = F.when(hi > lo, CELLS - 1).otherwise(0)
+        nth = F.when(F.col("_v") < lo, None).when(F.col("_v") <= hi, part).otherwise(last)
+        first = F.col("_v") > high[i - 1] if i else F.lit(True)
+        cell = F.when(first & nth.isNotNull(), i * CELLS + nth).otherwise(cell)
+    cell = F.when(F.col("_n") <= accuracy, F.lit(0)).otherwise(cell).cast("int")
     collapsed = tagged.select(
-        *groups, "_n", F.when(inside, F.col("_v")).otherwise(anchor).alias("_v"), (~inside).alias("_gap")
+        *groups, "_n", cell.alias("_cell"), F.when(inside, F.col("_v")).otherwise(anchor).alias("_v"),
+        (~inside).alias("_gap"),
     )
-    counts = collapsed.groupBy(*groups, "_n", "_v", "_gap").agg(F.count(F.lit(1)).alias("_c"))
-    running = Window.partitionBy(*groups).orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("_upto", F.sum("_c").over(running))
+    counts = settle(collapsed.groupBy(*groups, "_n", "_cell", "_v", "_gap").agg(F.count(F.lit(1)).alias("_c")))
+    # ranks in two steps, cells of a group and values of a cell, so that no task sees a whole bracket
+    cells = counts.groupBy(*groups, "_cell").agg(F.sum("_c").alias("_in_cell"))
+    earlier = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_before", F.coalesce(F.sum("_in_cell").over(earlier), F.lit(0))).drop("_in_cell")
+    running = Window.partitionBy(*groups, "_cell").orderBy("_v", "_gap").rowsBetween(Window.unboundedPreceding, 0)
+    placed = attach(counts, cells, [*groups, "_cell"], "inner", null_safe=True)
+    ranked = placed.withColumn("_upto", F.col("_before") + F.sum("_c").over(running))
 
     def at_rank(rank: Column) -> Column:
         return F.min(F.when(F.col("_upto") > rank, F.struct("_v", "_gap")))
@@ -112,6 +129,7 @@ def column_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> D
     )
     long = df.select(*keys, F.inline(pairs))
     medians = group_quantiles(long, [*keys, "_name"], "_value", {"_median": 0.5})
+    # a group without any value has no median, but it is a group
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, F.col("_median"))).alias(name) for name in columns]
     )

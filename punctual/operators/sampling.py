@@ -17,6 +17,8 @@ from punctual.session import settle, settle_observed
 
 # Above this many rows a cell is divided again before its rows are ranked.
 ROWS_PER_CELL = 500_000
+# How often a row is repeated at once.
+REPEATS = 10_000
 # How many leading hex digits of the hash make up each level of cells.
 DIGITS = (3, 6, 9)
 
@@ -66,7 +68,7 @@ def _cutoffs(
         )
         edges, seen = settle_observed(edges, {**size_metrics(edges), "_most": F.max("_c")})
         narrowed = attach(
-            inside.drop("_left"), edges.drop("_c"), strata, "inner", size=estimated_bytes(edges, seen)
+            inside.drop("_left"), edges.drop("_c"), strata, "inner", size=estimated_bytes(edges, seen), null_safe=True
         )
         inside = narrowed.filter(F.col(level) == F.col("_edge")).drop("_edge")
         if (seen["_most"] or 0) <= rows_per_cell:
@@ -90,8 +92,8 @@ def _take(
     cutoffs = _cutoffs(narrow, strata, order, levels, quota, rows_per_cell)
     here = F.struct(*order)
     if mark is None:
-        return attach(ordered, cutoffs, strata, "inner").filter(here <= F.col("_last")).select(*columns)
-    joined = attach(ordered, cutoffs, strata, "left")
+        return attach(ordered, cutoffs, strata, "inner", null_safe=True).filter(here <= F.col("_last")).select(*columns)
+    joined = attach(ordered, cutoffs, strata, "left", null_safe=True)
     return joined.withColumn(mark, F.coalesce(here <= F.col("_last"), F.lit(False))).select(*columns, mark)
 
 
@@ -164,12 +166,19 @@ def undersample(df: DataFrame, row_id: str, label: str, *, per_rare: float = 1.0
 
 
 def oversample(df: DataFrame, label: str) -> DataFrame:
-    """Repeat each row of a class ``floor(largest class / its class)`` times. Train rows only."""
+    """Repeat each row of a class ``floor(largest class / its class)`` times. Train rows only.
+
+    A row is repeated in two steps, so that no row holds an array longer than ``REPEATS`` or the
+    number of such arrays, however rare its class is.
+    """
     counts = settle(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     largest = counts.agg(F.max("_n").alias("n")).scalar()
-    times = counts.select(label, F.floor(largest / F.col("_n")).cast("int").alias("_times"))
-    repeated = attach(df, times, label, "inner").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.drop("_times", "_copy")
+    times = counts.select(label, F.floor(largest / F.col("_n")).cast("long").alias("_times"))
+    repeated = attach(df, times, label, "inner", null_safe=True)
+    starts = F.expr(f"sequence(0L, _times - 1, {REPEATS}L)")
+    repeated = repeated.withColumn("_start", F.explode(starts))
+    copies = F.expr(f"sequence(1L, least({REPEATS}L, _times - _start))")
+    return repeated.withColumn("_copy", F.explode(copies)).drop("_times", "_start", "_copy")
 
 
 def stratum_shares(population: DataFrame, sample: DataFrame, column: str) -> DataFrame:
@@ -206,4 +215,4 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    return attach(df, class_weights(df, label, name).select(label, name), label)
+    return attach(df, class_weights(df, label, name).select(label, name), label, null_safe=True)

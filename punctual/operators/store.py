@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctual.functions.clean import utc
+from punctual.operators.lookup import attach
 from punctual.operators.quantiles import column_medians, group_quantiles
 
 
@@ -50,9 +52,8 @@ def build_store(
     )
     middle = column_medians(rows, [entity], {n: source for n, (source, _) in medians.items()})
     middle = middle.withColumns({n: rounded(F.col(n), d) for n, (_, d) in medians.items()})
-    stamp = (F.current_timestamp() if computed_at is None else computed_at).cast("timestamp").cast("timestamp_ntz")
-    stamp = F.convert_timezone(F.current_timezone(), F.lit("UTC"), stamp)
-    return base.join(middle, entity, "left").withColumns(
+    stamp = utc(F.current_timestamp() if computed_at is None else computed_at.cast("timestamp"))
+    return attach(base, middle, entity, null_safe=True).withColumns(
         {"computed_at": F.date_format(stamp, "yyyy-MM-dd'T'HH:mm:ss'Z'"), "distance_unit": F.lit(unit)}
     )
 

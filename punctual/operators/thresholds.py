@@ -1,19 +1,20 @@
 """Threshold sweeps over a score: average precision and the best recall at a precision.
 
 Rows are first reduced to one line per distinct score. Running totals over those lines are
-built in two steps, totals per score range and then within each range, so that no single
+built in steps, totals per score range and then within each range, so that no single
 task has to see all distinct scores.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctual.operators.lookup import attach
 from punctual.session import settle
 
 LINES_PER_RANGE = 500_000
+MOST_RANGES, RANGES_PER_BLOCK = 1_000_000, 1_000
 
 
 def sweep(df: DataFrame, score: str, positive: Column, *, lines_per_range: int = LINES_PER_RANGE) -> DataFrame:
@@ -27,26 +28,21 @@ def sweep(df: DataFrame, score: str, positive: Column, *, lines_per_range: int =
         .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(positive).alias("hits"), F.count(F.lit(1)).alias("rows"))
     )
-    ranges = -(-lines.count() // lines_per_range)
-    if ranges > 1:
-        inner = lines.approxQuantile("threshold", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
-        splits = [float("-inf"), *sorted(set(inner)), float("inf")]
-        bucketizer = Bucketizer(splits=splits, inputCol="threshold", outputCol="_range")
-        lines = bucketizer.transform(lines)
-    else:
-        lines = lines.withColumn("_range", F.lit(0.0))
-    higher = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = lines.groupBy("_range").agg(F.sum("hits").alias("_h"), F.sum("rows").alias("_r"))
-    offsets = offsets.select(
-        "_range",
-        F.coalesce(F.sum("_h").over(higher), F.lit(0)).alias("_hits_above"),
-        F.coalesce(F.sum("_r").over(higher), F.lit(0)).alias("_rows_above"),
+    # distinct scores dealt to ranges by sampled splitters; a range is a partition, written with its number
+    ranges = min(max(1, -(-lines.count() // lines_per_range)), MOST_RANGES)
+    dealt = lines.repartitionByRange(ranges, F.desc("threshold")) if ranges > 1 else lines.coalesce(1)
+    placed = settle(dealt.withColumn("_range", F.spark_partition_id()))
+    totals = placed.groupBy("_range").agg(F.sum("hits").alias("_h"), F.sum("rows").alias("_r"))
+    totals = settle(totals.withColumn("_block", F.floor(F.col("_range") / RANGES_PER_BLOCK)))
+    # at most MOST_RANGES / RANGES_PER_BLOCK blocks: the only window without a key
+    blocks = totals.groupBy("_block").agg(F.sum("_h").alias("_h"), F.sum("_r").alias("_r"))
+    blocks = _above(blocks, [], "_block").select("_block", F.col("_ha").alias("_hb"), F.col("_ra").alias("_rb"))
+    offsets = attach(_above(totals, ["_block"], "_range"), blocks, "_block").select(
+        "_range", (F.col("_ha") + F.col("_hb")).alias("_hits_above"), (F.col("_ra") + F.col("_rb")).alias("_rows_above")
     )
-    # one line per score range, and the number of ranges is set above
-    placed = lines.join(F.broadcast(offsets), "_range")
     running = Window.partitionBy("_range").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, 0)
-    positives = lines.agg(F.sum("hits").alias("n")).scalar()
-    return placed.select(
+    positives = placed.agg(F.sum("hits").alias("n")).scalar()
+    return attach(placed, offsets, "_range").select(
         "threshold",
         "hits",
         (F.col("_hits_above") + F.sum("hits").over(running)).alias("caught"),
@@ -55,6 +51,12 @@ def sweep(df: DataFrame, score: str, positive: Column, *, lines_per_range: int =
     )
 
 
+def _above(totals: DataFrame, within: list[str], order: str) -> DataFrame:
+    """``totals`` with the sums of _h and _r of the rows before, as _ha and _ra."""
+    before = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumns({f"{c}a": F.coalesce(F.sum(c).over(before), F.lit(0)) for c in ("_h", "_r")})
+
+
 def average_precision(swept: DataFrame) -> DataFrame:
     """Step-wise area under the precision-recall curve, as one row."""
     step = F.try_divide(F.col("hits"), F.col("positives")) * F.col("caught") / F.col("flagged")

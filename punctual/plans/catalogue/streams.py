@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.operators.split import time_split
-from punctual.plans.catalogue.adapters import EVENTS, LONG_HOLDOUT_DAYS, events, hundredths, rules_minutes, sides, table
+from punctual.plans.catalogue.adapters import EVENTS, HOLDOUT_DAYS, LONG_HOLDOUT_DAYS, events, hundredths, rules_minutes, sides, table
 from punctual.plans.catalogue.history import store_sql, user_store
 from punctual.plans.catalogue.quality import request_bodies
 from punctual.plans.catalogue.registry import query
@@ -117,7 +117,7 @@ def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
     root, out, inbox = (shared_path(spark, n) for n in ("store", "scored", "inbox"))
     train = time_split(events(spark, sf), "ts", LONG_HOLDOUT_DAYS)[0]
     store = user_store(train).withColumn("restaurant_id", F.col("user_id").cast("string"))
-    publish(store.select("restaurant_id", "event_type", "k", "computed_at", "distance_unit"), root, 1)
+    publish(store.select("restaurant_id", "event_type", "k", "computed_at", "distance_unit"), root)
     bodies = request_bodies(spark, sf).select("body")
     bodies.write.parquet(inbox)
     arriving = file_stream(spark, inbox, bodies.schema)
@@ -131,16 +131,18 @@ def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     with {EVENTS}, {store_sql('ev', 'store')}
-    select user_id, event_type, value, k, orders_seen, cast(0 as bigint) as store_version from store
+    select user_id, event_type, value, k, orders_seen, cast(2 as bigint) as store_version from store
     """
 )
 def stream_refreshed_store(spark: SparkSession, sf: str) -> DataFrame:
-    """Arriving files trigger a rebuild, published as the version of the micro-batch."""
-    root, progress = shared_path(spark, "store"), shared_path(spark, "progress")
-    arrivals = event_files(spark, sf)
-    refresh_store(
-        arrivals, lambda: events(spark, sf), user_store, root, progress, trigger={"availableNow": True}
-    ).awaitTermination()
+    """Events arrive in two lots; the second rebuilds only the users it touches."""
+    root, progress, inbox = (shared_path(spark, n) for n in ("store", "progress", "inbox"))
+    rows = events(spark, sf)
+    early, late = time_split(rows, "ts", HOLDOUT_DAYS)
+    arrivals = file_stream(spark, inbox, rows.schema)
+    for lot in (early, late):
+        lot.write.mode("append").parquet(inbox)
+        refresh_store(arrivals, "user_id", user_store, root, progress, trigger={"availableNow": True}).awaitTermination()
     latest = read_version(spark, root)
     return latest.select(
         "user_id", "event_type", "value", "k", "orders_seen", F.col("store_version").cast("long").alias("store_version")

@@ -17,10 +17,6 @@ FEATURE_STORE = (
     "promised_eta_min double, orders_seen long, computed_at string, distance_unit string"
 )
 
-REQUEST = (
-    "order_id string, restaurant_id string, n_items int, weather string, placed_at string"
-)
-
 LABEL_SHEET = (
     "order_id string, city string, hour int, weather string, distance_km double, n_items int, "
     "promised_eta_min double, actual_minutes double, acceptable string"

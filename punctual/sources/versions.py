@@ -1,48 +1,102 @@
 """A table that is replaced as a whole while others read it.
 
-Each version is written to a folder of its own and becomes visible by one row in a small
-pointer table. A reader picks one version and reads only that folder, so it never sees a mix
-of two. Publishing the same version again overwrites its own folder and is harmless.
+Each version is written to a folder of its own, under a name that no other attempt uses, and becomes
+visible by one row in a small pointer table. A reader picks one version and reads only that folder,
+so it never sees a mix of two, and nothing it may have open is ever overwritten. Numbers only grow:
+whoever publishes next gets the latest number plus one, also after a restart with new progress.
+A micro-batch that is run again is known by its origin and publishes nothing. There is one publisher
+at a time.
 """
 
 from __future__ import annotations
 
 import os
+import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+POINTER = "version long, folder string, origin string, published_at timestamp"
+
 
 def _pointer(root: str) -> str:
     return os.path.join(root, "published")
 
 
-def _folder(root: str, version: int) -> str:
-    return os.path.join(root, f"v{version}")
-
-
-def publish(df: DataFrame, root: str, version: int) -> None:
-    """Write ``df`` as ``version`` and then announce it."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(_folder(root, version))
-    line = df.sparkSession.range(1).select(
-        F.lit(version).cast("long").alias("version"), F.current_timestamp().alias("published_at")
-    )
-    line.coalesce(1).write.mode("append").parquet(_pointer(root))
-
-
-def latest_version(spark: SparkSession, root: str) -> int | None:
+def _versions(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(_pointer(root)).agg(F.max("version")).first()[0]
+        return spark.read.schema(POINTER).parquet(_pointer(root))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
+def _announce(spark: SparkSession, root: str, rows: list[tuple]) -> None:
+    spark.createDataFrame(rows, POINTER).coalesce(1).write.mode("append").parquet(_pointer(root))
+
+
+def publish(df: DataFrame, root: str, origin: str | None = None) -> int:
+    """Write ``df`` as a new version, announce it and return its number.
+
+    With an ``origin``, such as a stream's id and batch, that is already announced, nothing is written
+    and its number is returned.
+    """
+    spark = df.sparkSession
+    known = _versions(spark, root)
+    if known is not None and origin is not None:
+        before = known.filter(F.col("origin") == origin).agg(F.max("version")).first()[0]
+        if before is not None:
+            return before
+    folder = f"v-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(os.path.join(root, folder))
+    version = (latest_version(spark, root) or 0) + 1
+    now = spark.range(1).select(F.current_timestamp()).first()[0]
+    _announce(spark, root, [(version, folder, origin, now)])
+    return version
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    known = _versions(spark, root)
+    return None if known is None else known.agg(F.max("version")).first()[0]
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The given or the latest version, with its number in ``store_version``."""
-    number = latest_version(spark, root) if version is None else version
-    if number is None:
+    known = _versions(spark, root)
+    row = None
+    if known is not None:
+        chosen = known if version is None else known.filter(F.col("version") == version)
+        row = chosen.agg(F.max(F.struct("version", "folder")).alias("r")).first()["r"]
+    if row is None:
         raise FileNotFoundError(f"nothing published below {root}")
-    return spark.read.parquet(_folder(root, number)).withColumn("store_version", F.lit(number))
+    return spark.read.parquet(os.path.join(root, row["folder"])).withColumn("store_version", F.lit(row["version"]))
+
+
+def expire(spark: SparkSession, root: str, keep: int = 10, grace_seconds: float = 3600) -> int:
+    """Make the pointer one file and delete versions that are neither among the last ``keep`` nor younger
+    than the grace that readers are given. Returns how many versions went.
+
+    What stays is announced anew before anything is deleted, so a reader finds the latest version at any time.
+    """
+    known = _versions(spark, root)
+    if known is None:
+        return 0
+    files = [r["f"] for r in known.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
+    # one row per publication since the last call
+    rows = {r["version"]: tuple(r) for r in known.collect()}
+    last = sorted(rows)[-keep:]
+    oldest = time.time() - grace_seconds
+    kept = {v: r for v, r in rows.items() if v in last or r[3].timestamp() > oldest}
+    _announce(spark, root, sorted(kept.values()))
+    for path in [*files, *(os.path.join(root, r[1]) for v, r in rows.items() if v not in kept)]:
+        _delete(spark, path)
+    return len(rows) - len(kept)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Through Hadoop's file systems, which reach whatever Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

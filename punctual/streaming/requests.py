@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from punctual.functions.clean import fill_zero, parse_utc, to_number
+from punctual.functions.clean import fill_zero, parse_local, parse_utc, to_number, utc
 from punctual.functions.calendar import iso_weekday
-from punctual.operators.lookup import lookup_with_default
+from punctual.operators.lookup import attach, lookup_with_default
 from punctual.operators.store import store_info
 from punctual.session import settle
-from punctual.sources.schemas import REQUEST
-from punctual.sources.versions import publish, read_version
+from punctual.sources.versions import latest_version, publish, read_version
 from punctual.streaming.common import write_batch
 
 # What a request may contain, and the profile of an entity nobody has heard of.
@@ -24,23 +25,47 @@ WEATHER = ("clear", "rain", "heavy_rain")
 DEFAULT_PROFILE = {"city": "Mumbai", "distance_km": 3.5, "prep_min_estimate": 15.0, "courier_rating": 4.4}
 
 
-def parse_requests(raw: DataFrame, body: str = "body", received_at: Column | None = None) -> DataFrame:
+# Folders that the history of a feature table is spread over.
+BUCKETS = 256
+# The id in the metadata file of a stream.
+STREAM_ID = re.compile(r'"id" *: *"([^"]+)"')
+
+
+def parse_requests(
+    raw: DataFrame, body: str = "body", received_at: Column | None = None, *, hour_as_given: bool = True
+) -> DataFrame:
     """JSON text to request columns plus ``problem``: null if the request is valid.
 
-    A missing weather is clear; a missing order time is the time of receipt.
+    A missing weather is clear, but a null one is refused. A missing, null or empty order time is the time
+    of receipt in UTC. Counts may come as whole numbers of any spelling. With ``hour_as_given`` a time
+    keeps its own clock, whatever its offset; otherwise it is moved to UTC. Fields are those of
+    the outermost object only.
     """
-    parsed = raw.withColumn("_r", F.from_json(body, REQUEST))
-    placed = F.col("_r.placed_at")
-    now = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
-    received = now if received_at is None else received_at
-    weather_given = F.col(body).rlike(r'"weather"\s*:')
-    weather = F.when(weather_given, F.col("_r.weather")).otherwise(F.lit("clear"))
+
+    def field(name: str) -> Column:
+        return F.try_variant_get("_v", f"$.{name}", "variant")
+
+    def text(name: str) -> Column:
+        """The field if it is text; null if it is missing or anything else."""
+        is_text = F.schema_of_variant(field(name)) == "STRING"
+        return F.when(is_text, F.try_variant_get("_v", f"$.{name}", "string"))
+
+    def given(name: str) -> Column:
+        return field(name).isNotNull()
+
+    parsed = raw.withColumn("_v", F.try_parse_json(body))
+    received = utc(F.current_timestamp()) if received_at is None else received_at
+    placed = text("placed_at")
+    parse = parse_local if hour_as_given else parse_utc
+    no_time = ~given("placed_at") | F.coalesce(F.is_variant_null(field("placed_at")), F.lit(False)) | (placed == "")
+    number = F.try_variant_get("_v", "$.n_items", "string")
+    whole = F.when(number.rlike(r"^\s*[+-]?[0-9]+(\.0*)?\s*$"), F.trim(number).try_cast("double").try_cast("int"))
     columns = {
-        "order_id": F.col("_r.order_id"),
-        "restaurant_id": F.col("_r.restaurant_id"),
-        "n_items": F.col("_r.n_items"),
-        "weather": weather,
-        "placed_utc": F.when(placed.isNull(), received).otherwise(parse_utc(placed)),
+        "order_id": text("order_id"),
+        "restaurant_id": text("restaurant_id"),
+        "n_items": whole,
+        "weather": F.when(given("weather"), text("weather")).otherwise(F.lit("clear")),
+        "placed_utc": F.when(no_time, received).otherwise(parse(placed)),
     }
     problem = (
         F.when(F.col("order_id").isNull(), "order_id")
@@ -49,7 +74,7 @@ def parse_requests(raw: DataFrame, body: str = "body", received_at: Column | Non
         .when(~F.coalesce(F.col("weather").isin(*WEATHER), F.lit(False)), "weather")
         .when(F.col("placed_utc").isNull(), "placed_at")
     )
-    return parsed.withColumns(columns).drop("_r").withColumn("problem", problem)
+    return parsed.withColumns(columns).drop("_v").withColumn("problem", problem)
 
 
 def assemble(requests: DataFrame, store: DataFrame, defaults: dict = DEFAULT_PROFILE, *, stored: bool = True) -> DataFrame:
@@ -92,8 +117,9 @@ def score_stream(
     """Validate, look up, score and write every micro-batch.
 
     Each batch reads the latest published store once and names its version on every row, so no
-    row mixes two versions and nothing stale is kept between batches. Bad requests go to
-    ``quarantine``; a batch served from a store older than ``max_age`` seconds adds a line to
+    row mixes two versions and nothing stale is kept between batches. As long as nothing is published,
+    every request is served with the default profile and without a stamp. Bad requests go to
+    ``quarantine``; a batch served from no store or one older than ``max_age`` seconds adds a line to
     ``alerts``, but is served all the same.
     """
     spark = raw.sparkSession
@@ -101,14 +127,20 @@ def score_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         checked = settle(parse_requests(batch, body))
         write_batch(checked.filter("problem is not null"), os.path.join(out, "quarantine"), batch_id)
-        store = read_version(spark, store_root)
-        about = store_info(store).withColumn("store_version", store.agg(F.max("store_version")).scalar()).first()
+        try:
+            store = read_version(spark, store_root)
+            about = store_info(store).withColumn("store_version", store.agg(F.max("store_version")).scalar()).first()
+        except FileNotFoundError:
+            nothing = [T.StructField("restaurant_id", T.StringType()), T.StructField("store_version", T.LongType())]
+            kinds = [T.StructField(c, T.StringType() if isinstance(v, str) else T.DoubleType()) for c, v in defaults.items()]
+            store = spark.createDataFrame([], T.StructType([*nothing, *kinds]))
+            about = {"computed_at": None, "store_version": None, "age_seconds": None}
         rows = assemble(checked.filter("problem is null").drop("problem"), store.drop("store_version"), defaults)
         scored = score(rows).withColumns(
             {
-                "store_computed_at": F.lit(about["computed_at"]),
-                "store_version": F.lit(about["store_version"]),
-                "store_age_seconds": F.lit(about["age_seconds"]),
+                "store_computed_at": F.lit(about["computed_at"]).cast("string"),
+                "store_version": F.lit(about["store_version"]).cast("long"),
+                "store_age_seconds": F.lit(about["age_seconds"]).cast("long"),
             }
         )
         write_batch(scored, os.path.join(out, "scored"), batch_id)
@@ -128,25 +160,47 @@ def score_stream(
 
 def refresh_store(
     arrivals: DataFrame,
-    rows: Callable[[], DataFrame],
+    entity: str,
     build: Callable[[DataFrame], DataFrame],
     store_root: str,
     progress: str,
     *,
+    buckets: int = BUCKETS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Rebuild and publish the feature table whenever new rows have arrived.
+    """Publish a new feature table for every micro-batch, building only what it touches.
 
-    The micro-batch only tells that there is something new; the table is built from ``rows()``.
-    The batch number is the version, so a batch that is run again publishes the same version.
+    The rows of a batch are added to a history below ``progress``, laid out by bucket of the entity. Only
+    the entities of the batch are built anew, from the files of their buckets; the others are taken
+    over from the version before. The result equals a build from all rows. A batch that is run again
+    replaces its own rows and publishes nothing twice. ``build`` gives one row per entity.
     """
+    spark = arrivals.sparkSession
+    history = os.path.join(progress, "history")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        publish(build(rows()), store_root, batch_id)
+        # the id of the stream changes with its progress folder, the number of the batch begins anew with it
+        stream = spark.read.text(os.path.join(progress, "stream", "metadata")).first()[0]
+        origin = f"{STREAM_ID.search(stream)[1]}:{batch_id}"
+        bucket = F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")
+        part = os.path.join(history, f"batch={origin.replace(':', '-')}")
+        batch.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(part)
+        kinds = T.StructType([*batch.schema, T.StructField("batch", T.StringType()), T.StructField("_bucket", T.IntegerType())])
+        every = spark.read.schema(kinds).parquet(history).drop("batch")
+        fresh = spark.read.schema(every.schema).parquet(part)
+        touched = settle(fresh.select(entity, "_bucket").distinct())
+        found = [r[0] for r in touched.select("_bucket").distinct().collect()]  # at most ``buckets``
+        rows = every.filter(F.col("_bucket").isin(found)).drop("_bucket")
+        rows = attach(rows, touched.select(entity), entity, "left_semi", null_safe=True)
+        store = build(rows)
+        if latest_version(spark, store_root) is not None:
+            before = read_version(spark, store_root).drop("store_version")
+            store = store.unionByName(attach(before, touched.select(entity), entity, "left_anti", null_safe=True))
+        publish(store, store_root, origin)
 
     return (
         arrivals.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", progress)
+        .option("checkpointLocation", os.path.join(progress, "stream"))
         .trigger(**(trigger or {"processingTime": "20 seconds"}))
         .start()
     )

@@ -1,10 +1,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from punctual.session import shared_path
-from punctual.sources.versions import publish
+from punctual.sources.versions import expire, latest_version, publish, read_version
 from punctual.streaming.common import drain, drained, event_time, file_stream
 from punctual.streaming.orders import bias_by_window, deliveries, drop_twins
 from punctual.streaming.requests import parse_requests, refresh_store, respond, score_stream
@@ -89,7 +90,26 @@ REQUESTS = [
 def test_requests_are_validated(spark):
     got = parse_requests(spark.createDataFrame(REQUESTS, "body string")).collect()
     assert [r["problem"] for r in got] == [None, None, "n_items", "weather", "placed_at", "order_id", "order_id", None]
-    assert got[0]["placed_utc"].hour == 14 and got[1]["weather"] == "clear" and got[1]["placed_utc"] is not None
+    assert got[0]["placed_utc"].hour == 19 and got[1]["weather"] == "clear" and got[1]["placed_utc"] is not None
+
+
+def test_request_rules(spark):
+    cases = [
+        ('{"order_id":"1","restaurant_id":"R","n_items":"2","placed_at":""}', None),
+        ('{"order_id":"1","restaurant_id":"R","n_items":2.0,"placed_at":null,"note":{"weather":"hail"}}', None),
+        ('{"order_id":"1","restaurant_id":"R","n_items":2.5}', "n_items"),
+        ('{"order_id":"1","restaurant_id":"R","n_items":2,"weather":null}', "weather"),
+        ('{"order_id":5,"restaurant_id":"R","n_items":2}', "order_id"),
+        ('{"order_id":"1","restaurant_id":"R","n_items":2,"placed_at":7}', "placed_at"),
+        ('["order_id"]', "order_id"),
+        (None, "order_id"),
+    ]
+    got = parse_requests(spark.createDataFrame([(b,) for b, _ in cases], "body string")).collect()
+    assert [r["problem"] for r in got] == [p for _, p in cases]
+    assert got[0]["n_items"] == 2 and got[0]["placed_utc"] is not None and got[1]["weather"] == "clear"
+    offset = spark.createDataFrame([('{"order_id":"1","restaurant_id":"R","n_items":2,"placed_at":"2025-01-01T12:00:00+05:30"}',)], "body string")
+    assert parse_requests(offset).first()["placed_utc"].hour == 12
+    assert parse_requests(offset, hour_as_given=False).first()["placed_utc"].hour == 6
 
 
 def score(rows):
@@ -103,7 +123,7 @@ STORE = "restaurant_id string, city string, distance_km double, prep_min_estimat
 def test_scoring_stream_names_its_store_version(spark):
     root, out, inbox = (shared_path(spark, n) for n in ("store", "out", "inbox"))
     lines = [("R1", "Pune", 2.0, 12.0, 4.0, "2025-01-01T00:00:00Z", "km"), ("R2", "Pune", 4.0, None, 4.0, "2025-01-01T00:00:00Z", "km")]
-    publish(spark.createDataFrame(lines, STORE), root, 3)
+    publish(spark.createDataFrame(lines, STORE), root)
     spark.createDataFrame(REQUESTS, "body string").write.parquet(inbox)
 
     def go():
@@ -113,36 +133,75 @@ def test_scoring_stream_names_its_store_version(spark):
     scored = spark.read.parquet(os.path.join(out, "scored"))
     got = {r["order_id"]: r for r in scored.collect()}
     assert sorted(got) == ["1", "2", "6"]
-    assert got["1"]["pred"] == 19.0 and got["1"]["hour"] == 14 and not got["1"]["used_default_profile"]
+    assert got["1"]["pred"] == 19.0 and got["1"]["hour"] == 19 and not got["1"]["used_default_profile"]
     assert got["2"]["used_default_profile"] and got["2"]["city"] == "Mumbai"
     assert got["6"]["filled"] == 1 and got["6"]["prep_min_estimate"] == 0.0
-    assert {r["store_version"] for r in got.values()} == {3}
+    assert {r["store_version"] for r in got.values()} == {1}
     assert spark.read.parquet(os.path.join(out, "quarantine")).count() == 5
-    assert [r["store_version"] for r in spark.read.parquet(os.path.join(out, "alerts")).collect()] == [3]
+    assert [r["store_version"] for r in spark.read.parquet(os.path.join(out, "alerts")).collect()] == [1]
     response = respond(scored, ["distance_km", "n_items", "hour", "dow", "city", "weather"], F.lit(5.6), F.col("store_computed_at"))
     first = response.filter("order_id = '1'").first()
     assert first["eta_minutes"] == 19.0 and first["features_used"]["city"] == "Pune"
 
     # a newer store is picked up by the next batch without a restart of anything else
-    publish(spark.createDataFrame(lines[:1], STORE).withColumn("distance_km", F.lit(20.0)), root, 4)
+    publish(spark.createDataFrame(lines[:1], STORE).withColumn("distance_km", F.lit(20.0)), root)
     spark.createDataFrame(REQUESTS[:1], "body string").write.mode("append").parquet(inbox)
     go()
-    again = spark.read.parquet(os.path.join(out, "scored")).filter("store_version = 4").first()
+    again = spark.read.parquet(os.path.join(out, "scored")).filter("store_version = 2").first()
     assert again["pred"] == 73.0
 
 
-def test_refresh_publishes_once_per_batch(spark):
-    folder = write_files(spark, [[(1, "a", "2025-01-01 10:00:00", 1.0, 1.0)], [(2, "b", "2025-01-01 10:00:00", 1.0, 1.0)]])
-    root = shared_path(spark, "store")
+def test_scoring_before_anything_is_published(spark):
+    root, out, inbox = (shared_path(spark, n) for n in ("store", "out", "inbox"))
+    spark.createDataFrame(REQUESTS, "body string").write.parquet(inbox)
+    score_stream(file_stream(spark, inbox, "body string"), root, score, out).awaitTermination()
+    rows = spark.read.parquet(os.path.join(out, "scored")).collect()
+    assert len(rows) == 3 and all(r["used_default_profile"] and r["store_computed_at"] is None for r in rows)
+    assert spark.read.parquet(os.path.join(out, "alerts")).count() == 1
+
+
+def counted(rows):
+    return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"))
+
+
+def test_refresh_equals_a_full_build_and_reads_only_what_it_touches(spark):
+    lots = [[(i, f"k{i % 7}", "2025-01-01 10:00:00", 1.0 * i, 1.0) for i in range(40)], [(90, "k3", "2025-01-02 10:00:00", 5.0, 1.0), (91, None, "2025-01-02 10:00:00", 2.0, 1.0)]]
+    root, inbox, progress = (shared_path(spark, n) for n in ("store", "in", "progress"))
+    seen = []
 
     def build(rows):
-        return rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        seen.append(rows.select("k").distinct().count())
+        return counted(rows)
+
+    def refresh():
+        refresh_store(file_stream(spark, inbox, EVENTS), "k", build, root, progress, trigger={"availableNow": True}).awaitTermination()
+
+    for lot in lots:
+        event_rows(spark, lot).coalesce(1).write.mode("append").parquet(inbox)
+        refresh()
+    assert seen == [7, 2] and latest_version(spark, root) == 2
+    want = sorted(map(str, counted(event_rows(spark, [r for lot in lots for r in lot])).collect()))
+    assert sorted(map(str, read_version(spark, root).drop("store_version").collect())) == want
 
-    refresh_store(
-        file_stream(spark, os.path.join(folder, "*"), EVENTS, files_per_batch=1),
-        lambda: spark.read.schema(EVENTS).parquet(os.path.join(folder, "*")),
-        build, root, shared_path(spark, "progress"), trigger={"availableNow": True},
-    ).awaitTermination()
-    from punctual.sources.versions import latest_version, read_version
+    # lost progress: batches begin at 0 again, versions do not
+    progress = shared_path(spark, "progress")
+    refresh()
+    assert latest_version(spark, root) == 3
+    assert sorted(map(str, read_version(spark, root).drop("store_version").collect())) == want
 
-    assert latest_version(spark, root) == 1 and read_version(spark, root).count() == 2
+
+def test_versions_are_never_overwritten(spark):
+    root = shared_path(spark, "store")
+    assert publish(spark.range(3), root, "a:0") == 1
+    open_reader = read_version(spark, root)
+    assert publish(spark.range(9), root, "a:0") == 1 and latest_version(spark, root) == 1
+    assert publish(spark.range(5), root, "b:0") == 2
+    assert open_reader.count() == 3 and read_version(spark, root, 1).count() == 3
+    for n in range(4):
+        publish(spark.range(n), root)
+    assert expire(spark, root, keep=2, grace_seconds=3600) == 0 and read_version(spark, root, 1).count() == 3
+    assert expire(spark, root, keep=2, grace_seconds=-60) == 4
+    assert latest_version(spark, root) == 6 and read_version(spark, root).count() == 3 and read_version(spark, root, 5).count() == 2
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, root, 1)
+    assert publish(spark.range(1), root) == 7
