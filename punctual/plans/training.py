@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -27,7 +27,7 @@ from punctual.operators.sampling import (
 from punctual.operators.slices import order_slices, slice_report
 from punctual.operators.split import time_split
 from punctual.operators.thresholds import average_precision, recall_at_precision, sweep
-from punctual.session import settle, shared_root
+from punctual.session import settle
 
 # What the scoring side can assemble, which of it is categorical, the restricted set.
 SERVING_FEATURES = [
@@ -41,8 +41,10 @@ FEATURE_SETS = {
     "slim": ["distance_km", "restaurant_prep_min_estimate", "hour", "city"],
 }
 
-# A tree column may not have more categories than bins, and its categories pass through the driver.
-MAX_CATEGORIES = 256
+# Bins of a tree column. A column with more categories keeps the most frequent ones; the rest is one more.
+MAX_BINS = 256
+MOST_CATEGORIES = MAX_BINS - 2
+REST = "(other)"
 
 
 def serving_frame(labelled: DataFrame) -> DataFrame:
@@ -51,26 +53,47 @@ def serving_frame(labelled: DataFrame) -> DataFrame:
     return labelled.withColumns({n: F.col(c) for n, c in renamed.items()})
 
 
-def _check_categories(df: DataFrame, columns: list[str]) -> None:
-    if not columns:
-        return
-    sizes = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    wide = [c for c in columns if sizes[c] > MAX_CATEGORIES * 0.9]
-    if wide:
-        raise ValueError(f"too many categories for a tree model, use a history instead: {wide}")
+def _folded(train: DataFrame, columns: list[str], most: int) -> dict[str, list[str]]:
+    """The ``most`` most frequent categories (the smaller first on a tie) of each column that has more."""
+    kept = {}
+    for column in columns:
+        counts = train.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("c")).count()
+        top = counts.orderBy(F.desc("count"), "c").limit(most + 1).collect()
+        if len(top) > most:
+            kept[column] = [r["c"] for r in top[:most]]
+    return kept
 
 
-def _stages(features: list[str], categorical: list[str]) -> list:
+def _stages(train: DataFrame, features: list[str], categorical: list[str], most: int) -> list:
+    """Index categories, fold rare ones, assemble. A category that train never had counts as a missing one."""
     used = [c for c in categorical if c in features]
-    stages = []
+    stages, inputs = [], {c: c for c in features}
+    kept = _folded(train, used, most)
+    if kept:
+        def quoted(value: str) -> str:
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+        cases = [
+            f"CASE WHEN `{c}` IS NULL THEN NULL WHEN CAST(`{c}` AS STRING) IN ({', '.join(map(quoted, values))})"
+            f" THEN CAST(`{c}` AS STRING) ELSE '{REST}' END AS `_{c}_kept`"
+            for c, values in kept.items()
+        ]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(cases)} FROM __THIS__"))
     if used:
         outputs = [f"_{c}_index" for c in used]
-        stages.append(StringIndexer(inputCols=used, outputCols=outputs, handleInvalid="keep"))
-    inputs = [f"_{c}_index" if c in used else c for c in features]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep"))
+        sources = [f"_{c}_kept" if c in kept else c for c in used]
+        stages.append(StringIndexer(inputCols=sources, outputCols=outputs, handleInvalid="keep"))
+        inputs |= dict(zip(used, outputs))
+    stages.append(VectorAssembler(inputCols=[inputs[c] for c in features], outputCol="_features", handleInvalid="keep"))
     return stages
 
 
+def _fit(learner, train: DataFrame, columns: list, features: list[str], categorical: list[str], most: int) -> PipelineModel:
+    """Fit on the columns in use, written once: each tree level reads that table and not what lies below it."""
+    narrow = settle(train.select(*columns))
+    return Pipeline(stages=[*_stages(narrow, features, categorical, most), learner]).fit(narrow)
+
+
 def fit_regressor(
     train: DataFrame,
     features: list[str],
@@ -81,17 +104,18 @@ def fit_regressor(
     depth: int = 5,
     step: float = 0.1,
     seed: int = 2026,
+    most_categories: int = MOST_CATEGORIES,
 ) -> PipelineModel:
-    """Gradient-boosted trees on the given columns. Statistics are aggregated on the executors."""
-    shared_root(train.sparkSession)
-    _check_categories(train, [c for c in categorical if c in features])
+    """Gradient-boosted trees on the given columns. Statistics are aggregated on the executors.
+
+    Of a categorical column the ``most_categories`` most frequent values count, all others as one.
+    """
     learner = GBTRegressor(
         featuresCol="_features", labelCol=target, predictionCol="pred", maxIter=trees, maxDepth=depth,
-        stepSize=step, maxBins=MAX_CATEGORIES, seed=seed, checkpointInterval=10,
-    )
-    return Pipeline(stages=[*_stages(features, categorical), learner]).fit(
-        train.select(*features, F.col(target).cast("double").alias(target))
+        stepSize=step, maxBins=MAX_BINS, seed=seed, checkpointInterval=10,
     )
+    columns = [*features, F.col(target).cast("double").alias(target)]
+    return _fit(learner, train, columns, features, categorical, most_categories)
 
 
 def fit_classifier(
@@ -104,25 +128,23 @@ def fit_classifier(
     trees: int = 20,
     depth: int = 5,
     seed: int = 2026,
+    most_categories: int = MOST_CATEGORIES,
 ) -> PipelineModel:
-    shared_root(train.sparkSession)
-    _check_categories(train, [c for c in categorical if c in features])
     learner = GBTClassifier(
         featuresCol="_features", labelCol=target, predictionCol="_class", maxIter=trees, maxDepth=depth,
-        maxBins=MAX_CATEGORIES, seed=seed, checkpointInterval=10,
+        maxBins=MAX_BINS, seed=seed, checkpointInterval=10,
     )
     learner = learner.setProbabilityCol("_probability").setRawPredictionCol("_raw")
     columns = [*features, F.col(target).cast("double").alias(target)]
     if weight:
         learner = learner.setWeightCol(weight)
         columns.append(weight)
-    return Pipeline(stages=[*_stages(features, categorical), learner]).fit(train.select(*columns))
+    return _fit(learner, train, columns, features, categorical, most_categories)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Add ``pred``; helper columns of the pipeline are dropped."""
-    scored = model.transform(rows)
-    return scored.select(*rows.columns, "pred")
+    return model.transform(rows).select(*rows.columns, "pred")
 
 
 def score_class(model: PipelineModel, rows: DataFrame, name: str = "proba") -> DataFrame:
@@ -158,18 +180,16 @@ def feature_bakeoff(
 ) -> DataFrame:
     """The same learner on several column lists; one row each with MAE, R2 and the gain over the first.
 
-    The columns in use are kept while the models that share them are fitted; a lost executor's
-    part of them is computed again.
+    The columns in use are written once to the shared folder, and all models are fitted on that table.
     """
     used = list(dict.fromkeys([c for features in sets.values() for c in features] + [target]))
-    train, test = train.select(*used).persist(), test.select(*used).persist()
+    train, test = settle(train.select(*used)), settle(test.select(*used))
     lines = []
     for name, features in sets.items():
         fitted = fit_regressor(train, features, target, categorical=categorical, **model)
         line = regression_report(score(fitted, test), "pred", target)
         lines.append(line.select(F.lit(name).alias("features"), "mae", "r2"))
     table = settle(_stack(lines))
-    train.unpersist(), test.unpersist()
     base = table.filter(F.col("features") == next(iter(sets))).agg(F.max("mae")).scalar()
     return table.withColumn("gain", base - F.col("mae"))
 
@@ -225,6 +245,8 @@ def imbalance_bakeoff(
     **model,
 ) -> DataFrame:
     """Plain against class-weighted, both at 0.5, and the weighted one at its best threshold for the precision."""
+    used = list(dict.fromkeys([*features, target]))
+    train, test = settle(train.select(*used)), settle(test.select(*used))
     weighted = with_class_weight(train, target)
     plain_model = fit_classifier(train, features, target, categorical=categorical, **model)
     weighted_model = fit_classifier(weighted, features, target, weight="weight", categorical=categorical, **model)
