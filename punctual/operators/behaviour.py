@@ -68,8 +68,13 @@ def shift_report(scored: DataFrame, by: str, max_ratio: float = 1.5) -> DataFram
     )
 
 
+def recorded_predictions(text: str) -> Column:
+    """Every ``eta_minutes`` in a text of recorded responses, in order."""
+    found = F.regexp_extract_all(F.col(text), F.lit(r'"eta_minutes":\s*([0-9.]+)'), F.lit(1))
+    return F.transform(found, lambda v: v.try_cast("double"))
+
+
 def prediction_ratio(text: str) -> Column:
     """Largest over smallest ``eta_minutes`` found in a text of recorded responses."""
-    found = F.regexp_extract_all(F.col(text), F.lit(r'"eta_minutes":\s*([0-9.]+)'), F.lit(1))
-    values = F.transform(found, lambda v: v.try_cast("double"))
+    values = recorded_predictions(text)
     return F.try_divide(F.array_max(values), F.array_min(values))

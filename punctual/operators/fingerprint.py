@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def content_hash(columns: list[str]) -> Column:
-    """Aggregate over all values of all rows that does not depend on their order."""
-    return F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    """Aggregate over all values of all rows that does not depend on their order.
+
+    The sum of 60 bits of the MD5 of each row's values as text, a null being the text ``\\N``.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
+    return F.sum(F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("decimal(38,0)"))
 
 
 def ends(df: DataFrame, ts: str, row_id: str) -> DataFrame:

@@ -25,10 +25,11 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 
 def leaderboard(runs: DataFrame, metric: str = "mae") -> DataFrame:
-    """Runs by ``metric``, best first, with the fingerprint beside the score."""
+    """Runs by ``metric``, best first, with its ratio to the best and the fingerprint beside the score."""
     value = F.col("metrics")[metric]
+    best = runs.agg(F.min(value)).scalar()
     return runs.select(
-        "name", value.alias(metric), F.col("params")["data_sha"].alias("data_sha")
+        "name", value.alias(metric), (value / best).alias("x_best"), F.col("params")["data_sha"].alias("data_sha")
     ).orderBy(F.asc_nulls_last(metric), "name")
 
 

@@ -16,7 +16,7 @@ BUDGET = 1.25
 
 
 def order_slices() -> dict[str, Column]:
-    """The named predicates of the order data. They overlap."""
+    """The named predicates of the order data. They overlap. Names and order."""
     return {
         "night 21:00-09:00": is_night(),
         "peak 12/13/19/20": is_peak(),

@@ -25,6 +25,7 @@ def with_side(df: DataFrame, ts: str = "placed_utc", holdout_days: int = 45, nam
 
 
 def hash_side(df: DataFrame, row_id: str, seed: int = 2026, train_percent: int = 80) -> DataFrame:
-    """Near ``train_percent`` / rest by a hash of the id: no shuffle, no count, repeatable."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(row_id)), F.lit(100))
+    """Near ``train_percent`` / rest by a hash of the id that other engines have too: no shuffle, no count, repeatable."""
+    digest = F.md5(F.concat(F.lit(str(seed)), F.col(row_id).cast("string")).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return df.withColumn("side", F.when(bucket < train_percent, "train").otherwise("test"))

@@ -164,14 +164,14 @@ def rater_agreement(spark: SparkSession, sf: str) -> DataFrame:
 
 COUNTERS = """
 avg(case when pred < value then 1.0 else 0.0 end) as promises_broken,
-sum(greatest(pred - value, 0)) * 1000 / count(*) as idle_per_1k, avg(abs(pred - value)) as mae
+sum(greatest(pred - value, 0)) as idle_minutes, sum(greatest(pred - value, 0)) * 1000 / count(*) as idle_per_1k, avg(abs(pred - value)) as mae
 """
 
 
 @query(f"with {EVENTS} select event_type, {COUNTERS} from ev group by event_type")
 def promise_report(spark: SparkSession, sf: str) -> DataFrame:
     """Promises broken and idle minutes."""
-    return promise_counters(events(spark, sf), "pred", "value", ["event_type"]).drop("idle_minutes")
+    return promise_counters(events(spark, sf), "pred", "value", ["event_type"])
 
 
 @query(
@@ -344,4 +344,4 @@ def prediction_shift(spark: SparkSession, sf: str) -> DataFrame:
 def promise_by_side(spark: SparkSession, sf: str) -> DataFrame:
     """The counters on both sides of the split."""
     sided = with_side(events(spark, sf), "ts", HOLDOUT_DAYS)
-    return promise_counters(sided, "pred", "value", ["side"]).drop("idle_minutes")
+    return promise_counters(sided, "pred", "value", ["side"])

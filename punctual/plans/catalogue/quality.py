@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.operators.audit import fitted_on_train_only
-from punctual.operators.behaviour import prediction_ratio
+from punctual.operators.behaviour import prediction_ratio, recorded_predictions
 from punctual.operators.evaluation import regression_report
 from punctual.operators.fingerprint import content_hash, data_fingerprint
 from punctual.operators.history import build_features
@@ -151,22 +151,43 @@ def fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     return data_fingerprint(train, test, COLUMNS, ts="ts", row_id="event_id")
 
 
-@query()
+@query(
+    """
+    select cast(sum(('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate)), 1, 15))::bigint::hugeint)
+                as varchar) as hash, count(*) as rows
+    from lineitem
+    """
+)
 def contents_hash(spark: SparkSession, sf: str) -> DataFrame:
-    """Order-free hash of every value; the hash function is Spark's own."""
+    """Order-free hash of every value."""
     columns = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
     lines = table(spark, sf, "lineitem")
     return lines.agg(content_hash(columns).cast("string").alias("hash"), F.count(F.lit(1)).alias("rows"))
 
 
-@query(f"with {EVENTS}, {sides(LONG_HOLDOUT_DAYS)} select count(*) as rows, true as independent from tr")
+@query(
+    f"""
+    with {EVENTS}, {sides(LONG_HOLDOUT_DAYS)}
+    select 'train only' as fitted_on, count(*) as rows, true as independent from tr
+    union all select 'all rows', count(*), false from tr
+    """
+)
 def train_only_check(spark: SparkSession, sf: str) -> DataFrame:
-    """Train features do not change when the second table does."""
+    """Q4: train features must not change when the second table does; a history over all rows fails."""
     train, test = time_split(events(spark, sf), "ts", LONG_HOLDOUT_DAYS)
     options = dict(target="value", histories={"user_mean": ["user_id"], "user_peak_mean": ["user_id", "is_peak"]})
-    one = build_features(train, test, **options)[0]
-    two = build_features(train, test.filter(F.col("event_type") == "purchase"), **options)[0]
-    return fitted_on_train_only(one, two, ["event_id", "user_mean", "user_peak_mean"])
+    some = test.filter(F.col("event_type") == "purchase")
+    columns = ["event_id", "user_mean", "user_peak_mean"]
+
+    def leaky(second: DataFrame) -> DataFrame:
+        ids = train.select("event_id")
+        return build_features(train.unionByName(second), second, **options)[0].join(ids, "event_id", "left_semi")
+
+    honest = fitted_on_train_only(build_features(train, test, **options)[0], build_features(train, some, **options)[0], columns)
+    leak = fitted_on_train_only(leaky(test), leaky(some), columns)
+    return honest.select(F.lit("train only").alias("fitted_on"), "rows", "independent").unionByName(
+        leak.select(F.lit("all rows").alias("fitted_on"), "rows", "independent")
+    )
 
 
 RUN_FEATURES = {"rules": ["k", "event_type", "hour"], "slim": ["k"], "constant": []}
@@ -199,9 +220,9 @@ runs as (
 """
 
 
-@query(f"with {RUNS_SQL} select name, mae, data_sha from runs")
+@query(f"with {RUNS_SQL} select name, mae, mae / (select min(mae) from runs) as x_best, data_sha from runs")
 def run_leaderboard(spark: SparkSession, sf: str) -> DataFrame:
-    """Runs by error, with their fingerprint."""
+    """Runs by error, with the ratio to the best and their fingerprint."""
     return leaderboard(_runs(spark, sf))
 
 
@@ -214,16 +235,15 @@ def runs_on_same_data(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     with {RUNS_SQL}
-    select 'features' as field, a.features = b.features as same from runs a, runs b where a.name = 'rules' and b.name = 'slim'
-    union all select 'split', true
-    union all select 'data_sha', a.data_sha = b.data_sha from runs a, runs b where a.name = 'rules' and b.name = 'slim'
-    union all select 'mae', a.mae = b.mae from runs a, runs b where a.name = 'rules' and b.name = 'slim'
-    union all select 'bias', a.bias = b.bias from runs a, runs b where a.name = 'rules' and b.name = 'slim'
+    , v as (select name, unnest(['features', 'split', 'data_sha', 'mae', 'bias']) as field,
+                   unnest([features, 'time', data_sha, mae::varchar, bias::varchar]) as value from runs)
+    select field, a.value as a, b.value as b, a.value = b.value as same
+    from v a join v b using (field) where a.name = 'rules' and b.name = 'slim'
     """
 )
 def run_comparison(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs field by field."""
-    return compare(_runs(spark, sf), "rules", "slim").select("field", "same")
+    return compare(_runs(spark, sf), "rules", "slim")
 
 
 def request_bodies(spark: SparkSession, sf: str) -> DataFrame:
@@ -273,11 +293,25 @@ def request_validation(spark: SparkSession, sf: str) -> DataFrame:
 def recorded_response_ratio(spark: SparkSession, sf: str) -> DataFrame:
     """Q10: estimates read back out of recorded response texts, largest over smallest per entity.
 
-    Each text holds the smallest and the largest response of an entity, found before the
-    texts are built, so no text grows with the number of responses.
+    Every response is a text of its own and is read; the estimates are compared afterwards.
     """
-    response = F.concat(F.lit('{"eta_minutes": '), F.col("eta").cast("string"), F.lit("}"))
-    extremes = events(spark, sf).groupBy("user_id").agg(F.min("pred").alias("lo"), F.max("pred").alias("hi"))
-    texts = extremes.select("user_id", F.explode(F.array("lo", "hi")).alias("eta")).select("user_id", response.alias("t"))
-    logs = texts.groupBy("user_id").agg(F.concat_ws("\n", F.min("t"), F.max("t")).alias("log"))
-    return logs.select("user_id", prediction_ratio("log").alias("ratio"))
+    response = F.concat(F.lit('{"eta_minutes": '), F.col("pred").cast("string"), F.lit("}"))
+    texts = events(spark, sf).select("user_id", response.alias("log"))
+    found = texts.select("user_id", F.explode(recorded_predictions("log")).alias("eta"))
+    return found.groupBy("user_id").agg(F.try_divide(F.max("eta"), F.min("eta")).alias("ratio"))
+
+
+@query(
+    f"""
+    with {EVENTS}
+    select event_id, 2 as estimates, (pred + k) / pred as ratio from ev where k >= 0
+    """
+)
+def recorded_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Q10 2.9-13: two responses in one text, and the ratio within it."""
+    def response(eta):
+        return F.concat(F.lit('{"eta_minutes": '), eta.cast("string"), F.lit("}"))
+
+    rows = events(spark, sf).filter("k >= 0")
+    logs = rows.select("event_id", F.concat_ws("\n", response(F.col("pred")), response(F.col("pred") + F.col("k"))).alias("log"))
+    return logs.select("event_id", F.size(recorded_predictions("log")).alias("estimates"), prediction_ratio("log").alias("ratio"))

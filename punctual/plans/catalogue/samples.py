@@ -60,7 +60,13 @@ def shuffled_split_80_20(spark: SparkSession, sf: str) -> DataFrame:
     return shuffled_split(table(spark, sf, "events").select("event_id"), "event_id", seed=SEED)
 
 
-@query()
+@query(
+    f"""
+    select case when ('0x' || substr(md5(concat('{SEED}', event_id)), 1, 8))::bigint % 100 < 80 then 'train' else 'test' end as side,
+           count(*) as rows
+    from events group by 1
+    """
+)
 def hash_split_sizes(spark: SparkSession, sf: str) -> DataFrame:
     """The split without any shuffle; sizes are near 80/20, not exact."""
     sided = hash_side(table(spark, sf, "events").select("event_id"), "event_id", SEED)

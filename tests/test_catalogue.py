@@ -10,7 +10,7 @@ import pytest
 from conftest import SF
 from punctual.plans.catalogue import ORACLES, QUERIES
 
-SLOW_MODELS = {"leak_steps", "sampler_models", "feature_sets", "rare_class_models", "model_slices", "model_violations"}
+SLOW_MODELS = {"leak_steps", "sampler_models", "feature_sets", "rare_class_models", "saved_model", "model_slices", "model_violations"}
 
 
 @pytest.fixture(scope="module")

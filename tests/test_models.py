@@ -85,10 +85,15 @@ def test_model_save_load_and_behaviour(spark, sides):
     assert label_beside_prediction(scored, "actual_minutes", ["placed_utc"]).count() == 5
 
 
-def test_wide_category_is_refused(sides):
-    wide = sides[0].withColumn("city", F.col("order_id"))
-    with pytest.raises(ValueError):
-        fit_regressor(wide, ["city"], "actual_minutes", **SMALL)
+def test_rare_categories_of_a_wide_column_are_folded(spark, sides):
+    wide = [side.withColumn("city", F.concat("city", F.lit("'s "), F.col("id") % 40)) for side in sides]
+    model = fit_regressor(wide[0], ["city", "distance_km"], "actual_minutes", **SMALL, most_categories=20)
+    scored = score(model, wide[1].withColumn("city", F.when(F.col("id") % 3 > 0, F.col("city"))))
+    assert scored.count() == 600 and scored.filter("pred is null").count() == 0
+    labels = model.stages[1].labelsArray[0]
+    assert len(labels) == 21 and "(other)" in labels
+    ids = fit_regressor(wide[0].withColumn("city", F.col("order_id")), ["city"], "actual_minutes", **SMALL)
+    assert score(ids, wide[1].withColumn("city", F.col("order_id"))).count() == 600
 
 
 def test_history_helps(sides):
