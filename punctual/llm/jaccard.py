@@ -203,7 +203,8 @@ def _labels(
     keys = banded.select("node", F.explode("bands").alias("band"))
     shared = keys.groupBy("band").agg(F.min("node").alias("least"), F.count("*").alias("m")).where("m > 1")
     shared = written(shared.select("band", "least"), "shared_bands")
-    ties = keys.join(broadcast_if_small(shared, shared.count()), "band").where("node <> least")
+    # shared bands grow with the input: joined by shuffle at any size, which Spark splits where one is hot
+    ties = keys.join(shared, "band").where("node <> least")
     groups = components(ties.select(F.col("node").alias("a"), F.col("least").alias("b")), "candidates")
     members = written(banded.drop("bands").join(groups, "node"), "members")
     tasks = written(_blocks(members.drop("key"), threshold, block).join(members.select("node", "key"), "node"), "tasks")
