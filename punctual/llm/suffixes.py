@@ -380,7 +380,8 @@ def without_repeats(
     by_text = spans.groupBy(F.col("id").alias("no"), "h").agg(
         F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")
     )
-    marked = marked.join(broadcast_if_small(by_text, spans.count()), ["no", "h"], "left")
+    # spans grow with the texts: both shuffle, once, at any size; copies stay out of it
+    joined = marked.where(~copy).join(by_text.hint("shuffle_hash"), ["no", "h"], "left")
 
     def apply(batches):
         for texts, starts, stops in batches:
@@ -391,10 +392,9 @@ def without_repeats(
     made = F.pandas_udf(apply, "removed bigint, runs bigint, kept binary")("text", "starts", "stops")
     size = F.octet_length("text").cast("long")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    whole = marked.where(copy | F.col("starts").isNull()).select(
-        "id", size.alias("n_bytes"), F.when(copy, size).otherwise(zero).alias("n_removed"),
-        F.when(copy, one).otherwise(zero).alias("n_spans"),
-        F.when(copy, F.lit("")).otherwise(F.col("text")).cast("binary").alias("kept"),
-    )
-    part = marked.where(~copy & F.col("starts").isNotNull()).select("id", size.alias("n_bytes"), made.alias("m"))
-    return whole.unionByName(part.select("id", "n_bytes", F.col("m.removed").alias("n_removed"), F.col("m.runs").alias("n_spans"), F.col("m.kept").alias("kept")))
+    kept = F.col("text").cast("binary").alias("kept")
+    copies = marked.where(copy).select("id", size.alias("n_bytes"), size.alias("n_removed"), one.alias("n_spans"), F.lit(b"").alias("kept"))
+    whole = joined.where("starts is null").select("id", size.alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), kept)
+    part = joined.where("starts is not null").select("id", size.alias("n_bytes"), made.alias("m"))
+    part = part.select("id", "n_bytes", F.col("m.removed").alias("n_removed"), F.col("m.runs").alias("n_spans"), F.col("m.kept").alias("kept"))
+    return copies.unionByName(whole).unionByName(part)
