@@ -29,7 +29,7 @@ def normal(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), na_position="last").reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW_MODELS))
 def test_agrees_with_sql(spark, duck, name):
     ours = normal(QUERIES[name](spark, SF).toPandas())
     theirs = normal(duck.sql(ORACLES[name]).df())

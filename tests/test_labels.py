@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
+from punctual.functions.clean import parse_local, parse_utc
 from punctual.operators.dedup import duplicate_counts, keep_first, rows_seen_in, split_overlap
 from punctual.operators.labels import (
     LabelRules,
@@ -111,3 +112,17 @@ def test_status_filter_reaches_the_scan(spark, raw):
     plan = plan_of(labelled)
     assert "EqualTo(status,delivered)" in plan and "IsNotNull(delivered_at)" in plan
     assert labelled.count() == 3
+
+
+def test_instants_in_the_repeated_hour_of_summer_time(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        texts = ["2025-11-02T05:30:00Z", "2025-11-02T06:30:00Z", "2025-11-02T12:00:00+05:30"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        got = [r[0] for r in df.select(F.date_format(parse_utc("t"), "HH:mm")).collect()]
+        assert got == ["05:30", "06:30", "06:30"]
+        kept = [r[0] for r in df.select(F.date_format(parse_local("t"), "HH:mm")).collect()]
+        assert kept == ["05:30", "06:30", "12:00"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

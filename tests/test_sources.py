@@ -69,7 +69,7 @@ def test_runs(spark):
         metrics = spark.createDataFrame([(mae, 0.1)], "mae double, bias double")
         append_runs(run_record(name, {"features": name, "split": "time"}, sha, metrics), path)
     runs = latest_runs(spark.read.parquet(path))
-    assert [tuple(r) for r in leaderboard(runs).collect()] == [("base", 5.5, "abc"), ("slim", 5.9, "abc")]
+    assert [tuple(r) for r in leaderboard(runs).collect()] == [("base", 5.5, 1.0, "abc"), ("slim", 5.9, 5.9 / 5.5, "abc")]
     same = {r["field"]: r["same"] for r in compare(runs, "base", "slim").collect()}
     assert same == {"features": False, "split": True, "data_sha": True, "mae": False, "bias": True}
 
