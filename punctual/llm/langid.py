@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import written
+from punctual.llm.common import broadcast_if_small, written
 
 #: Bounds of the model: texts per language that are learned from, cells of a vector, centroids per
 #: language, and the number of languages, most frequent first.
@@ -26,6 +26,7 @@ ROUNDS = 12
 SLACK, NEARLY_ALL = 0.5, 0.01
 #: Lengths are compared in powers of two; with fewer training texts than this nothing is rejected.
 LEAST_TEXTS = 20
+TEXTS_AT_ONCE = 256
 
 _letters: np.ndarray | None = None
 
@@ -102,14 +103,21 @@ def fit(
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"),
     )
+    # the hashes alone tell where the sample ends, so that no other text is shuffled
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    ends = rows.select("lang", "h").withColumn("no", first).where(F.col("no") <= per_language)
+    ends = written(ends.groupBy("lang").agg(F.max("h").alias("end")), "language_sample_ends")
+    near = rows.join(broadcast_if_small(ends, ends.count()), "lang").where(F.col("h") <= F.col("end"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))
-    sample = rows.withColumn("no", first).where(F.col("no") <= per_language)
+    sample = near.drop("end").withColumn("no", first).where(F.col("no") <= per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            vectors = [counts(t, cells) for t in batch["text"]]
-            out = pd.DataFrame({"lang": batch["lang"], "no": batch["no"], "v": vectors})
-            yield out[[v is not None for v in vectors]]
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.iloc[start : start + TEXTS_AT_ONCE]
+                vectors = [counts(t, cells) for t in part["text"]]
+                out = pd.DataFrame({"lang": part["lang"], "no": part["no"], "v": vectors})
+                yield out[[v is not None for v in vectors]]
 
     counted = written(sample.mapInPandas(count, "lang string, no int, v array<bigint>"), "language_sample")
 
@@ -157,12 +165,16 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
     def guess(batches):
         for batch in batches:
             out = pd.DataFrame({"lang_pred": "und", "score": 0.0, "rejected": True}, index=range(len(batch)))
-            rows = [counts(t, len(model.idf)) for t in batch] if model else []
-            some = [i for i, row in enumerate(rows) if row is not None]
-            for part in (some[i : i + 500] for i in range(0, len(some), 500)):
-                near = model.vectors([rows[i] for i in part]) @ model.centroids.T
+            # vectors of a few texts at a time: one takes as much room as a long text
+            for start in range(0, len(batch) if model else 0, TEXTS_AT_ONCE):
+                rows = [counts(t, len(model.idf)) for t in batch.iloc[start : start + TEXTS_AT_ONCE]]
+                part = [start + i for i, row in enumerate(rows) if row is not None]
+                rows = [row for row in rows if row is not None]
+                if not rows:
+                    continue
+                near = model.vectors(rows) @ model.centroids.T
                 best, score = near.argmax(axis=1), np.clip(near.max(axis=1).astype(float), 0, 1)
-                long = length_class(np.array([rows[i].sum() for i in part]))
+                long = length_class(np.array([row.sum() for row in rows]))
                 out.loc[part, "lang_pred"] = [model.language[b] for b in best]
                 out.loc[part, "score"] = score
                 out.loc[part, "rejected"] = score < model.floor[best, long]
