@@ -95,21 +95,20 @@ def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
     per_language: int = PER_LANGUAGE, cells: int = CELLS, k: int = CENTROIDS,
 ) -> Model | None:
-    """Learn from at most ``per_language`` texts per language, those whose id has the least hash.
+    """Learn from at most ``per_language`` texts per language, those whose id and text have the least hash.
 
     Rows without a language or a letter teach nothing; without any other row there is no model. Only
     the centroids, bounded by languages, ``k`` and ``cells``, reach the driver.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("h"),
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"),
     )
-    # the hashes alone tell where the sample ends, so that no other text is shuffled
+    # from the share of the hash range that holds some four samples; the rest never leaves its task
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("size")), "languages")
+    share = F.lit(4.0 * per_language) / F.col("size")
+    near = rows.join(broadcast_if_small(sizes, sizes.count()), "lang").where(F.col("h") / 2.0**64 + 0.5 <= share)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    ends = rows.select("lang", "h").withColumn("no", first).where(F.col("no") <= per_language)
-    ends = written(ends.groupBy("lang").agg(F.max("h").alias("end")), "language_sample_ends")
-    near = rows.join(broadcast_if_small(ends, ends.count()), "lang").where(F.col("h") <= F.col("end"))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))
-    sample = near.drop("end").withColumn("no", first).where(F.col("no") <= per_language)
+    sample = near.drop("size").withColumn("no", first).where(F.col("no") <= per_language)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
