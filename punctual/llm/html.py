@@ -19,10 +19,10 @@ from html import unescape
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import broadcast_if_small, written
+from punctual.llm.common import BROADCAST_ROWS, broadcast_if_small, written
 
 #: A class is on at least so many pages of its host and at least this share of them.
 LEAST_PAGES, LEAST_SHARE = 5, 0.5
@@ -152,6 +152,32 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
     yield from block()
 
 
+def _host_column() -> Column:
+    host = F.lower(F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
+    return F.coalesce(host, F.lit(""))
+
+
+def _different(pages: DataFrame) -> DataFrame:
+    """``pages`` with equal payloads of a host as one page.
+
+    Only pages that may repeat are shuffled, one of each payload per task; with more repeated payloads
+    than a broadcast holds, one of every payload per task is.
+    """
+    keyed = pages.withColumn("host", _host_column()).withColumn("html", F.coalesce("html", F.lit("")))
+    key = F.xxhash64("host", "html").alias("payload")
+    again = keyed.select(key).groupBy("payload").agg(F.count("*").alias("n")).where("n > 1").select("payload")
+    again = written(again, "repeated_payloads")
+    n = again.count()
+    if not n:
+        return pages
+    if n > BROADCAST_ROWS:
+        return keyed.dropDuplicates(["host", "html"]).drop("host")
+    keyed = keyed.withColumn("payload", key)
+    once = keyed.join(F.broadcast(again), "payload", "left_anti").drop("payload")
+    one_each = keyed.join(F.broadcast(again), "payload", "left_semi").drop("payload").dropDuplicates(["host", "html"])
+    return once.unionByName(one_each).drop("host")
+
+
 def _vectors(pages: DataFrame) -> DataFrame:
     """(host, token, parent, is_tag, pages, vector) of ``pages`` (page_no, url, html)."""
 
@@ -212,9 +238,12 @@ def _nested(tokens: pd.DataFrame) -> pd.DataFrame:
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """(host, tags, strings): tokens of the template of each host that has one."""
-    vectors = written(_vectors(pages), "occurrence_vectors")
-    # the root of every page counts the pages of the host
+    """(host, tags, strings): tokens of the template of each host that has one.
+
+    Pages of a host with equal payloads count as one: what copies share is not what a host repeats.
+    """
+    vectors = written(_vectors(_different(pages)), "occurrence_vectors")
+    # the root of every page counts the different pages of the host
     size = vectors.groupBy("host").agg(F.max("pages").alias("most"))
     enough = F.col("pages") >= F.greatest(F.lit(least_pages), F.col("most") * least_share)
     often = vectors.where(F.col("pages") >= least_pages).join(size, "host").where(enough).drop("most")
@@ -255,17 +284,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per row of ``pages``: id, url, text.
 
     A null or empty page has the empty text. Pages whose url names no host form one group. A host of under
-    ``LEAST_PAGES`` pages has no template: its pages are judged by their elements alone. Character references
-    are decoded, white space within a block is one space, blocks are joined by a line feed. Repeated rows
-    are pages of their own. Other columns are ignored. Pages are read twice and not shuffled, but for
-    hosts beyond the size up to which their templates are broadcast.
+    ``LEAST_PAGES`` different pages has no template: its pages are judged by their elements alone. Character
+    references are decoded, white space within a block is one space, blocks are joined by a line feed. Repeated
+    rows have rows of their own in the result. Other columns are ignored. Pages are read up to four times and
+    not shuffled, but for copies and hosts beyond the size up to which their templates are broadcast.
     """
     narrow = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     found = written(templates(narrow.withColumn("page_no", F.monotonically_increasing_id())), "templates")
     tokens = found.agg(F.coalesce(F.sum(F.size("tags") + F.size("strings")), F.lit(0)).alias("n")).first()["n"]
-    host = F.lower(F.regexp_extract("url", r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
-    with_host = narrow.withColumn("host", F.coalesce(host, F.lit("")))
-    known = with_host.join(broadcast_if_small(found, tokens), "host", "left")
+    known = narrow.withColumn("host", _host_column()).join(broadcast_if_small(found, tokens), "host", "left")
 
     def cut(batches):
         for htmls, tags, strings in batches:

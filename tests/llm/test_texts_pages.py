@@ -137,6 +137,19 @@ def test_fixed_strings_go_and_articles_stay(spark):
     assert alone[0] == "Head 0\nBy the editors\nOwn words 0\nShared 0"
 
 
+@pytest.mark.parametrize("most", [10, 0])
+def test_copies_are_no_template(spark, monkeypatch, most):
+    monkeypatch.setattr(html, "BROADCAST_ROWS", most, raising=False)
+    body = "<html><body><article id=post-7><h1>Head</h1><p>Own words</p></article></body></html>"
+    rows = [(i, f"https://copies/{i}", body) for i in range(6)] + [(10 + i, None, body) for i in range(6)]
+    rows += [(20 + i, f"https://mixed/{i}", body) for i in range(6)]
+    other = "<html><body><article id=post-{0}><h1>Other {0}</h1><p>By us</p></article></body></html>"
+    rows += [(30 + i, f"https://mixed/o{i}", other.format(i)) for i in range(4)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == "Head\nOwn words" for i in got if i < 30)
+    assert all(got[30 + i] == f"Other {i}\nBy us" for i in range(4))
+
+
 def test_awkward_pages(spark):
     rows = [
         (1, None, None), (2, "u", ""), (None, None, "plain text"), (4, "https://x/", "<article><p>cut off <b>here"),
