@@ -28,8 +28,19 @@ from punctual.llm.common import BROADCAST_ROWS, broadcast_if_small, written
 LEAST_PAGES, LEAST_SHARE = 5, 0.5
 
 # Elements of HTML by their role.
-RAW = "script style noscript template svg math iframe object textarea select button title head".split()
-RAW_BLOCKS = "textarea select button title head".split()
+RAW = "script style textarea title iframe noscript".split()
+RAW_BLOCKS = "textarea title".split()
+FOREIGN = "svg math".split()
+HIDDEN = [*FOREIGN, *"object button select template".split()]
+HIDDEN_BLOCKS = "select button".split()
+HEAD = "base basefont bgsound head link meta title style script noscript template".split()
+# Tags that end svg and math left open.
+NOT_FOREIGN = set(
+    "address article aside blockquote body center dd details div dl dt embed fieldset figure footer form h1 h2 h3 h4 h5 h6 head "
+    "header hr li main menu nav ol p pre section table ul".split()
+)
+# Elements of svg and math that may hold HTML.
+HOLDS_HTML = "foreignobject desc annotation-xml".split()
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data dfn em font i img ins kbd label mark q s samp small span strike strong "
     "sub sup time tt u var wbr del"
@@ -51,6 +62,8 @@ _TAG = r"""<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'
 _BROKEN = r"<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*+)(?:>|\Z)"
 TOKENS = re.compile(rf"<!--.*?(?:-->|\Z)|{_TAG}|{_BROKEN}|<[!?/][^>]*+(?:>|\Z)|(?P<text>[^<]++|<)", re.S)
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_END = {name: re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I) for name in RAW}
+ANY_HIDDEN = re.compile(rf"<(?:{'|'.join(HIDDEN)})\b", re.I)
 HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", re.I)
 
 
@@ -83,12 +96,76 @@ class Block:
     linked: int  # code points within links
 
 
+def _tokens(html: str) -> Iterator[tuple[int, str | None, str, str, str]]:
+    """(position, text, name, closes, attributes) of texts and tags, without comments and what raw elements hold.
+
+    A raw element without an end tag reaches to the end of the page. Only within svg and math can one close itself.
+    """
+    at, foreign = 0, False
+    while found := TOKENS.match(html, at):
+        start, at = at, found.end()
+        if (text := found["text"]) is not None:
+            yield start, text, "", "", ""
+            continue
+        name = (found["name"] or found["name2"] or "").lower()
+        if not name:
+            continue
+        closes = found["close"] or found["close2"]
+        attrs = found["attrs"] or found["attrs2"] or ""
+        if name in FOREIGN:
+            foreign = not closes and not attrs.endswith("/")
+        elif name in NOT_FOREIGN:
+            foreign = False
+        yield start, None, name, closes, attrs
+        if name in RAW and not closes and not (foreign and attrs.endswith("/")):
+            end = _END[name].search(html, at)
+            at = end.end() if end else len(html)
+
+
+def _closed(html: str) -> set[int]:
+    """Positions of the hidden elements that have an end tag of their own before the element around them ends."""
+    out: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    for at, text, name, closes, attrs in _tokens(html):
+        if text is not None or name in RAW or name in VOID or name in INLINE:
+            continue
+        if closes:
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] == name:
+                    out.add(stack[depth][1])
+                    del stack[depth:]
+                    break
+            continue
+        if name in FOREIGN and attrs.endswith("/"):
+            continue
+        if name in NOT_FOREIGN:  # ends svg and math, but for HTML that they hold
+            for depth in range(len(stack) - 1, -1, -1):
+                if stack[depth][0] in HOLDS_HTML:
+                    break
+                if stack[depth][0] in FOREIGN:
+                    del stack[depth:]
+                    break
+        if name in HIDDEN_BLOCKS:  # not within its like: the one before was left open
+            stack = [x for x in stack if x[0] != name]
+        if stack and stack[-1][0] in CLOSES_ITSELF and (stack[-1][0] == name or stack[-1][0] == "p") and name not in HIDDEN:
+            stack.pop()
+        stack.append((name, at))
+    return out
+
+
 def parse(html: str | None) -> Iterator[Tag | Block]:
-    """Tags and blocks of a page in order. Elements that are not closed end with the ones around them."""
+    """Tags and blocks of a page in order. Elements that are not closed end with the ones around them.
+
+    A hidden element shows nothing of what it holds. One without an end tag of its own hides what comes
+    before the next tag of a block.
+    """
     stack = [("", 0, False, 0)]  # name, token, framed, main
     pending: list[str] = []
     linked = in_link = articles = 0
     html = html or ""
+    closed = _closed(html) if ANY_HIDDEN.search(html) else set()
+    hiding: list[str] = []  # open elements from the outermost hidden one on
+    until_block = False  # within a hidden element without an end tag
 
     def block() -> Iterator[Block]:
         nonlocal linked
@@ -99,28 +176,33 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
             yield Block(text, _hash(f"{parent} {text}"), parent, framed, main, linked)
         linked = 0
 
-    at = 0
-    while found := TOKENS.match(html, at):
-        at = found.end()
-        if (text := found["text"]) is not None:
-            pending.append(text)
-            if in_link:
-                linked += len(text.strip())
+    for at, text, name, closes, attrs in _tokens(html):
+        if hiding:
+            if text is not None or name in RAW or name in VOID or name in INLINE:
+                continue
+            if not closes:
+                if not (name in FOREIGN and attrs.endswith("/")):
+                    hiding.append(name)
+            elif name in hiding:
+                while hiding.pop() != name:
+                    pass
             continue
-        name = (found["name"] or found["name2"] or "").lower()
-        if not name:
+        if text is not None:
+            if stack[-1][0] == "head" and text.strip():
+                yield from block()
+                stack.pop()
+            if not until_block:
+                pending.append(text)
+                if in_link:
+                    linked += len(text.strip())
             continue
-        closes = found["close"] or found["close2"]
-        attrs = found["attrs"] or found["attrs2"] or ""
+        if stack[-1][0] == "head" and name not in HEAD:  # may be left open
+            yield from block()
+            stack.pop()
         if name in RAW:
-            if not closes:
-                if name in RAW_BLOCKS:
-                    yield from block()
-                    yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
-                end = re.compile(rf"</{name}\b[^>]*+(?:>|\Z)", re.I).search(html, at)
-                if name == "head":  # may be left open
-                    end = end or re.compile(r"(?=<body\b)", re.I).search(html, at)
-                at = end.end() if end else len(html)
+            if not closes and name in RAW_BLOCKS:
+                yield from block()
+                yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
             continue
         if name in INLINE:
             if name == "a":
@@ -128,6 +210,20 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
             if name in ("br", "img"):
                 pending.append(" ")
             continue
+        if name in HIDDEN:
+            if name in HIDDEN_BLOCKS:
+                yield from block()
+                in_link = 0
+                if not closes:
+                    yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
+            if closes:
+                until_block = False
+            elif at in closed:
+                hiding.append(name)
+            elif not (name in FOREIGN and attrs.endswith("/")):
+                until_block = True
+            continue
+        until_block = False
         yield from block()
         in_link = 0
         if closes:

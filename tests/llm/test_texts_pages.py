@@ -150,6 +150,27 @@ def test_copies_are_no_template(spark, monkeypatch, most):
     assert all(got[30 + i] == f"Other {i}\nBy us" for i in range(4))
 
 
+ARTICLE = "<article><p>Own words</p></article>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><svg class='icon'/>{ARTICLE}", "Own words"),
+    ("<body><p>a<svg><title/><path d=x></svg> b</p>", "a b"),
+    (f"<body><svg class=icon><path d=x>{ARTICLE}", "Own words"),
+    (f"<body><button>Menu{ARTICLE}<button>Share</button>", "Own words"),
+    (f"<body><div><button>Menu</div>{ARTICLE}<button>Share</button>", "Own words"),
+    (f"<body><object data=x>{ARTICLE}<p>", "Own words"),
+    (f"<head><title>t</title><meta charset=x>{ARTICLE}", "Own words"),
+    ("<head><link rel=x><title>t</title><p>Own words", "Own words"),
+    ("<body><p>a</p><svg><svg>x</svg><text>y</text></svg><p>b</p>", "a\nb"),
+    ("<body><p>a</p><object><object>x</object><p>y</p></object><template><template>x</template>z</template><p>b</p>", "a\nb"),
+    ("<body><svg><foreignObject><div><p>x</p></div></foreignObject></svg><p>b</p>", "b"),
+    ("<body><select><option>x<option>y</select><p>b</p><script>never closed <p>x", "b"),
+])
+def test_hidden_elements_end(page, want):
+    assert html.main_text(page, set(), set()) == want
+
+
 def test_awkward_pages(spark):
     rows = [
         (1, None, None), (2, "u", ""), (None, None, "plain text"), (4, "https://x/", "<article><p>cut off <b>here"),
