@@ -49,12 +49,17 @@ VOID = "area base br col embed hr img input link meta param source track wbr".sp
 FRAME = "nav footer aside form dialog menu".split()
 MAIN = "article main".split()
 CLOSES_ITSELF = "p li dt dd tr td th option".split()
-# Words in class, id or role that name what surrounds an article.
+# Whole names in class, id or role that hint at what surrounds an article.
 FRAME_WORDS = set(
     "ad ads advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment comments consent contentinfo "
     "cookie cookies copyright dialog discussion disqus footer form gdpr legal login masthead menu modal nav navbar navigation "
     "newsletter notice notices notification pager pagination popup promo promoted promotion recommended related replies reply "
-    "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget"
+    "respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget "
+    "ad-banner ad-container adsbygoogle breadcrumb-nav breadcrumb-trail comment-form comment-list comment-respond comments-area "
+    "comments-list comments-section cookie-banner cookie-consent cookie-notice footer-widgets left-sidebar main-footer main-menu "
+    "main-nav main-navigation nav-links nav-menu newsletter-signup page-footer post-comments post-navigation primary-sidebar "
+    "related-articles related-posts right-sidebar share-buttons share-links sharedaddy side-bar sidebar-left sidebar-right "
+    "site-footer site-header site-navigation skip-link social-icons social-links social-share widget-area"
     .split()
 )
 
@@ -76,24 +81,38 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - 2**63
 
 
-@dataclass
+@dataclass(slots=True, eq=False)
+class Element:
+    """An open element and the one around it; the page itself has none around it."""
+
+    token: int
+    around: Element | None
+    hinted: bool = False  # by its name or class it surrounds an article
+    main: bool = False  # an article or main element
+    framed: bool = False  # it or an element around it surrounds the article
+    unlinked: int = 0  # code points in it outside links
+    own: int = 0  # of these, the ones outside hinted elements in it
+    article: Element | None = None  # the outermost article that it is in
+
+
+@dataclass(slots=True)
 class Tag:
     """An element begins: its token, the token of the element around it."""
 
     token: int
     parent: int
+    element: Element | None = None  # none if it holds no blocks
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     """A string between tags of blocks."""
 
     text: str
     token: int
     parent: int
-    framed: bool  # inside navigation, footers, adverts, comments and the like
-    main: int  # the outermost article that it is in, or 0
-    linked: int  # code points within links
+    inside: Element
+    unlinked: int  # code points outside links
 
 
 def _tokens(html: str) -> Iterator[tuple[int, str | None, str, str, str]]:
@@ -159,9 +178,9 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
     A hidden element shows nothing of what it holds. One without an end tag of its own hides what comes
     before the next tag of a block.
     """
-    stack = [("", 0, False, 0)]  # name, token, framed, main
+    stack = [("", Element(0, None))]
     pending: list[str] = []
-    linked = in_link = articles = 0
+    linked = in_link = mains = 0
     html = html or ""
     closed = _closed(html) if ANY_HIDDEN.search(html) else set()
     hiding: list[str] = []  # open elements from the outermost hidden one on
@@ -172,8 +191,8 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         text = " ".join(unescape("".join(pending)).split())
         pending.clear()
         if text:
-            _, parent, framed, main = stack[-1]
-            yield Block(text, _hash(f"{parent} {text}"), parent, framed, main, linked)
+            inside = stack[-1][1]
+            yield Block(text, _hash(f"{inside.token} {text}"), inside.token, inside, max(len(text) - linked, 0))
         linked = 0
 
     for at, text, name, closes, attrs in _tokens(html):
@@ -202,7 +221,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         if name in RAW:
             if not closes and name in RAW_BLOCKS:
                 yield from block()
-                yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
+                yield Tag(_hash(f"{stack[-1][1].token} {name}"), stack[-1][1].token)
             continue
         if name in INLINE:
             if name == "a":
@@ -215,7 +234,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
                 yield from block()
                 in_link = 0
                 if not closes:
-                    yield Tag(_hash(f"{stack[-1][1]} {name}"), stack[-1][1])
+                    yield Tag(_hash(f"{stack[-1][1].token} {name}"), stack[-1][1].token)
             if closes:
                 until_block = False
             elif at in closed:
@@ -229,22 +248,23 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         if closes:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth][0] == name:
+                    mains -= sum(x.main for _, x in stack[depth:])
                     del stack[depth:]
                     break
             continue
         if stack[-1][0] in CLOSES_ITSELF and (stack[-1][0] == name or stack[-1][0] == "p"):
             stack.pop()
         named = " ".join(b or c or d for _, b, c, d in NAMES.findall(attrs)).lower()
-        _, parent, framed, main = stack[-1]
-        token = _hash(f"{parent} {name} {named}")
-        yield Tag(token, parent)
+        around = stack[-1][1]
+        token = _hash(f"{around.token} {name} {named}")
         if name in VOID:
+            yield Tag(token, around.token)
             continue
-        framed = framed or name in FRAME or (name == "header" and not main) or not FRAME_WORDS.isdisjoint(re.split(r"[^a-z]+", named))
-        if name in MAIN and not main and not framed:
-            articles += 1
-            main = articles
-        stack.append((name, token, framed, main))
+        hinted = name in FRAME or name == "header" and not mains or not FRAME_WORDS.isdisjoint(named.split())
+        element = Element(token, around, hinted, name in MAIN)
+        yield Tag(token, around.token, element)
+        mains += name in MAIN
+        stack.append((name, element))
     yield from block()
 
 
@@ -351,26 +371,71 @@ def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     )
 
 
+def _frame(elements: list[Element], blocks: list[Block]) -> None:
+    """Decide for each element, given in order, whether it surrounds the article.
+
+    A hint does not hold for an element that holds the article: the innermost article or main element with a
+    third of the largest one's unlinked text, hinted parts apart. Nor does it for one with most of the page's
+    unlinked text, unless the article lies beside it and has a third as much.
+    """
+    for x in blocks:
+        x.inside.unlinked += x.unlinked
+        x.inside.own += x.unlinked
+    for x in reversed(elements):
+        x.around.unlinked += x.unlinked
+        x.around.own += 0 if x.hinted else x.own
+    most = sum(x.unlinked for x in blocks) / 2
+    largest = max((x.own for x in elements if x.main), default=0)
+    outer, article = set(), None
+    for x in reversed(elements):
+        if x.main and x.own and 3 * x.own >= largest and x not in outer and not (article and article.own > x.own):
+            article = x
+        if x in outer or x.main and 3 * x.own >= largest:
+            outer.add(x.around)
+    holds, x = set(), article
+    while x:
+        holds.add(x)
+        x = x.around
+    within = {article} if article else set()
+    for x in elements:
+        around = x.around
+        if around in within:
+            within.add(x)
+        beside = article and x not in within and 3 * article.own >= x.unlinked
+        hides = x.hinted and x not in holds and (x.unlinked <= most or beside)
+        x.framed = around.framed or bool(hides)
+        x.article = around.article or (x if x.main and not x.framed else None)
+
+
 def main_text(html: str | None, tags: set[int], strings: set[int]) -> str:
     """The blocks of the slots that hold the article.
 
     In an article or main element these are all slots outside its frames; without one, the slots with
     as much unlinked text as a third of the largest. ``tags`` and ``strings`` are the template.
     """
-    slots: dict[tuple, list[Block]] = {}
-    slot, order = 0, []
+    elements, found = [], []
+    slot = 0
     for x in parse(html):
-        if isinstance(x, Tag):
+        if isinstance(x, Block):
+            found.append((slot, x))
+        else:
+            if x.element:
+                elements.append(x.element)
             if x.token in tags:
                 slot = x.token
-        elif not x.framed and x.token not in strings:
-            order.append(((x.main, slot if not x.main else 0), x))
+    _frame(elements, [x for _, x in found])
+    slots: dict[tuple, list[Block]] = {}
+    order = []
+    for slot, x in found:
+        if not x.inside.framed and x.token not in strings:
+            article = x.inside.article
+            order.append(((id(article) if article else 0, slot if not article else 0), x))
             slots.setdefault(order[-1][0], []).append(x)
     mains = [k for k in slots if k[0]]
     if mains:
         chosen = set(mains)
     else:
-        size = {k: sum(len(b.text) - b.linked for b in v) for k, v in slots.items()}
+        size = {k: sum(b.unlinked for b in v) for k, v in slots.items()}
         most = max(size.values(), default=0)
         chosen = {k for k, n in size.items() if n > 0 and 3 * n >= most}
     return "\n".join(b.text for k, b in order if k in chosen)

@@ -171,6 +171,23 @@ def test_hidden_elements_end(page, want):
     assert html.main_text(page, set(), set()) == want
 
 
+TEXT = "Own words that say much more than all that surrounds them."
+
+
+@pytest.mark.parametrize("page", [
+    f"<body class='no-sidebar'><article><p>{TEXT}</p></article>",
+    f"<div class='content-sidebar-wrap'><article><p>{TEXT}</p></article></div>",
+    f"<article class='post comments-open'><p>{TEXT}</p></article>",
+    f"<article class='post teaser'><p>{TEXT}</p></article><div class=comments><p>Not this, be it as long as it may or even longer than that.</p></div>",
+    f"<form><div class=widget><article><p>{TEXT}</p></article></div><div class=widget>Not this</div></form>",
+    f"<form><nav><a href=x>Home</a></nav><p>{TEXT}</p></form>",
+    f"<main><article><p>{TEXT}</p></article><div class=comments><p>{'Not this. ' * 15}</p></div></main>",
+    f"<main><div class=notice><p>{TEXT}</p></div><p class=share>Not this</p></main>",
+])
+def test_hints_do_not_hide_the_article(page):
+    assert html.main_text(page, set(), set()) == TEXT
+
+
 def test_awkward_pages(spark):
     rows = [
         (1, None, None), (2, "u", ""), (None, None, "plain text"), (4, "https://x/", "<article><p>cut off <b>here"),
