@@ -407,11 +407,36 @@ def _frame(elements: list[Element], blocks: list[Block]) -> None:
         x.article = around.article or (x if x.main and not x.framed else None)
 
 
+def _around(elements: list[Element], tags: set[int]) -> Element:
+    """The nearest element of the template, or else the page, that holds all of ``elements``."""
+
+    def above(x: Element) -> Element:
+        while x.around and x.token not in tags:
+            x = x.around
+        return x
+
+    chain, x = [], above(elements[0])
+    while True:
+        chain.append(x)
+        if not x.around:
+            break
+        x = above(x.around)
+    depth, at = {x: i for i, x in enumerate(chain)}, 0
+    for x in dict.fromkeys(elements):
+        while x not in depth:
+            x = x.around
+        at = max(at, depth[x])
+    return chain[at]
+
+
 def main_text(html: str | None, tags: set[int], strings: set[int]) -> str:
     """The blocks of the slots that hold the article.
 
-    In an article or main element these are all slots outside its frames; without one, the slots with
-    as much unlinked text as a third of the largest. ``tags`` and ``strings`` are the template.
+    An article or main element with as much unlinked text as the largest slot outside such elements is chosen
+    with all others like it. Else slots with as much unlinked text as a third of the largest mark the article:
+    it is all slots, of any size, from the first to the last with unlinked text in the nearest element of the
+    template that holds them; for a single slot that is an element, in the one around it. What frames an article
+    is left out. ``tags`` and ``strings`` are the template.
     """
     elements, found = [], []
     slot = 0
@@ -424,21 +449,30 @@ def main_text(html: str | None, tags: set[int], strings: set[int]) -> str:
             if x.token in tags:
                 slot = x.token
     _frame(elements, [x for _, x in found])
-    slots: dict[tuple, list[Block]] = {}
-    order = []
+    found = [(slot, x) for slot, x in found if not x.inside.framed and x.token not in strings]
+    articles, outside, size = Counter(), Counter(), Counter()
     for slot, x in found:
-        if not x.inside.framed and x.token not in strings:
-            article = x.inside.article
-            order.append(((id(article) if article else 0, slot if not article else 0), x))
-            slots.setdefault(order[-1][0], []).append(x)
-    mains = [k for k in slots if k[0]]
-    if mains:
-        chosen = set(mains)
-    else:
-        size = {k: sum(b.unlinked for b in v) for k, v in slots.items()}
-        most = max(size.values(), default=0)
-        chosen = {k for k, n in size.items() if n > 0 and 3 * n >= most}
-    return "\n".join(b.text for k, b in order if k in chosen)
+        size[slot] += x.unlinked
+        if x.inside.article:
+            articles[x.inside.article] += x.unlinked
+        else:
+            outside[slot] += x.unlinked
+    if articles and max(articles.values()) >= max(outside.values(), default=0):
+        return "\n".join(x.text for _, x in found if x.inside.article)
+    most = max(size.values(), default=0)
+    if not most:
+        return ""
+    large = {k for k, n in size.items() if 3 * n >= most}
+    around = _around([x.inside for k, x in found if k in large], tags)
+    if len(large) == 1 and around.around and around.token in large:
+        around = _around([around.around], tags)
+    below = {around}
+    for x in elements:
+        if x.around in below:
+            below.add(x)
+    found = [(k, x) for k, x in found if x.inside in below]
+    content = [i for i, (k, _) in enumerate(found) if size[k] > 0]
+    return "\n".join(x.text for _, x in found[content[0] : content[-1] + 1])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

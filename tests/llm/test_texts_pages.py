@@ -188,6 +188,24 @@ def test_hints_do_not_hide_the_article(page):
     assert html.main_text(page, set(), set()) == TEXT
 
 
+def test_short_slots_of_the_article_stay(spark):
+    body = "<div id=c><h1>Head {0}</h1><p class=lead>Lead {0}</p><div class=body>{1}</div><div class=end>End {0}</div></div>"
+    rows = [page(i, body.format(i, "".join(f"<p>Own words {i} {k} that fill the page.</p>" for k in range(2 + i)))) for i in range(6)]
+    got = texts_of(spark, rows)
+    for i in range(6):
+        own = [f"Own words {i} {k} that fill the page." for k in range(2 + i)]
+        assert got[i] == "\n".join([f"Head {i}", f"Lead {i}", *own, f"End {i}"])
+
+
+@pytest.mark.parametrize("text, want", [
+    (f"<div class=x><p>{TEXT}</p></div><article>Card</article>", f"{TEXT}\nCard"),
+    (f"<div class=x><p>Aside</p></div><article><p>{TEXT}</p></article>", TEXT),
+    ("<p><a href=x>Only links</a></p>", ""),
+])
+def test_articles_are_weighed(text, want):
+    assert html.main_text(text, set(), set()) == want
+
+
 def test_awkward_pages(spark):
     rows = [
         (1, None, None), (2, "u", ""), (None, None, "plain text"), (4, "https://x/", "<article><p>cut off <b>here"),
