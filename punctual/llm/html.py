@@ -47,6 +47,7 @@ INLINE = (
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 FRAME = "nav footer aside form dialog menu".split()
+NAMED_FRAME = "nav footer aside header dialog menu".split()
 MAIN = "article main".split()
 CLOSES_ITSELF = "p li dt dd tr td th option".split()
 # Whole names in class, id or role that hint at what surrounds an article.
@@ -88,6 +89,7 @@ class Element:
     token: int
     around: Element | None
     hinted: bool = False  # by its name or class it surrounds an article
+    named: bool = False  # by its name alone, and not a form
     main: bool = False  # an article or main element
     framed: bool = False  # it or an element around it surrounds the article
     unlinked: int = 0  # code points in it outside links
@@ -261,7 +263,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
             yield Tag(token, around.token)
             continue
         hinted = name in FRAME or name == "header" and not mains or not FRAME_WORDS.isdisjoint(named.split())
-        element = Element(token, around, hinted, name in MAIN)
+        element = Element(token, around, hinted, hinted and name in NAMED_FRAME, name in MAIN)
         yield Tag(token, around.token, element)
         mains += name in MAIN
         stack.append((name, element))
@@ -376,7 +378,7 @@ def _frame(elements: list[Element], blocks: list[Block]) -> None:
 
     A hint does not hold for an element that holds the article: the innermost article or main element with a
     third of the largest one's unlinked text, hinted parts apart. Nor does it for one with most of the page's
-    unlinked text, unless the article lies beside it and has a third as much.
+    unlinked text, unless the article lies beside it and has a third as much, or any text beside a footer, nav, aside or header.
     """
     for x in blocks:
         x.inside.unlinked += x.unlinked
@@ -401,7 +403,7 @@ def _frame(elements: list[Element], blocks: list[Block]) -> None:
         around = x.around
         if around in within:
             within.add(x)
-        beside = article and x not in within and 3 * article.own >= x.unlinked
+        beside = article and x not in within and (x.named or 3 * article.own >= x.unlinked)
         hides = x.hinted and x not in holds and (x.unlinked <= most or beside)
         x.framed = around.framed or bool(hides)
         x.article = around.article or (x if x.main and not x.framed else None)

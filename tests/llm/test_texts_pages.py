@@ -182,6 +182,7 @@ TEXT = "Own words that say much more than all that surrounds them."
     f"<form><div class=widget><article><p>{TEXT}</p></article></div><div class=widget>Not this</div></form>",
     f"<form><nav><a href=x>Home</a></nav><p>{TEXT}</p></form>",
     f"<main><article><p>{TEXT}</p></article><div class=comments><p>{'Not this. ' * 15}</p></div></main>",
+    f"<article><p>{TEXT}</p></article><footer>{'Not this. ' * 50}</footer>",
     f"<main><div class=notice><p>{TEXT}</p></div><p class=share>Not this</p></main>",
 ])
 def test_hints_do_not_hide_the_article(page):
