@@ -24,7 +24,7 @@ PER_LANGUAGE, CELLS, CENTROIDS, LANGUAGES = 1000, 4096, 4, 500
 ROUNDS = 12
 #: A text is rejected below this share of the similarity that nearly all training texts reached.
 SLACK, NEARLY_ALL = 0.5, 0.01
-#: Lengths are compared in powers of two; with fewer training texts than this nothing is rejected.
+#: Lengths are compared in powers of two; with fewer training texts than this, together with the nearest lengths.
 LEAST_TEXTS = 20
 TEXTS_AT_ONCE = 256
 
@@ -91,6 +91,22 @@ def clustered(vectors: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) ->
     return centres
 
 
+def floors(near: np.ndarray, long: np.ndarray) -> np.ndarray:
+    """The least similarity of each of the 32 length classes, from the similarities of texts of the classes ``long``.
+
+    A class with under ``LEAST_TEXTS`` texts is taken together with the nearest ones up to as many, or all, texts.
+    What is longer than the class counts as less similar by the fourth root of the lengths' ratio, as a short part
+    of a text shares less with a centroid than the text.
+    """
+    floor = np.zeros(32)
+    for c in range(32):
+        away = np.abs(long - c)
+        reach = np.sort(away)[min(LEAST_TEXTS, len(away)) - 1]
+        like = near * np.minimum(1, 2.0 ** ((c - long) / 4))
+        floor[c] = SLACK * np.quantile(like[away <= reach], NEARLY_ALL)
+    return floor
+
+
 def fit(
     labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
     per_language: int = PER_LANGUAGE, cells: int = CELLS, k: int = CENTROIDS,
@@ -125,7 +141,7 @@ def fit(
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "n": [len(rows)], "df": [(rows > 0).sum(axis=0)]})
 
     seen = counted.groupBy("lang").applyInPandas(held, "lang string, n bigint, df array<bigint>")
-    seen = seen.orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+    seen = seen.join(sizes, "lang").orderBy(F.desc("size"), "lang").limit(LANGUAGES).collect()
     if not seen:
         return None
     idf = np.log((1 + sum(r["n"] for r in seen)) / (1 + np.sum([r["df"] for r in seen], axis=0))).astype(np.float32) + 1
@@ -135,10 +151,7 @@ def fit(
         vectors = unit(np.log1p(rows.astype(np.float32)) * idf)
         centres = clustered(vectors, k)
         near, long = (vectors @ centres.T).max(axis=1), length_class(rows.sum(axis=1))
-        floor = np.zeros(32)
-        for c in range(32):
-            if (long == c).sum() >= LEAST_TEXTS:
-                floor[c] = SLACK * np.quantile(near[long == c], NEARLY_ALL)
+        floor = floors(near, long)
         lang = group["lang"].iloc[0]
         return pd.DataFrame({"lang": lang, "centre": list(centres), "floor": [floor] * len(centres)})
 

@@ -97,6 +97,24 @@ def test_far_texts_are_rejected(spark):
     assert got[1] == ("y", False) and got[2][1]
 
 
+def test_short_and_long_texts_have_a_floor(spark, sf):
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    model = langid.fit(df)
+    assert (model.floor > 0).all()
+    rng = random.Random(2)
+    foreign = ["".join(rng.choice("абвгдежзиклмнопрст ") for _ in range(n)) for n in (20, 60, 300, 1_500, 60_000) for _ in range(5)]
+    out = langid.predict(docs(spark, [(i, t, None, None) for i, t in enumerate(foreign)]), model).toPandas()
+    assert out["rejected"].all()
+    own = df.selectExpr("doc_id", "substr(text, 1, 20) as text").where("length(text) = 20 and text rlike '[a-z]{3}'")
+    assert langid.predict(own, model).toPandas()["rejected"].mean() < 0.05
+
+
+def test_languages_by_all_their_texts(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 1)
+    rows = [(i, f"some words {i}", "y" if i % 3 else "x", "a") for i in range(60)]
+    assert set(langid.fit(docs(spark, rows), per_language=5).language) == {"y"}
+
+
 def test_nothing_to_learn_from(spark):
     df = docs(spark, [(1, "some words", None, "a"), (2, None, "en", "a")])
     model = langid.fit(df)
