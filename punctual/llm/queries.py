@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, jaccard, langid, mixing, quality, secrets, suffixes, warc
+from punctual.llm import bpe, dedup, html, jaccard, langid, merkle, mixing, quality, secrets, suffixes, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -165,3 +165,75 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     cut = suffixes.without_repeats(table(spark, sf, "documents").select("doc_id", "text"))
     kept = F.sha2("kept", 256).alias("kept_sha256")
     return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", kept)
+
+
+@query(r"""
+with recursive d as (
+  select *, row_number() over () as no,
+         concat(case when source is null then '-' else strlen(source) || ':' || source end,
+                case when lang is null then '-' else strlen(lang) || ':' || lang end) as middle,
+         case when text is null then '-' else strlen(text) || ':' || text end as last,
+         case when doc_id is null then '-' else length(doc_id::varchar) || ':' || doc_id end as first,
+         list_reduce(
+           list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''),
+             lambda c: list_concat([ascii(c)::bigint], list_transform(range(8), lambda i: -1::bigint))))),
+           lambda a, x: case when x >= 0 then xor(a, x) when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end) as crc
+  from documents
+),
+leaves as (
+  select no, doc_id, lang,
+         sha256(concat(first, middle, case when n_chars is null then '-' else length(n_chars::varchar) || ':' || n_chars end, last)) as leaf,
+         sha256(concat(first, middle, case when n_chars is null then '-' else length((n_chars + 1)::varchar) || ':' || (n_chars + 1) end, last)) as tampered,
+         coalesce(xor(crc, 4294967295) % 7 = 0, false) as touched
+  from d
+),
+placed as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf, no) - 1 as pos, count(*) over (partition by lang) as size
+  from leaves
+),
+tree as (
+  select lang, 0 as lvl, pos, leaf as h, size from placed
+  union all
+  select lang, lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (size + 1) // 2 from tree where size > 1
+  group by lang, lvl, pos // 2, size
+),
+subs as (
+  select lang, h as subroot, lvl, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as size
+  from tree where size = 1
+),
+top as (
+  select 0 as lvl, pos, subroot as h, size from subs
+  union all
+  select lvl + 1, pos // 2, sha256(string_agg(h, '' order by pos)), (size + 1) // 2 from top where size > 1
+  group by lvl, pos // 2, size
+),
+steps as (
+  select p.no, t.lvl, p.pos >> t.lvl as at, s.h
+  from placed p join (select distinct lang, lvl, size from tree where size > 1) t on p.lang is not distinct from t.lang
+  left join tree s on s.lang is not distinct from p.lang and s.lvl = t.lvl and s.pos = xor(p.pos >> t.lvl, 1)
+  union all
+  select p.no, u.lvl + t.lvl, u.pos >> t.lvl, s.h
+  from placed p join subs u on p.lang is not distinct from u.lang
+  join (select distinct lvl, size from top where size > 1) t on true
+  left join top s on s.lvl = t.lvl and s.pos = xor(u.pos >> t.lvl, 1)
+),
+fold as (
+  select no, 0 as lvl, case when touched then tampered else leaf end as h from placed
+  union all
+  select f.no, f.lvl + 1, sha256(case when s.h is null then f.h when s.at % 2 = 0 then f.h || s.h else s.h || f.h end)
+  from fold f join steps s on f.no = s.no and f.lvl = s.lvl
+),
+folded as (select no, max_by(h, lvl) as h from fold group by no),
+proof as (select no, string_agg(h, '' order by lvl) as h from steps group by no),
+root as (select h from top where size = 1)
+select p.doc_id, p.leaf, u.subroot, root.h as root, sha256(coalesce(proof.h, '')) as proof_sha256,
+       folded.h as folded_root, folded.h = root.h as verified
+from placed p join subs u on p.lang is not distinct from u.lang join folded on p.no = folded.no
+left join proof on p.no = proof.no, root""")
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    parts = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.row_hash(["doc_id", "source", "lang", F.col("n_chars") + 1, "text"])
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    made = merkle.manifest(docs, parts, "lang", "doc_id", {"changed": F.when(touched, F.unhex(tampered))})
+    return merkle.proofs(made, "changed").withColumnRenamed("id", "doc_id").drop("group")
