@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, jaccard, langid, merkle, mixing, quality, secrets, suffixes, warc
+from punctual.llm import bpe, dedup, html, jaccard, langid, merkle, mixing, quality, search, secrets, suffixes, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -237,3 +237,33 @@ def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     made = merkle.manifest(docs, parts, "lang", "doc_id", {"changed": F.when(touched, F.unhex(tampered))})
     return merkle.proofs(made, "changed").withColumnRenamed("id", "doc_id").drop("group")
+
+
+@query(r"""
+with t as (
+  select doc_id, no, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select *, row_number() over () as no from documents)
+),
+post as (select doc_id, no, term, count(*)::bigint as tf from t group by doc_id, no, term),
+size as (select no, sum(tf)::bigint as n from post group by no),
+total as (select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from size),
+m as (select no, 100 - 50 + (50 * n * n_docs) // n_terms as m from size, total),
+w as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as w
+      from (select term, count(*) as df from post group by term), total),
+q as (
+  select distinct item_id, no, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select *, row_number() over () as no from benchmark)
+),
+s as (
+  select q.item_id, q.no, post.doc_id, post.no as doc_no, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::bigint as score
+  from q join post on q.term = post.term join w on w.term = q.term join m on m.no = post.no
+  group by q.item_id, q.no, post.doc_id, post.no
+)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by no order by score desc, doc_id nulls last) as rank from s where score > 0)
+where rank <= 50""")
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    made = search.index(table(spark, sf, "documents").select("doc_id", "text"))
+    return search.search(made, table(spark, sf, "benchmark")).withColumnRenamed("id", "doc_id")
