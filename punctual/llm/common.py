@@ -55,6 +55,19 @@ def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
     return cut.withColumn("rank", own + begin).drop("range_no")
 
 
+def join_counted(rows: DataFrame, lookup: DataFrame, key: str, times: str, total: int, how: str = "left") -> DataFrame:
+    """``rows`` joined with ``lookup``, which has one row per key and in ``times`` how many rows have it at least.
+
+    A key with more than a thousandth of all ``total`` rows is one of a thousand at most: these lines of ``lookup`` are
+    broadcast, so that the rows of a hot key stay where they are. The others are joined as Spark sees fit.
+    Both tables are read twice and should be written.
+    """
+    hot = F.broadcast(lookup.where(F.col(times) > total / 1000))
+    some = rows.join(hot, key).select(*rows.columns, *[c for c in lookup.columns if c != key])
+    rest = rows.join(hot.select(key), key, "left_anti").join(lookup.where(F.col(times) <= total / 1000), key, how)
+    return some.unionByName(rest.select(*some.columns))
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """The smallest node that each node of ``edges`` (a, b) is connected with: (node, root).
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from punctual.llm import bpe, dedup, html, jaccard, langid, merkle, mixing, quality, search, secrets, suffixes, warc
+from punctual.llm import bpe, dedup, html, jaccard, langid, merkle, mixing, quality, search, secrets, suffixes, vectors, warc
 from punctual.llm.common import table
 from punctual.llm.registry import ORACLES, QUERIES, query
 
@@ -267,3 +267,28 @@ where rank <= 50""")
 def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
     made = search.index(table(spark, sf, "documents").select("doc_id", "text"))
     return search.search(made, table(spark, sf, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query("""
+with recursive v as (
+  select vec_id, row_number() over () as no, embedding::double[] as e,
+         coalesce(len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+                  and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as usable
+  from embeddings
+),
+link as (
+  select a.no as a, b.no as b from v a join v b on a.no <> b.no and a.usable and b.usable and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.95::double
+),
+walk as (
+  select no, no as other from v
+  union
+  select w.no, l.b from walk w join link l on w.other = l.a
+),
+least as (select w.no, min(v.vec_id) as component_id from walk w join v on w.other = v.no group by w.no),
+n as (select a, count(*)::bigint as n_links from link group by a)
+select v.vec_id, coalesce(n.n_links, 0)::bigint as n_links, component_id, v.vec_id is not distinct from component_id as kept
+from v join least using (no) left join n on n.a = v.no""")
+def op13_vector_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = vectors.joined(table(spark, sf, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
