@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -133,3 +135,74 @@ def column_medians(df: DataFrame, keys: list[str], columns: dict[str, str]) -> D
     return medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("_name") == name, F.col("_median"))).alias(name) for name in columns]
     )
+
+
+def counted_quantiles(
+    counts: DataFrame,
+    keys: list[str],
+    value: str,
+    times: str,
+    probabilities: dict[str, float],
+    *,
+    direct_rows: int = DIRECT_ROWS,
+    cells: int = CELLS,
+) -> DataFrame:
+    """Like ``group_quantiles`` for rows that stand for ``times`` equal values each, such as merged value counts.
+
+    Groups of up to ``direct_rows`` distinct values are left to Spark's percentile with frequencies. In a larger one
+    each wanted rank has a range of values, at first all. It is cut into cells of equal width, the
+    cell with the rank becomes the range, and so on until it is one value. A step is one aggregation and a running
+    sum over the cells, so no task sees a group.
+    """
+    data = counts.select(*keys, F.col(value).cast("double").alias("_v"), F.col(times).cast("long").alias("_c"))
+    data = data.filter("_v is not null and _c > 0")
+    sizes = data.groupBy(*keys).agg(
+        F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    large = settle(sizes.filter(F.col("_d") > direct_rows))
+    some = large.limit(1).count() > 0
+    rest = attach(data, large.select(*keys), keys, "left_anti", null_safe=True) if some else data
+    small = rest.groupBy(*keys).agg(
+        *[F.percentile("_v", F.lit(float(p)), F.col("_c")).alias(name) for name, p in probabilities.items()]
+    )
+    if not some:
+        return small
+    names = list(probabilities)
+    ranks = [
+        F.struct(F.lit(name).alias("_name"), F.lit(end).alias("_end"), rank(position).cast("long").alias("_rank"), (position - F.floor(position)).alias("_part"))
+        for name in names
+        for position in [(F.col("_n") - 1) * F.lit(float(probabilities[name]))]
+        for end, rank in (("lo", F.floor), ("hi", F.ceil))
+    ]
+    target = [*keys, "_name", "_end", "_rank", "_part"]
+    open_ = settle(large.select(*keys, "_lo", "_hi", F.lit(0).cast("long").alias("_before"), F.inline(F.array(*ranks))))
+    found = []
+    while open_.limit(1).count():
+        found.append(open_.filter("_lo = _hi").select(*target, F.col("_lo").alias("_v")))
+        met = attach(data, _grouped(open_.filter("_lo < _hi"), keys), keys, "inner", null_safe=True)
+        met = met.select(*keys, "_v", "_c", F.inline("_targets")).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        width = F.col("_hi") / cells - F.col("_lo") / cells
+        cell = F.least(F.floor((F.col("_v") / cells - F.col("_lo") / cells) / width * cells), F.lit(cells - 1))
+        parts = met.withColumn("_cell", cell).groupBy(*target, "_before", "_cell").agg(
+            F.sum("_c").alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        )
+        upto = Window.partitionBy(*target).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+        parts = parts.withColumn("_upto", F.col("_before") + F.sum("_in").over(upto))
+        nearest = parts.filter(F.col("_upto") > F.col("_rank")).groupBy(*target).agg(
+            F.min(F.struct("_cell", "_lo", "_hi", (F.col("_upto") - F.col("_in")).alias("_before"))).alias("_next")
+        )
+        open_ = settle(nearest.select(*target, "_next._lo", "_next._hi", "_next._before"))
+    ends = reduce(DataFrame.unionByName, found).groupBy(*keys, "_name").agg(
+        F.max(F.when(F.col("_end") == "lo", F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("_end") == "hi", F.col("_v"))).alias("_b"),
+        F.max("_part").alias("_part"),
+    )
+    exact = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
+    wide = ends.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, exact)).alias(name) for name in names])
+    return small.unionByName(wide)
+
+
+def _grouped(targets: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per group with its open ranks: two for each probability at most."""
+    line = F.struct("_name", "_end", "_rank", "_part", "_lo", "_hi", "_before")
+    return targets.groupBy(*keys).agg(F.collect_list(line).alias("_targets"))

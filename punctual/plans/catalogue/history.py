@@ -10,6 +10,7 @@ from punctual.operators.history import build_features, fit_history
 from punctual.operators.lookup import lookup_with_default, unseen
 from punctual.operators.split import time_split
 from punctual.operators.store import build_store, store_alarms, store_drift, store_info
+from punctual.operators.store_state import StoreSpec
 from punctual.functions.clean import fill_zero, to_number
 from punctual.plans.catalogue.adapters import (
     EVENTS,
@@ -84,13 +85,18 @@ STAMP = "2024-01-30T12:00:00Z"
 NOW = "2024-01-30T14:00:00Z"
 
 
+USER_STORE = StoreSpec(
+    "user_id", mode="event_type", medians={"value": ("value", None), "k": ("k", None)}, means={"pred": ("pred", None)}
+)
+
+
 def user_store(rows: DataFrame, stamp: str = STAMP) -> DataFrame:
     return build_store(
         rows,
-        "user_id",
-        mode="event_type",
-        medians={"value": ("value", None), "k": ("k", None)},
-        means={"pred": ("pred", None)},
+        USER_STORE.entity,
+        mode=USER_STORE.mode,
+        medians=USER_STORE.medians,
+        means=USER_STORE.means,
         computed_at=F.lit(stamp).cast("timestamp"),
     )
 

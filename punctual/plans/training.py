@@ -9,7 +9,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,6 +118,18 @@ def fit_regressor(
     return _fit(learner, train, columns, features, categorical, most_categories)
 
 
+def fit_tree(
+    train: DataFrame, features: list[str], target: str, *, categorical: list[str] = CATEGORICAL, depth: int = 5,
+    seed: int = 2026, most_categories: int = MOST_CATEGORIES,
+) -> PipelineModel:
+    """One regression tree: the mean target of the train rows in each leaf."""
+    learner = DecisionTreeRegressor(
+        featuresCol="_features", labelCol=target, predictionCol="pred", maxDepth=depth, maxBins=MAX_BINS, seed=seed
+    )
+    columns = [*features, F.col(target).cast("double").alias(target)]
+    return _fit(learner, train, columns, features, categorical, most_categories)
+
+
 def fit_classifier(
     train: DataFrame,
     features: list[str],

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import time
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -44,27 +45,41 @@ def publish(df: DataFrame, root: str, origin: str | None = None) -> int:
     With an ``origin``, such as a stream's id and batch, that is already announced, nothing is written
     and its number is returned.
     """
-    spark = df.sparkSession
-    known = _versions(spark, root)
-    if known is not None and origin is not None:
-        before = known.filter(F.col("origin") == origin).agg(F.max("version")).first()[0]
-        if before is not None:
-            return before
+    return publish_folder(df.sparkSession, root, lambda path: df.write.option("compression", "zstd").parquet(path), origin)
+
+
+def publish_folder(spark: SparkSession, root: str, write: Callable[[str], None], origin: str | None = None) -> int:
+    """Like ``publish`` for anything that ``write`` puts into the folder it is given."""
+    before = None if origin is None else published_origin(spark, root, origin)
+    if before is not None:
+        return before
     folder = f"v-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(os.path.join(root, folder))
+    write(os.path.join(root, folder))
     version = (latest_version(spark, root) or 0) + 1
     now = spark.range(1).select(F.current_timestamp()).first()[0]
     _announce(spark, root, [(version, folder, origin, now)])
     return version
 
 
+def version_folders(spark: SparkSession, root: str) -> list[str]:
+    """Paths of all versions that are announced."""
+    known = _versions(spark, root)
+    return [] if known is None else [os.path.join(root, r["folder"]) for r in known.select("folder").distinct().collect()]
+
+
+def published_origin(spark: SparkSession, root: str, origin: str) -> int | None:
+    """The version that was published for this origin, if there is one."""
+    known = _versions(spark, root)
+    return None if known is None else known.filter(F.col("origin") == origin).agg(F.max("version")).first()[0]
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
     known = _versions(spark, root)
     return None if known is None else known.agg(F.max("version")).first()[0]
 
 
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The given or the latest version, with its number in ``store_version``."""
+def version_folder(spark: SparkSession, root: str, version: int | None = None) -> tuple[int, str]:
+    """Number and path of the given or the latest version."""
     known = _versions(spark, root)
     row = None
     if known is not None:
@@ -72,12 +87,20 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
         row = chosen.agg(F.max(F.struct("version", "folder")).alias("r")).first()["r"]
     if row is None:
         raise FileNotFoundError(f"nothing published below {root}")
-    return spark.read.parquet(os.path.join(root, row["folder"])).withColumn("store_version", F.lit(row["version"]))
+    return row["version"], os.path.join(root, row["folder"])
+
+
+def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The given or the latest version, with its number in ``store_version``."""
+    number, path = version_folder(spark, root, version)
+    return spark.read.parquet(path).withColumn("store_version", F.lit(number))
 
 
-def expire(spark: SparkSession, root: str, keep: int = 10, grace_seconds: float = 3600) -> int:
-    """Make the pointer one file and delete versions that are neither among the last ``keep`` nor younger
-    than the grace that readers are given. Returns how many versions went.
+def expire(
+    spark: SparkSession, root: str, keep: int = 10, grace_seconds: float = 3600, pinned: Iterable[int] = ()
+) -> int:
+    """Make the pointer one file and delete versions that are neither among the last ``keep``, nor ``pinned``, nor
+    younger than the grace that readers are given. Returns how many versions went.
 
     What stays is announced anew before anything is deleted, so a reader finds the latest version at any time.
     """
@@ -87,16 +110,16 @@ def expire(spark: SparkSession, root: str, keep: int = 10, grace_seconds: float
     files = [r["f"] for r in known.select(F.col("_metadata.file_path").alias("f")).distinct().collect()]
     # one row per publication since the last call
     rows = {r["version"]: tuple(r) for r in known.collect()}
-    last = sorted(rows)[-keep:]
+    last = {*sorted(rows)[-keep:], *pinned}
     oldest = time.time() - grace_seconds
     kept = {v: r for v, r in rows.items() if v in last or r[3].timestamp() > oldest}
     _announce(spark, root, sorted(kept.values()))
     for path in [*files, *(os.path.join(root, r[1]) for v, r in rows.items() if v not in kept)]:
-        _delete(spark, path)
+        delete_folder(spark, path)
     return len(rows) - len(kept)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete_folder(spark: SparkSession, path: str) -> None:
     """Through Hadoop's file systems, which reach whatever Spark writes to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

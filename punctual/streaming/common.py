@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def file_stream(
     spark: SparkSession, folder: str, schema: StructType | str, *, pattern: str | None = None, files_per_batch: int | None = None
@@ -27,6 +32,23 @@ def event_time(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, which keyed state with timers needs.
+
+    A stream takes the setting when it starts and remembers it in its progress.
+    """
+    before = spark.conf.get(STATE_PROVIDER, None)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(STATE_PROVIDER)
+        else:
+            spark.conf.set(STATE_PROVIDER, before)
+
+
 def drain(df: DataFrame, out: str, *, mode: str = "append") -> StreamingQuery:
     """Write everything there is to read to Parquet below ``out`` and stop."""
     query = (

@@ -1,9 +1,13 @@
-"""Order events as they arrive: twins, deliveries matched to placements, bias per day."""
+"""Order events as they arrive: twins, deliveries matched to placements, outcomes, bias per day."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from punctual.functions.scores import bias, mae
 
@@ -54,3 +58,118 @@ def bias_by_window(
     return groups.agg(
         F.count(F.lit(1)).alias("rows"), bias(pred, actual).alias("bias"), mae(pred, actual).alias("mae")
     ).select(F.col("window.start").alias("window_start"), "rows", "bias", "mae")
+
+
+def windows_so_far(
+    emitted: DataFrame, arrived: DataFrame, ts: str, pred: str | Column, actual: str, *, width: str = "1 day"
+) -> DataFrame:
+    """All windows of a stream, also those that its watermark has not closed, and what came too late for the others.
+
+    emitted: what ``bias_by_window`` wrote; arrived: everything the stream has read, as a table. A window is closed if it or
+    a later one was emitted. Closed windows are taken as emitted; ``late_rows`` counts the rows that the stream dropped
+    because the window was closed when they came. Open windows are computed from their own rows only, by a
+    filter that reaches the scan, and have no late rows. A window that was closed before its first row came
+    has 0 rows.
+    """
+    last = emitted.agg(F.max("window_start")).scalar()
+    start = F.window(ts, width)["start"]
+    measures = [F.count(F.lit(1)).alias("rows"), bias(pred, actual).alias("bias"), mae(pred, actual).alias("mae")]
+    after = last + F.expr(f"interval {width}")
+    rest = arrived.filter(F.coalesce(F.col(ts) >= after, F.lit(True)))
+    open_ = rest.groupBy(start.alias("window_start")).agg(*measures)
+    came = arrived.filter(F.col(ts) < after).groupBy(start.alias("window_start")).agg(F.count(F.lit(1)).alias("_came"))
+    closed = came.join(emitted, "window_start", "left").select(
+        "window_start", F.coalesce("rows", F.lit(0).cast("long")).alias("rows"), "bias", "mae", F.lit(True).alias("closed"),
+        (F.col("_came") - F.coalesce("rows", F.lit(0))).alias("late_rows"),
+    )
+    return closed.unionByName(open_.withColumns({"closed": F.lit(False), "late_rows": F.lit(0).cast("long")}))
+
+
+# What can happen to an order, and how long it may take.
+PLACED, DELIVERED, CANCELLED = "placed", "delivered", "cancelled"
+LONGEST_MINUTES = 720
+OUTCOME = "outcome string, placed_ms long, actual_minutes double"
+ORDER_STATE = "placed_ms long, delivered_ms long, cancelled_ms long, done boolean"
+
+
+class OrderLifecycle(StatefulProcessor):
+    """One state per order, and a timer at the time by which it must have been delivered."""
+
+    def __init__(self, key_names: list[str], longest_minutes: int):
+        self.key_names, self.longest = key_names, longest_minutes * 60_000
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.order = handle.getValueState("order", ORDER_STATE)
+
+    def _row(self, key: tuple, outcome: str, placed: int | None, end: int | None = None) -> Row:
+        minutes = None if placed is None or end is None else (end - placed) / 60_000
+        return Row(**dict(zip(self.key_names, key, strict=True)), outcome=outcome, placed_ms=placed, actual_minutes=minutes)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        placed, delivered, cancelled, done = self.order.get() if self.order.exists() else (None, None, None, False)
+        for row in rows:
+            # of two reports of the same step the earlier counts
+            if row.kind == PLACED:
+                placed = row.at_ms if placed is None else min(placed, row.at_ms)
+            elif row.kind == DELIVERED:
+                delivered = row.at_ms if delivered is None else min(delivered, row.at_ms)
+            elif row.kind == CANCELLED:
+                cancelled = row.at_ms if cancelled is None else min(cancelled, row.at_ms)
+        first = [x for x in (placed, delivered, cancelled) if x is not None]
+        if not first:
+            return
+        ended = placed is not None and (delivered is not None or cancelled is not None)
+        if ended and not done:
+            done = True
+            took = None if delivered is None else delivered - placed
+            if cancelled is not None and (delivered is None or cancelled <= delivered):
+                yield self._row(key, "cancelled", placed)
+            elif took <= 0:
+                yield self._row(key, "not_positive", placed, delivered)
+            elif took >= self.longest:
+                yield self._row(key, "timed_out", placed)
+            else:
+                yield self._row(key, "delivered", placed, delivered)
+        # a settled order stays known until no row of it can come any more
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer((min(first) if placed is None else placed) + self.longest)
+        self.order.update((placed, delivered, cancelled, done))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        placed, _, _, done = self.order.get()
+        self.order.clear()
+        if not done:
+            yield self._row(key, "timed_out" if placed is not None else "never_placed", placed)
+
+    def close(self) -> None:
+        pass
+
+
+def order_outcomes(
+    steps: DataFrame, on: list[str], *, at: str = "at", kind: str = "kind", longest_minutes: int = LONGEST_MINUTES,
+    delay: str = "1 hour",
+) -> DataFrame:
+    """One row per order as soon as its end is known: the keys, outcome, placed_at, actual_minutes.
+
+    ``steps`` has a row per step of an order: placed, delivered or cancelled, in any order of arrival. The outcome is
+    delivered (with its minutes), cancelled, not_positive (delivered before it was placed), timed_out (delivered
+    after ``longest_minutes`` or, by a timer on the event time, not at all) or never_placed. The
+    earlier of a delivery and a cancellation counts if both are known when the first is handled; an
+    order has one row, later steps change nothing. Rows behind the watermark are dropped. Start the
+    query within ``state_in_rocksdb``. ``orders_in_flight`` reads what is still open.
+    """
+    timed = steps.withWatermark(at, delay).select(*on, at, F.col(kind).alias("kind"), F.unix_millis(at).alias("at_ms"))
+    out = T.StructType([steps.schema[c] for c in on])
+    for column in OUTCOME.split(", "):
+        out = out.add(*column.split(" "))
+    found = timed.groupBy(*on).transformWithState(OrderLifecycle(on, longest_minutes), out, "Append", "EventTime")
+    return found.select(*on, "outcome", F.timestamp_millis("placed_ms").alias("placed_at"), "actual_minutes")
+
+
+def orders_in_flight(spark: SparkSession, progress: str) -> DataFrame:
+    """The orders without an outcome so far, read from the state that ``order_outcomes`` keeps below ``progress``."""
+    state = spark.read.format("statestore").option("stateVarName", "order").load(progress)
+    placed = F.timestamp_millis("value.placed_ms").alias("placed_at")
+    return state.filter("not value.done").select("key.*", F.lit("in_flight").alias("outcome"), placed, F.lit(None).cast("double").alias("actual_minutes"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,8 +16,10 @@ from punctual.functions.clean import fill_zero, parse_local, parse_utc, to_numbe
 from punctual.functions.calendar import iso_weekday
 from punctual.operators.lookup import attach, lookup_with_default
 from punctual.operators.store import store_info
+from punctual.operators.store_state import StoreSpec, StoreState, finished, merged, state_of
 from punctual.session import settle
-from punctual.sources.versions import latest_version, publish, read_version
+from punctual.sources.releases import pinned_stores, released
+from punctual.sources.versions import delete_folder, expire, latest_version, publish, published_origin, read_version, version_folders
 from punctual.streaming.common import write_batch
 
 # What a request may contain, and the profile of an entity nobody has heard of.
@@ -91,7 +94,9 @@ def assemble(requests: DataFrame, store: DataFrame, defaults: dict = DEFAULT_PRO
     return fill_zero(rows, numeric, "filled")
 
 
-def respond(scored: DataFrame, features: list[str], model_version: Column, computed_at: Column) -> DataFrame:
+def respond(
+    scored: DataFrame, features: list[str], model_version: Column, computed_at: Column, *also: str | Column
+) -> DataFrame:
     """The response row: estimate to 0.1, features used, stamp of the store and the default flag."""
     return scored.select(
         "order_id",
@@ -100,9 +105,18 @@ def respond(scored: DataFrame, features: list[str], model_version: Column, compu
         F.struct(*features).alias("features_used"),
         computed_at.alias("store_computed_at"),
         "used_default_profile",
+        *also,
     )
 
 
+def _alert(spark: SparkSession, batch_id: int, version: int | None, age: int | None, max_age: int) -> DataFrame | None:
+    """The line about a batch that was served from no store or an old one."""
+    if age is not None and age <= max_age:
+        return None
+    line = [(batch_id, version, age, max_age)]
+    return spark.createDataFrame(line, "batch_id long, store_version long, age_seconds long, max_age long")
+
+
 def score_stream(
     raw: DataFrame,
     store_root: str,
@@ -144,10 +158,61 @@ def score_stream(
             }
         )
         write_batch(scored, os.path.join(out, "scored"), batch_id)
-        age = about["age_seconds"]
-        if age is None or age > max_age:
-            line = [(batch_id, about["store_version"], age, max_age)]
-            alert = spark.createDataFrame(line, "batch_id long, store_version long, age_seconds long, max_age long")
+        alert = _alert(spark, batch_id, about["store_version"], about["age_seconds"], max_age)
+        if alert is not None:
+            write_batch(alert, os.path.join(out, "alerts"), batch_id)
+
+    return (
+        raw.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", os.path.join(out, "progress"))
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def serve_stream(
+    raw: DataFrame,
+    release_root: str,
+    out: str,
+    *,
+    body: str = "body",
+    defaults: dict = DEFAULT_PROFILE,
+    max_age: int = 120,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Answer every micro-batch with the released pair of feature table and model.
+
+    A batch reads the pointer once, so all its rows come from one pair, whose three numbers they carry;
+    a new pair is served from the next batch on. A model is loaded once and kept, as it never
+    changes. Answers go to ``responses``, bad requests to ``quarantine``. As long as nothing is released
+    all requests of a batch go there too, with the problem ``no_model``. A batch served from a table older than
+    ``max_age`` seconds, or without any, adds a line to ``alerts``. A batch that is run again replaces what it wrote.
+    """
+    spark = raw.sparkSession
+    models: dict = {}
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        checked = settle(parse_requests(batch, body))
+        try:
+            pair = released(spark, release_root, models)
+        except FileNotFoundError:
+            refused = checked.withColumn("problem", F.coalesce("problem", F.lit("no_model")))
+            write_batch(refused, os.path.join(out, "quarantine"), batch_id)
+            write_batch(_alert(spark, batch_id, None, None, max_age), os.path.join(out, "alerts"), batch_id)
+            return
+        write_batch(checked.filter("problem is not null"), os.path.join(out, "quarantine"), batch_id)
+        about = store_info(pair.store).first()
+        rows = assemble(checked.filter("problem is null").drop("problem"), pair.store, defaults)
+        numbers = [F.lit(n).cast("long").alias(c) for c, n in (("store_version", pair.store_version), ("release", pair.release))]
+        answers = respond(
+            pair.model.transform(rows), pair.features, F.lit(pair.model_version).cast("long"),
+            F.lit(about["computed_at"]).cast("string"), *numbers,
+        )
+        # pairs may differ in their features, so these travel as text
+        answers = answers.withColumn("features_used", F.to_json("features_used", {"ignoreNullFields": "false"}))
+        write_batch(answers, os.path.join(out, "responses"), batch_id)
+        alert = _alert(spark, batch_id, pair.store_version, about["age_seconds"], max_age)
+        if alert is not None:
             write_batch(alert, os.path.join(out, "alerts"), batch_id)
 
     return (
@@ -174,6 +239,9 @@ def refresh_store(
     the entities of the batch are built anew, from the files of their buckets; the others are taken
     over from the version before. The result equals a build from all rows. A batch that is run again
     replaces its own rows and publishes nothing twice. ``build`` gives one row per entity.
+
+    This takes any ``build``, and a batch that touches all buckets reads all history. A table that is made of
+    counts, sums and medians is better kept by ``refresh_merged``, which never reads a row twice.
     """
     spark = arrivals.sparkSession
     history = os.path.join(progress, "history")
@@ -204,3 +272,87 @@ def refresh_store(
         .trigger(**(trigger or {"processingTime": "20 seconds"}))
         .start()
     )
+
+
+PARTS = "counts string, values string, base boolean"
+
+
+def refresh_merged(
+    arrivals: DataFrame,
+    spec: StoreSpec,
+    store_root: str,
+    progress: str,
+    *,
+    computed_at: Column | None = None,
+    parts: int = 16,
+    keep: int = 10,
+    grace_seconds: float = 3600,
+    release_root: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Publish a new feature table for every micro-batch from its own rows and the merged state.
+
+    The state lies below ``progress`` as parts: what each batch adds, and a base. A version of the state is a
+    small table that names its parts, published like the feature table. When more than ``parts`` are named they
+    are merged to a new base, so each part is rewritten once per ``parts`` batches. Only entities of the batch are
+    finished anew; the others are taken over from the version before. The result equals a build
+    from all rows. A batch that is run again, or whose progress is lost between the two publications, adds nothing
+    twice. Every ``keep`` versions those before the last ``keep`` are removed, and the parts that only they name, once
+    readers have had ``grace_seconds``; a table that a release below ``release_root`` names stays.
+    """
+    spark = arrivals.sparkSession
+    state_root, folders = os.path.join(progress, "state"), os.path.join(progress, "parts")
+
+    def read(names: list, column: str, schema: T.StructType) -> DataFrame:
+        return spark.read.schema(schema).parquet(*[os.path.join(folders, n[column]) for n in names])
+
+    def put(df: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        df.sortWithinPartitions(spec.entity).write.option("compression", "zstd").parquet(os.path.join(folders, name))
+        return name
+
+    def named_parts() -> set[str]:
+        found = spark.read.schema(PARTS).parquet(*version_folders(spark, state_root)).distinct().collect()
+        return {r[c] for r in found for c in ("counts", "values")}
+
+    def clean() -> None:
+        expire(spark, store_root, keep, grace_seconds, pinned_stores(spark, release_root, store_root) if release_root else ())
+        before = named_parts()
+        expire(spark, state_root, keep, grace_seconds)
+        for name in before - named_parts():
+            delete_folder(spark, os.path.join(folders, name))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stream = spark.read.text(os.path.join(progress, "stream", "metadata")).first()[0]
+        origin = f"{STREAM_ID.search(stream)[1]}:{batch_id}"
+        lot = state_of(batch, spec)
+        kinds = lot.counts.schema, lot.values.schema
+        try:
+            before = [r for r in read_version(spark, state_root).select("counts", "values", "base").collect()]
+        except FileNotFoundError:
+            before = []
+        if published_origin(spark, state_root, origin) is None:
+            added = Row(counts=put(lot.counts), values=put(lot.values), base=False)
+            named = [*before, added]
+            if len(named) > parts:
+                whole = merged(StoreState(read(named, "counts", kinds[0]), read(named, "values", kinds[1])), spec)
+                named = [Row(counts=put(whole.counts), values=put(whole.values), base=True)]
+            lines = [(r["counts"], r["values"], r["base"]) for r in named]
+            publish(spark.createDataFrame(lines, PARTS).coalesce(1), state_root, origin)
+        now = [r for r in read_version(spark, state_root).select("counts", "values", "base").collect()]
+        touched = settle(batch.select(spec.entity).distinct())
+        every = StoreState(read(now, "counts", kinds[0]), read(now, "values", kinds[1]))
+        own = StoreState(*[attach(df, touched, spec.entity, "left_semi", null_safe=True) for df in (every.counts, every.values)])
+        store = finished(merged(own, spec), spec, computed_at)
+        if latest_version(spark, store_root) is not None:
+            old = read_version(spark, store_root).drop("store_version")
+            store = store.unionByName(attach(old, touched, spec.entity, "left_anti", null_safe=True))
+        if publish(store, store_root, origin) % keep == 0:
+            clean()
+
+    return (
+        arrivals.writeStream.foreachBatch(handle)
+        .option("checkpointLocation", os.path.join(progress, "stream"))
+        .trigger(**(trigger or {"processingTime": "20 seconds"}))
+        .start()
+    )
