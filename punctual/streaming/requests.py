@@ -293,8 +293,8 @@ def refresh_merged(
     """Publish a new feature table for every micro-batch from its own rows and the merged state.
 
     The state lies below ``progress`` as parts: what each batch adds, and a base. A version of the state is a
-    small table that names its parts, published like the feature table. When more than ``parts`` are named they
-    are merged to a new base, so each part is rewritten once per ``parts`` batches. Only entities of the batch are
+    small table that names its parts, published like the feature table. When it names ``parts`` of them the next batch
+    merges them with its own to a new base, so the state is rewritten once per ``parts`` batches. Only entities of the batch are
     finished anew; the others are taken over from the version before. The result equals a build
     from all rows. A batch that is run again, or whose progress is lost between the two publications, adds nothing
     twice. Every ``keep`` versions those before the last ``keep`` are removed, and the parts that only they name, once
@@ -332,10 +332,11 @@ def refresh_merged(
         except FileNotFoundError:
             before = []
         if published_origin(spark, state_root, origin) is None:
-            added = Row(counts=put(lot.counts), values=put(lot.values), base=False)
-            named = [*before, added]
-            if len(named) > parts:
-                whole = merged(StoreState(read(named, "counts", kinds[0]), read(named, "values", kinds[1])), spec)
+            if len(before) < parts:
+                named = [*before, Row(counts=put(lot.counts), values=put(lot.values), base=False)]
+            else:
+                sides = zip(("counts", "values"), kinds, (lot.counts, lot.values), strict=True)
+                whole = merged(StoreState(*[read(before, c, k).unionByName(df) for c, k, df in sides]), spec)
                 named = [Row(counts=put(whole.counts), values=put(whole.values), base=True)]
             lines = [(r["counts"], r["values"], r["base"]) for r in named]
             publish(spark.createDataFrame(lines, PARTS).coalesce(1), state_root, origin)

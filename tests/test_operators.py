@@ -18,7 +18,7 @@ from punctual.operators.fingerprint import data_fingerprint
 from punctual.operators.history import ORDER_RATIOS, build_features, fit_history
 from punctual.operators.lookup import attach, hot_hashes, lookup_with_default, salted_join, unseen
 from punctual.operators.profile import positive_rate
-from punctual.operators.quantiles import column_medians, group_quantiles
+from punctual.operators.quantiles import column_medians, counted_quantiles, group_quantiles
 from punctual.operators.ranges import training_ranges, with_outside
 from punctual.operators.sampling import (
     class_weights,
@@ -160,6 +160,22 @@ def test_quantiles_are_exact(spark, direct):
     assert np.allclose(got[list(wanted)].to_numpy(), want, rtol=1e-12)
 
 
+@pytest.mark.parametrize("direct", [0, 1000])
+def test_counted_quantiles_equal_those_of_the_rows(spark, direct):
+    random = np.random.default_rng(5)
+    values = np.concatenate([random.normal(size=3000), random.normal(size=500) * 1e9, np.full(800, 0.5), [-1e308, 1e308, 0.0]])
+    rows = [(None if i % 7 == 0 else i % 3, float(v), int(random.integers(1, 4))) for i, v in enumerate(values)]
+    rows += [(9, 4.0, 1), (9, None, 3), (9, 5.0, 0), (8, 1.0, 2), (8, 2.0, 2)]
+    df = spark.createDataFrame(rows, "g int, v double, n int")
+    wanted = {"lo": 0.0, "a": 0.25, "mid": 0.5, "b": 0.975, "hi": 1.0}
+    got = {r["g"]: r for r in counted_quantiles(df, ["g"], "v", "n", wanted, direct_rows=direct, cells=50).collect()}
+    assert set(got) == {None, 0, 1, 2, 8, 9}
+    for g, r in got.items():
+        each = np.repeat(*zip(*[(v, n) for k, v, n in rows if k == g and v is not None and n]))
+        assert [r[c] for c in wanted] == pytest.approx(list(np.quantile(each, list(wanted.values()))), rel=1e-12)
+    assert counted_quantiles(df.limit(0), ["g"], "v", "n", wanted, direct_rows=direct).count() == 0
+
+
 def test_quantile_of_one_value_and_of_equal_values(spark):
     df = spark.createDataFrame([("a", 3.0), ("b", 1.0), ("b", 1.0), ("c", None)], "g string, v double")
     got = {r["g"]: r["m"] for r in group_quantiles(df, ["g"], "v", {"m": 0.5}, direct_rows=0).collect()}

@@ -4,11 +4,17 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
+
+from punctual.operators.store import build_store
+from punctual.operators.store_state import StoreSpec, StoreState, finished, merged, state_of
 from punctual.session import shared_path
-from punctual.sources.versions import expire, latest_version, publish, read_version
-from punctual.streaming.common import drain, drained, event_time, file_stream
-from punctual.streaming.orders import bias_by_window, deliveries, drop_twins
-from punctual.streaming.requests import parse_requests, refresh_store, respond, score_stream
+from punctual.sources.releases import pinned_stores, publish_model, read_model, release, released
+from punctual.sources.versions import expire, latest_version, publish, read_version, version_folders
+from punctual.streaming.common import drain, drained, event_time, file_stream, state_in_rocksdb
+from punctual.streaming.orders import bias_by_window, deliveries, drop_twins, order_outcomes, orders_in_flight, windows_so_far
+from punctual.streaming.requests import parse_requests, refresh_merged, refresh_store, respond, score_stream, serve_stream
 
 EVENTS = "id int, k string, ts timestamp_ntz, y double, pred double"
 
@@ -205,3 +211,179 @@ def test_versions_are_never_overwritten(spark):
     with pytest.raises(FileNotFoundError):
         read_version(spark, root, 1)
     assert publish(spark.range(1), root) == 7
+
+
+# released pairs of table and model
+
+
+def model_of(spark, expression):
+    statement = f"SELECT *, CAST({expression} AS DOUBLE) AS pred FROM __THIS__"
+    return Pipeline(stages=[SQLTransformer(statement=statement)]).fit(spark.range(1))
+
+
+def test_a_pair_is_released_together_and_swapped_between_batches(spark):
+    store, models, pairs, out, inbox = (shared_path(spark, n) for n in ("store", "models", "pairs", "out", "inbox"))
+    lines = [("R1", "Pune", 2.0, 12.0, 4.0, "2025-01-01T00:00:00Z", "km"), ("R2", "Pune", 4.0, None, 4.0, "2025-01-01T00:00:00Z", "km")]
+
+    def answer(bodies):
+        spark.createDataFrame(bodies, "body string").coalesce(1).write.mode("append").parquet(inbox)
+        serve_stream(file_stream(spark, inbox, "body string"), pairs, out).awaitTermination()
+
+    def rows(name):
+        return spark.read.parquet(os.path.join(out, name)).collect()
+
+    # nothing released: all are refused, none is lost
+    answer(REQUESTS[:4])
+    assert sorted(r["problem"] for r in rows("quarantine")) == ["n_items", "no_model", "no_model", "weather"]
+    assert [(r["batch_id"], r["store_version"]) for r in rows("alerts")] == [(0, None)]
+
+    publish(spark.createDataFrame(lines, STORE), store)
+    metrics = spark.createDataFrame([(5.6, 100)], "model_mae double, n_test int")
+    assert publish_model(model_of(spark, "10 + 3 * distance_km + n_items"), models, ["distance_km", "n_items"], metrics) == 1
+    assert json.loads(read_model(spark, models)[1]["metrics"]) == {"model_mae": 5.6, "n_test": 100}
+    assert release(spark, pairs, store, models) == 1
+    # published, but not yet released: the next batch must not see either
+    publish(spark.createDataFrame(lines[:1], STORE).withColumn("distance_km", F.lit(20.0)), store)
+    publish_model(model_of(spark, "city = 'Pune'"), models, ["city"])
+    answer(REQUESTS)
+    first = {r["order_id"]: r for r in rows("responses")}
+    assert {k: r["eta_minutes"] for k, r in first.items()} == {"1": 19.0, "2": 21.5, "6": 24.0}
+    assert {(r["store_version"], r["model_version"], r["release"]) for r in first.values()} == {(1, 1, 1)}
+    assert json.loads(first["1"]["features_used"]) == {"distance_km": 2.0, "n_items": 3}
+    assert first["2"]["used_default_profile"] and first["1"]["store_computed_at"] == "2025-01-01T00:00:00Z"
+
+    assert release(spark, pairs, store, models, store_version=1) == 2
+    answer(REQUESTS[:1])
+    assert release(spark, pairs, store, models) == 3
+    answer(REQUESTS[:1])
+    later = sorted((r["release"], r["store_version"], r["model_version"], r["eta_minutes"]) for r in rows("responses") if r["release"] > 1)
+    assert later == [(2, 1, 2, 1.0), (3, 2, 2, 1.0)]
+    # the last two releases hold both tables, whatever is expired
+    assert pinned_stores(spark, pairs, store, keep=2) == {1, 2}
+    for _ in range(3):
+        publish(spark.createDataFrame(lines, STORE), store)
+    expire(spark, store, keep=1, grace_seconds=-60, pinned=pinned_stores(spark, pairs, store, keep=1))
+    assert released(spark, pairs).store.count() == 1 and latest_version(spark, store) == 5
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, store, 1)
+
+
+# the feature table as mergeable state
+
+SPEC = StoreSpec("k", mode="m", medians={"y": ("y", 2), "z": ("z", None)}, means={"avg_y": ("y", 3)})
+SHOP = "id int, k string, m string, y double, z double"
+
+
+def shop_rows(start, n):
+    out = []
+    for i in range(start, start + n):
+        k = None if i % 11 == 0 else f"k{i % 5}"
+        m = None if i % 3 == 0 or k == "k4" else f"m{i % 4}"
+        y = None if k == "k3" else float(i * 7919 % 101)
+        out.append((i, k, m, y, None if i % 2 else float(i % 6)))
+    return out
+
+
+def full_build(spark, rows):
+    df = spark.createDataFrame(rows, SHOP)
+    return build_store(df, "k", mode="m", medians=SPEC.medians, means=SPEC.means, computed_at=F.lit("2025-01-01 00:00:00").cast("timestamp"))
+
+
+def lines(df):
+    return sorted(str(r.asDict()) for r in df.select(*sorted(df.columns)).collect())
+
+
+def test_state_of_two_lots_is_the_state_of_all_rows(spark):
+    one, two = shop_rows(0, 70), shop_rows(70, 40)
+    parts = [state_of(spark.createDataFrame(r, SHOP), SPEC) for r in (one, two)]
+    both = merged(StoreState(*[getattr(parts[0], f).unionByName(getattr(parts[1], f)) for f in ("counts", "values")]), SPEC)
+    stamp = F.lit("2025-01-01 00:00:00").cast("timestamp")
+    assert lines(finished(both, SPEC, stamp)) == lines(full_build(spark, one + two))
+    none = state_of(spark.createDataFrame([], SHOP), SPEC)
+    assert finished(merged(none, SPEC), SPEC, stamp).count() == 0
+
+
+@pytest.mark.parametrize("parts", [2, 16])
+def test_merged_refresh_reads_a_row_once_and_equals_a_full_build(spark, parts):
+    root, inbox, progress, pairs = (shared_path(spark, n) for n in ("store", "in", "progress", "pairs"))
+    stamp = F.lit("2025-01-01 00:00:00")
+    every = []
+    for n, (start, size) in enumerate([(0, 60), (60, 1), (61, 30), (91, 0), (91, 9)]):
+        lot = shop_rows(start, size)
+        every += lot
+        path = os.path.join(inbox, f"lot{n}")
+        spark.createDataFrame(lot, SHOP).coalesce(1).write.parquet(path)
+        arrivals = file_stream(spark, os.path.join(inbox, "*"), SHOP)
+        refresh_merged(
+            arrivals, SPEC, root, progress, computed_at=stamp, parts=parts, keep=2, grace_seconds=-60, release_root=pairs,
+            trigger={"availableNow": True},
+        ).awaitTermination()
+        assert lines(read_version(spark, root).drop("store_version")) == lines(full_build(spark, every))
+        # what has been merged is never needed again
+        spark.createDataFrame([], SHOP).coalesce(1).write.mode("overwrite").parquet(path)
+    # old versions, and the parts that only they name, are gone
+    assert len(version_folders(spark, root)) <= 3
+    named = spark.read.parquet(*version_folders(spark, os.path.join(progress, "state"))).collect()
+    assert set(os.listdir(os.path.join(progress, "parts"))) == {r[c] for r in named for c in ("counts", "values")}
+
+
+# windows
+
+
+def test_windows_so_far_has_open_windows_and_a_ledger_of_late_rows(spark):
+    first = [(1, "a", "2025-01-02 10:00:00", 10.0, 11.0), (2, "a", "2025-01-04 10:00:00", 10.0, 12.0)]
+    late = [(3, "a", "2025-01-01 10:00:00", 10.0, 10.0), (4, "a", "2025-01-02 11:00:00", 10.0, 19.0), (5, "a", "2025-01-04 11:00:00", 10.0, 14.0)]
+    out, folder = shared_path(spark, "out"), shared_path(spark, "in")
+    for lot in (first, late):
+        event_rows(spark, lot).coalesce(1).write.mode("append").parquet(folder)
+        drain(bias_by_window(event_time(file_stream(spark, folder, EVENTS), "ts"), "ts", "pred", "y"), out)
+    emitted = drained(spark, out, "window_start timestamp, rows long, bias double, mae double")
+    arrived = event_time(event_rows(spark, first + late), "ts")
+    got = {r["window_start"].day: tuple(r)[1:] for r in windows_so_far(emitted, arrived, "ts", "pred", "y").collect()}
+    assert got == {1: (0, None, None, True, 1), 2: (1, 1.0, 1.0, True, 1), 4: (2, 3.0, 3.0, False, 0)}
+    nothing = emitted.limit(0)
+    got = windows_so_far(nothing, arrived, "ts", "pred", "y").collect()
+    assert sorted((r["window_start"].day, r["rows"], r["closed"]) for r in got) == [(1, 1, False), (2, 2, False), (4, 2, False)]
+
+
+# outcomes of orders
+
+STEPS = "order_id string, kind string, at timestamp"
+
+
+def test_outcomes_with_timers_survive_a_restart_and_any_order_of_arrival(spark):
+    folder, out = shared_path(spark, "steps"), shared_path(spark, "out")
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "order_id string, kind string, t string")
+        df = df.select("order_id", "kind", F.col("t").cast("timestamp").alias("at"))
+        df.coalesce(1).write.mode("append").parquet(folder)
+        with state_in_rocksdb(spark):
+            drain(order_outcomes(file_stream(spark, folder, STEPS), ["order_id"]), out)
+        got = drained(spark, out, "order_id string, outcome string, placed_at timestamp, actual_minutes double").collect()
+        assert len({r["order_id"] for r in got}) == len(got)
+        return {r["order_id"]: (r["outcome"], r["actual_minutes"]) for r in got}
+
+    day = "2025-01-01 "
+    done = run([
+        ("a", "placed", day + "10:00:00"), ("a", "delivered", day + "10:40:30"),
+        ("b", "delivered", day + "10:30:00"), ("c", "placed", day + "10:00:00"), ("c", "cancelled", day + "10:05:00"),
+        ("d", "placed", day + "10:00:00"), ("e", "placed", day + "10:30:00"), ("e", "delivered", day + "10:29:00"),
+        ("f", "placed", day + "10:00:00"), ("f", "delivered", day + "22:00:00"), ("g", "cancelled", day + "10:20:00"),
+        ("h", "placed", day + "10:00:00"), ("h", "cancelled", day + "10:30:00"), ("h", "delivered", day + "10:20:00"),
+        ("a", "delivered", day + "10:50:00"), ("i", "delivered", day + "11:00:00"), (None, "placed", day + "10:00:00"),
+    ])
+    known = {"a": ("delivered", 40.5), "c": ("cancelled", None), "e": ("not_positive", -1.0), "f": ("timed_out", None), "h": ("delivered", 20.0)}
+    # the latest step seen is at 22:00, less an hour of delay: no timer has run out
+    assert done == known
+    open_ = {r["order_id"]: r["placed_at"] for r in orders_in_flight(spark, os.path.join(out, "progress")).collect()}
+    assert sorted(open_, key=str) == sorted(["b", "d", "g", "i", None], key=str) and open_["b"] is None
+
+    # after a restart: a placement behind the watermark is dropped, one in time completes nothing yet, repeats change nothing
+    done = run([("b", "placed", day + "10:00:00"), ("j", "placed", day + "21:30:00"), ("a", "cancelled", day + "21:10:00")])
+    assert done == known
+    done = run([("z", "placed", "2025-01-03 10:00:00")])
+    known |= {"d": ("timed_out", None), None: ("timed_out", None), "b": ("never_placed", None), "g": ("never_placed", None),
+              "i": ("never_placed", None), "j": ("timed_out", None)}
+    assert done == known
+    assert [r["order_id"] for r in orders_in_flight(spark, os.path.join(out, "progress")).collect()] == ["z"]
