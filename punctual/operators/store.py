@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from punctual.functions.clean import utc
 from punctual.operators.lookup import attach
 from punctual.operators.quantiles import column_medians, group_quantiles
+from punctual.session import settle
+from punctual.sources.versions import let_out, live_version, publish, read_version
+
+
+FINDINGS = "subject string, finding string"
 
 
 class StaleStore(AssertionError):
@@ -145,6 +150,28 @@ def store_drift(
     return joined.withColumn("verdict", verdict)
 
 
+def publish_checked(
+    store: DataFrame, root: str, columns: list[str], *, max_age: int, now: Column | None = None, origin: str | None = None
+) -> tuple[int, DataFrame]:
+    """Publish a new version of the store behind a gate: its number, and what was found.
+
+    The version is written and announced as held back. What has been written is compared with the version that
+    readers have. Only without findings is it let out; otherwise readers stay with what they have. The first
+    version has nothing to be compared with but its own stamp and unit.
+    """
+    spark = store.sparkSession
+    before = live_version(spark, root)
+    number = publish(store, root, origin, held=True)
+    if before is not None and before >= number:
+        return number, spark.createDataFrame([], FINDINGS)
+    new = read_version(spark, root, number)
+    old = new if before is None else read_version(spark, root, before)
+    found = settle(store_alarms(old, new, columns, max_age=max_age, now=now))
+    if found.limit(1).count() == 0:
+        let_out(spark, root, number)
+    return number, found
+
+
 def store_alarms(old: DataFrame, new: DataFrame, columns: list[str], *, max_age: int, now: Column | None = None):
     """Everything about the new version that should stop it from being served, one row per finding."""
     drift = store_drift(old, new, columns).filter(F.col("verdict") != "ok")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from punctual.operators.evaluation import silent_fallbacks, skew_between
 from punctual.operators.history import build_features, fit_history
 from punctual.operators.lookup import lookup_with_default, unseen
 from punctual.operators.split import time_split
-from punctual.operators.store import build_store, store_alarms, store_drift, store_info
+from punctual.operators.store import build_store, publish_checked, store_alarms, store_drift, store_info
 from punctual.operators.store_state import StoreSpec
 from punctual.functions.clean import fill_zero, to_number
 from punctual.plans.catalogue.adapters import (
@@ -20,7 +22,8 @@ from punctual.plans.catalogue.adapters import (
     sides,
 )
 from punctual.plans.catalogue.registry import query, rounded
-from punctual.session import settle
+from punctual.session import settle, shared_path
+from punctual.sources.versions import read_version, withdraw
 
 
 @query(
@@ -246,3 +249,45 @@ def train_serve_skew(spark: SparkSession, sf: str) -> DataFrame:
     store = user_store(rows)
     served = lookup_with_default(rows.select("event_id", "user_id"), store, "user_id", {"value": 3500.0, "k": 50.0})
     return skew_between(rows, served, ["value", "k"])
+
+
+@query(
+    f"""
+    with {EVENTS}, {sides(HOLDOUT_DAYS)}, {store_sql('tr', 'store1')}, {store_sql('ev', 'store2')},
+    one as (select count(*) as entities, sum(value) as total from store1),
+    two as (select count(*) as entities, sum(value) as total from store2)
+    select '1 first' as step, 1::bigint as version, 1::bigint as live, '' as findings, entities, total from one
+    union all select '2 another unit', 2, 1, 'value:unit', entities, total from one
+    union all select '3 a join that broke', 3, 1, 'k:nulls', entities, total from one
+    union all select '4 all rows', 4, 4, '', entities, total from two
+    union all select '5 withdrawn', 4, 1, '', entities, total from one
+    union all select '6 again', 5, 5, '', entities, total from two
+    """
+)
+def store_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Q7 K3: versions with findings are held back, one is withdrawn; readers never see them and numbers only grow."""
+    root = shared_path(spark, "gated")
+    rows = events(spark, sf)
+    early = settle(user_store(time_split(rows, "ts", HOLDOUT_DAYS)[0]))
+    late = settle(user_store(rows))
+    lines = []
+
+    def look(step: str, version: int, found: DataFrame | None) -> None:
+        seen = F.lit("") if found is None else found.agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "subject", "finding"))), ",").alias("f")).scalar()
+        live = read_version(spark, root)
+        line = live.agg(
+            F.max("store_version").cast("long").alias("live"), F.count(F.lit(1)).alias("entities"), F.sum("value").alias("total")
+        )
+        lines.append(settle(line.select(F.lit(step).alias("step"), F.lit(version).cast("long").alias("version"), "live", seen.alias("findings"), "entities", "total")))
+
+    for step, store in (
+        ("1 first", early),
+        ("2 another unit", late.withColumn("value", F.col("value") * 1000)),
+        ("3 a join that broke", late.withColumn("k", F.lit(None).cast("double"))),
+        ("4 all rows", late),
+    ):
+        look(step, *publish_checked(store, root, ["value", "k"], max_age=10_000, now=F.lit(NOW).cast("timestamp")))
+    withdraw(spark, root, 4)
+    look("5 withdrawn", 4, None)
+    look("6 again", *publish_checked(late, root, ["value", "k"], max_age=10_000, now=F.lit(NOW).cast("timestamp")))
+    return reduce(DataFrame.unionByName, lines)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctual.operators.audit import fitted_on_train_only
@@ -10,6 +10,8 @@ from punctual.operators.behaviour import prediction_ratio, recorded_predictions
 from punctual.operators.evaluation import regression_report
 from punctual.operators.fingerprint import content_hash, data_fingerprint
 from punctual.operators.history import build_features
+from punctual.operators.lineage import column_sources, leaking_sources, lineage_kept
+from punctual.operators.lookup import attach
 from punctual.operators.profile import (
     group_mean,
     label_spread,
@@ -315,3 +317,51 @@ def recorded_pairs(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf).filter("k >= 0")
     logs = rows.select("event_id", F.concat_ws("\n", response(F.col("pred")), response(F.col("pred") + F.col("k"))).alias("log"))
     return logs.select("event_id", F.size(recorded_predictions("log")).alias("estimates"), prediction_ratio("log").alias("ratio"))
+
+
+LATE_COLUMNS = ["l_shipdate", "l_commitdate", "l_receiptdate", "l_returnflag", "l_linestatus", "l_shipmode"]
+
+
+@query(
+    """
+    with j as (
+      select l_orderkey, l_suppkey, l_quantity, l_extendedprice, l_discount, date_diff('day', o_orderdate, l_shipdate) as days
+      from lineitem join orders on l_orderkey = o_orderkey
+    ),
+    s as (select l_suppkey, avg(days) as pace, avg(l_quantity) as lot from j group by l_suppkey),
+    f as (
+      select j.l_extendedprice / j.l_quantity as unit, s.pace, s.lot, j.l_discount * 100 as rebate,
+             case when j.days > 60 then 1 else 0 end as slow,
+             row_number() over (partition by j.l_orderkey order by j.days, j.l_suppkey, j.l_extendedprice) as turn
+      from j join s on j.l_suppkey = s.l_suppkey
+    )
+    select unnest(['unit', 'pace', 'lot', 'rebate', 'slow', 'turn']) as feature,
+           unnest([false, true, false, false, true, true]) as leaks,
+           unnest(['l_extendedprice,l_quantity', 'l_shipdate,o_orderdate', 'l_quantity', 'l_discount', 'l_shipdate,o_orderdate',
+                   'l_extendedprice,l_orderkey,l_shipdate,l_suppkey,o_orderdate']) as sources,
+           unnest([round(avg(unit), 4), round(avg(pace), 4), round(avg(lot), 4), round(avg(rebate), 4), round(avg(slow), 4), round(avg(turn), 4)]) as mean
+    from f
+    """
+)
+def leakage_by_lineage(spark: SparkSession, sf: str) -> DataFrame:
+    """Q3: features under harmless names, followed through a join, an aggregate, a written table and a window to their columns."""
+    with lineage_kept(spark):
+        lines = table(spark, sf, "lineitem").select(
+            "l_orderkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_shipdate"
+        )
+        orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+        joined = lines.join(orders, "l_orderkey").withColumn("days", F.datediff("l_shipdate", "o_orderdate"))
+        pace = joined.groupBy("l_suppkey").agg(F.avg("days").alias("pace"), F.avg("l_quantity").alias("lot"))
+        built = attach(joined, pace, "l_suppkey", "inner")
+        turn = Window.partitionBy("l_orderkey").orderBy("days", "l_suppkey", "l_extendedprice")
+        built = built.select(
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit"), "pace", "lot", (F.col("l_discount") * 100).alias("rebate"),
+            (F.col("days") > 60).cast("int").alias("slow"), F.row_number().over(turn).alias("turn"),
+        )
+        late, known = leaking_sources(built, post_outcome=LATE_COLUMNS), column_sources(built)
+    means = built.agg(*[F.round(F.avg(c), 4).alias(c) for c in built.columns])
+    lines = [
+        F.struct(F.lit(c).alias("feature"), F.lit(c in late).alias("leaks"), F.lit(",".join(known[c])).alias("sources"), F.col(c).alias("mean"))
+        for c in built.columns
+    ]
+    return means.select(F.inline(F.array(*lines)))

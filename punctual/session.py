@@ -19,6 +19,11 @@ SETTINGS = {
 }
 
 
+# Whether ``settle`` keeps where columns come from, and the name of that in their metadata.
+KEEP_LINEAGE = "punctual.lineage.kept"
+SOURCES = "sources"
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench. A cluster brings its own session instead."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("punctual")
@@ -63,6 +68,10 @@ def settle(df: DataFrame) -> DataFrame:
     neither a second reader nor a lost executor makes Spark recompute what lies below.
     """
     shared_root(df.sparkSession)
+    if df.sparkSession.conf.get(KEEP_LINEAGE, "false") == "true":
+        from punctual.operators.lineage import carried
+
+        df = carried(df)
     return df.checkpoint(eager=True)
 
 

@@ -19,7 +19,16 @@ from punctual.operators.store import store_info
 from punctual.operators.store_state import StoreSpec, StoreState, finished, merged, state_of
 from punctual.session import settle
 from punctual.sources.releases import pinned_stores, released
-from punctual.sources.versions import delete_folder, expire, latest_version, publish, published_origin, read_version, version_folders
+from punctual.sources.versions import (
+    delete_folder,
+    expire,
+    latest_version,
+    live_version,
+    publish,
+    published_origin,
+    read_version,
+    version_folders,
+)
 from punctual.streaming.common import write_batch
 
 # What a request may contain, and the profile of an entity nobody has heard of.
@@ -261,7 +270,7 @@ def refresh_store(
         rows = every.filter(F.col("_bucket").isin(found)).drop("_bucket")
         rows = attach(rows, touched.select(entity), entity, "left_semi", null_safe=True)
         store = build(rows)
-        if latest_version(spark, store_root) is not None:
+        if live_version(spark, store_root) is not None:
             before = read_version(spark, store_root).drop("store_version")
             store = store.unionByName(attach(before, touched.select(entity), entity, "left_anti", null_safe=True))
         publish(store, store_root, origin)
@@ -295,8 +304,8 @@ def refresh_merged(
     The state lies below ``progress`` as parts: what each batch adds, and a base. A version of the state is a
     small table that names its parts, published like the feature table. When it names ``parts`` of them the next batch
     merges them with its own to a new base, so the state is rewritten once per ``parts`` batches. Only entities of the batch are
-    finished anew; the others are taken over from the version before. The result equals a build
-    from all rows. A batch that is run again, or whose progress is lost between the two publications, adds nothing
+    finished anew; the others are taken over from the version before, or all are finished if that one was
+    withdrawn. The result equals a build from all rows. A batch that is run again, or whose progress is lost between the two publications, adds nothing
     twice. Every ``keep`` versions those before the last ``keep`` are removed, and the parts that only they name, once
     readers have had ``grace_seconds``; a table that a release below ``release_root`` names stays.
     """
@@ -343,9 +352,13 @@ def refresh_merged(
         now = [r for r in read_version(spark, state_root).select("counts", "values", "base").collect()]
         touched = settle(batch.select(spec.entity).distinct())
         every = StoreState(read(now, "counts", kinds[0]), read(now, "values", kinds[1]))
-        own = StoreState(*[attach(df, touched, spec.entity, "left_semi", null_safe=True) for df in (every.counts, every.values)])
-        store = finished(merged(own, spec), spec, computed_at)
-        if latest_version(spark, store_root) is not None:
+        live = live_version(spark, store_root)
+        if live is None or live != latest_version(spark, store_root):
+            # nothing to take over, or a version was withdrawn with what its batch had touched
+            store = finished(merged(every, spec), spec, computed_at)
+        else:
+            own = [attach(df, touched, spec.entity, "left_semi", null_safe=True) for df in (every.counts, every.values)]
+            store = finished(merged(StoreState(*own), spec), spec, computed_at)
             old = read_version(spark, store_root).drop("store_version")
             store = store.unionByName(attach(old, touched, spec.entity, "left_anti", null_safe=True))
         if publish(store, store_root, origin) % keep == 0:

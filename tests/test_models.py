@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctual.operators.behaviour import score_twice, unchanged
+from punctual.operators.evaluation import regression_report
 from punctual.operators.history import build_features
+from punctual.plans.promises import fit_promises, promise_sweep
 from punctual.plans.training import (
     SERVING_FEATURES,
     evaluation_bundle,
@@ -131,3 +133,32 @@ def test_leak_ladder_falls(trips):
     )
     r2 = [r["r2"] for r in sorted(table.collect(), key=lambda r: r["step"])]
     assert len(r2) == 6 and r2[0] > r2[3] and r2[1] > r2[5] and r2[2] >= r2[3] - 0.02
+
+
+def test_fits_side_by_side_equal_single_fits(sides):
+    """One indexed matrix and threads change no number."""
+    sets = {"a": ["distance_km", "city"], "b": ["weather", "distance_km", "hour"]}
+    table = {r["features"]: r for r in feature_bakeoff(*sides, "actual_minutes", sets, **SMALL).collect()}
+    for name, features in sets.items():
+        single = score(fit_regressor(sides[0], features, "actual_minutes", **SMALL), sides[1])
+        want = regression_report(single, "pred", "actual_minutes").first()
+        assert table[name]["mae"] == pytest.approx(want["mae"], rel=1e-12) and table[name]["r2"] == pytest.approx(want["r2"], rel=1e-12)
+
+
+@pytest.mark.parametrize("with_base", [True, False])
+def test_learned_promises_follow_the_spread(spark, with_base):
+    """Level and noise depend on the weather: one shift for all would be wrong in both."""
+    u = (F.pmod(F.xxhash64("id"), F.lit(100_003)) + 0.5) / 100_003
+    rows = spark.range(12_000).select(
+        "id", F.when(F.col("id") % 2 == 0, "rain").otherwise("clear").alias("weather"), (F.col("id") % 7).cast("double").alias("x")
+    ).withColumn("y", F.when(F.col("weather") == "rain", 120 + 10 * (u - 0.5)).otherwise(100 + (u - 0.5)))
+    rows = settle(rows)
+    train, test = rows.filter("id < 8000"), rows.filter("id >= 8000")
+    model = fit_promises(train, ["weather", "x"], "y", "id", categorical=["weather"], with_base=with_base, **SMALL)
+    promised = model.promise(test.withColumn("weather", F.when(F.col("id") % 1000 > 0, F.col("weather"))))
+    for part in (promised, promised.filter("weather = 'rain'"), promised.filter("weather = 'clear'")):
+        for r in promise_sweep(part, "y").collect():
+            assert r["never_falls"] and abs(r["promises_broken"] - (1 - r["alpha"])) < 0.055
+    wide = promise_sweep(promised.filter("weather = 'rain'"), "y").filter("alpha = 0.9").first()["median_promise"]
+    assert abs(wide - 124) < 0.7
+    assert promise_sweep(promised.limit(0), "y").count() == 5

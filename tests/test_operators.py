@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import plan_of
@@ -16,6 +17,7 @@ from punctual.operators.behaviour import implausible, never_lower, prediction_ra
 from punctual.operators.evaluation import alpha_report, confusion_report, quantile_promises
 from punctual.operators.fingerprint import data_fingerprint
 from punctual.operators.history import ORDER_RATIOS, build_features, fit_history
+from punctual.operators.lineage import assert_no_leaking_source, column_sources, leaking_sources, lineage_kept
 from punctual.operators.lookup import attach, hot_hashes, lookup_with_default, salted_join, unseen
 from punctual.operators.profile import positive_rate
 from punctual.operators.quantiles import column_medians, counted_quantiles, group_quantiles
@@ -31,6 +33,7 @@ from punctual.operators.sampling import (
     undersample,
 )
 from punctual.operators.slices import over_budget, shift_period, slice_report, worst_slice
+from punctual.session import settle
 from punctual.operators.split import hash_side, time_split
 from punctual.operators.store import StaleStore, check_freshness, order_store, store_alarms, store_drift, store_info
 from punctual.operators.thresholds import average_precision, recall_at_precision, sweep
@@ -506,3 +509,39 @@ def test_empty_tables(spark):
     assert simple_random(none, 5, "id").count() == stratified(none, 5, "id", ["k"]).count() == 0
     assert average_precision(sweep(none, "v", F.col("k") == 1)).first()[0] is None
     assert fit_history(none, ["k"], "v", "h").apply(full).count() == 50
+
+
+# --- lineage ------------------------------------------------------------------------------
+
+
+def test_lineage_follows_values_through_every_kind_of_plan(spark):
+    orders = spark.createDataFrame([(1, 2.0, 3.0, "a")], "id int, distance_km double, tip_inr double, city string")
+    trips = spark.createDataFrame([(1, 5.0)], "id int, courier_wait_min double")
+    wait = trips.groupBy("id").agg(F.avg("courier_wait_min").alias("calm"))
+    mean = orders.agg(F.avg("tip_inr").alias("m")).scalar()
+    built = orders.join(wait, "id").select(
+        "id", (F.col("distance_km") * 2).alias("far"), "calm", mean.alias("level"), F.lit(1).alias("one"),
+        F.sum("tip_inr").over(Window.partitionBy("city")).alias("habit"), F.explode(F.array("tip_inr")).alias("each"),
+    )
+    known = column_sources(built)
+    assert known == {
+        "id": ["id"], "far": ["distance_km"], "calm": ["courier_wait_min"], "level": ["tip_inr"], "one": [], "habit": ["city", "tip_inr"], "each": ["tip_inr"],
+    }
+    assert set(leaking_sources(built)) == {"calm", "level", "habit", "each"}
+    assert leaking_sources(built, ["far", "calm", "level"], train_fitted=["level"]) == {"calm": ["courier_wait_min"]}
+    with pytest.raises(AssertionError, match="calm is computed from courier_wait_min"):
+        assert_no_leaking_source(built, ["far", "calm"])
+    assert_no_leaking_source(built, ["far", "id"])
+    # rows chosen by a late column are not values of it; both sides of a union are
+    chosen = orders.filter("tip_inr > 0").join(trips.filter("courier_wait_min > 1"), "id", "left_semi").select("distance_km")
+    assert column_sources(chosen) == {"distance_km": ["distance_km"]}
+    both = orders.select(F.col("distance_km").alias("x")).unionByName(trips.select(F.col("courier_wait_min").alias("x")))
+    assert column_sources(both) == {"x": ["courier_wait_min", "distance_km"]}
+    doubled = orders.select("distance_km", "tip_inr").mapInPandas(lambda parts: parts, "p double, q double")
+    assert column_sources(doubled) == {"p": ["distance_km", "tip_inr"], "q": ["distance_km", "tip_inr"]}
+    built.createOrReplaceTempView("built_features")
+    assert column_sources(spark.sql("with t as (select calm + 1 as c from built_features) select max(c) as m from t"))["m"] == ["courier_wait_min"]
+    # a written result ends the plan, unless its sources were carried along
+    assert column_sources(settle(built.select("calm"))) == {"calm": ["calm"]}
+    with lineage_kept(spark):
+        assert column_sources(settle(settle(built.select(F.col("calm").alias("x"))).select(F.col("x").alias("y")))) == {"y": ["courier_wait_min"]}

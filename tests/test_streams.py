@@ -11,7 +11,7 @@ from punctual.operators.store import build_store
 from punctual.operators.store_state import StoreSpec, StoreState, finished, merged, state_of
 from punctual.session import shared_path
 from punctual.sources.releases import pinned_stores, publish_model, read_model, release, released
-from punctual.sources.versions import expire, latest_version, publish, read_version, version_folders
+from punctual.sources.versions import expire, latest_version, let_out, live_version, publish, read_version, version_folders, withdraw
 from punctual.streaming.common import drain, drained, event_time, file_stream, state_in_rocksdb
 from punctual.streaming.orders import bias_by_window, deliveries, drop_twins, order_outcomes, orders_in_flight, windows_so_far
 from punctual.streaming.requests import parse_requests, refresh_merged, refresh_store, respond, score_stream, serve_stream
@@ -213,6 +213,29 @@ def test_versions_are_never_overwritten(spark):
     assert publish(spark.range(1), root) == 7
 
 
+def test_withdrawn_and_held_versions_are_passed_over(spark):
+    root = shared_path(spark, "store")
+    for n in (3, 9, 5):
+        publish(spark.range(n), root)
+    assert withdraw(spark, root, 3) == 2 and read_version(spark, root).count() == 9 and latest_version(spark, root) == 3
+    assert publish(spark.range(4), root, held=True) == 4 and live_version(spark, root) == 2
+    assert withdraw(spark, root, 2) == 1 and read_version(spark, root).count() == 3
+    let_out(spark, root, 4)
+    assert read_version(spark, root).count() == 4 and publish(spark.range(6), root) == 5
+    assert read_version(spark, root, 3).count() == 5  # by its number it can still be looked at
+    # the last live one outlives any number of withdrawn ones
+    for n in range(3):
+        withdraw(spark, root, publish(spark.range(n), root))
+    assert expire(spark, root, keep=1, grace_seconds=-60) == 6
+    assert live_version(spark, root) == 5 and read_version(spark, root).count() == 6 and latest_version(spark, root) == 8
+    withdraw(spark, root, 5)
+    assert live_version(spark, root) is None
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, root)
+    with pytest.raises(FileNotFoundError):
+        withdraw(spark, root, 99)
+
+
 # released pairs of table and model
 
 
