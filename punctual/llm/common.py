@@ -72,19 +72,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """The smallest node that each node of ``edges`` (a, b) is connected with: (node, root).
 
     Alternates two steps that hang neighbours below smaller nodes until only stars remain. A step
-    is one aggregation and one join on a node, so a hub is pre-aggregated and its join can be split.
+    is one aggregation and one join on a node: a hub is pre-aggregated, and its neighbours stay where they are.
     Nodes without an edge to another node are left out.
     """
     now = written(_falling(edges), name)
     before = None
     while (state := _state(now)) != before:
         before = state
+        ends = 2 * before[0]
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        hung = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        hung = hung.where("a > b").distinct()
-        least = hung.groupBy("a").agg(F.min("b").alias("m"))
-        met = hung.join(least, "a")
+        least = both.groupBy("a").agg(F.least(F.min("b"), "a").alias("m"), F.count("*").alias("n"))
+        above = join_counted(both.where("b > a"), written(least, f"{name}_least"), "a", "n", ends, "inner")
+        hung = written(above.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct(), f"{name}_hung")
+        least = written(hung.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), f"{name}_lowest")
+        met = join_counted(hung, least, "a", "n", ends, "inner")
         now = written(
             least.select("a", F.col("m").alias("b"))
             .unionByName(met.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b")))

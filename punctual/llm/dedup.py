@@ -4,7 +4,8 @@ Pass 1 fills a blocked Bloom filter. Every text sets three bits of one 64-bit wo
 bits that at least two rows have set are kept. Pass 2 tests every row against it: a row that misses
 one of its bits has no copy and passes straight through; the others shuffle on their full digest,
 which settles the false alarms. The filter has 16 bits a row, so it grows with the input. It is
-broadcast while its measured size allows it and joined by its word beyond that.
+broadcast while its measured size allows it and joined by its word beyond that. All this is done on
+narrow rows: pass 1 shuffles a word and a mask per row, and beyond the broadcast pass 2 an id and a digest.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import BLANKS, broadcast_if_small, text_or_empty, written
+from punctual.llm.common import BLANKS, broadcast_if_small, join_counted, text_or_empty, written
 
 BITS_PER_ROW = 16
 
@@ -40,8 +41,8 @@ def _place(df: DataFrame, words: int) -> DataFrame:
 
 def repeated_bits(digests: DataFrame) -> DataFrame:
     """Pass 1: (word, twice), the bits that two or more rows of ``digests`` (digest) set."""
-    words = 1
-    while words * 64 < digests.count() * BITS_PER_ROW:
+    words, rows = 1, digests.count()
+    while words * 64 < rows * BITS_PER_ROW:
         words *= 2
     masks = _place(digests.select("digest"), words).groupBy("word", "mask").agg(F.count("*").alias("n"))
     # at most one entry for each three-bit mask, about four of them on average
@@ -90,8 +91,9 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     alone = tested.where("not maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), digest
     )
-    maybe = tested.where("maybe")
-    decided = maybe.join(_groups(maybe), "digest", "left").select(
+    maybe = written(tested.where("maybe"), "maybe_copies")
+    groups = written(_groups(maybe), "copy_groups")
+    decided = join_counted(maybe, groups, "digest", "n", maybe.count()).select(
         "id",
         F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
@@ -104,8 +106,9 @@ def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; rules as in ``copies``.
 
-    Rows that cannot have a copy are never shuffled. Those that may have one lose the copies by a
-    join with the smallest id of their text.
+    Both passes and the digests that really repeat are settled on narrow rows (id, digest). The rows with their texts
+    then meet only these digests. Up to a million of them are broadcast, and a row without a copy stays
+    where it is; with more, texts are shuffled by their digest.
     """
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
@@ -113,12 +116,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         text_digest(text_col).alias("digest"),
     )
     rows = written(packed.select("id", "digest"), "digests")
-    bloom = repeated_bits(rows)
-    maybe_rows = _tested(rows, bloom).where("maybe").withColumn("row_no", F.lit(0))
-    groups = written(_groups(maybe_rows).select("digest", "first"), "copy_groups")
-    tested = _tested(packed, bloom)
-    maybe = tested.where("maybe").join(broadcast_if_small(groups, groups.count()), "digest", "left")
-    single = maybe.where("first is null").select("row")
+    maybe = _tested(rows, repeated_bits(rows)).where("maybe").withColumn("row_no", F.lit(0))
+    groups = written(_groups(maybe).select("digest", "first"), "copy_groups")
+    met = packed.join(broadcast_if_small(groups, groups.count()), "digest", "left")
+    alone = met.where("first is null").select("row")
     # rows that share text and id are told apart by nothing else: one of them is taken
-    chosen = maybe.where("first is not null and id <=> first.id").select("digest", "row").dropDuplicates(["digest"])
-    return tested.where("not maybe").select("row").unionByName(single).unionByName(chosen.select("row")).select("row.*")
+    chosen = met.where("first is not null and id <=> first.id").select("digest", "row").dropDuplicates(["digest"])
+    return alone.unionByName(chosen.select("row")).select("row.*")

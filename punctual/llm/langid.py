@@ -13,14 +13,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctual.llm.common import broadcast_if_small, written
 
-#: Bounds of the model: texts per language that are learned from, cells of a vector, centroids per
-#: language, and the number of languages, most frequent first.
-PER_LANGUAGE, CELLS, CENTROIDS, LANGUAGES = 1000, 4096, 4, 500
+#: Bounds of the model: texts per language that are learned from, cells of a vector, centroids per language.
+PER_LANGUAGE, CELLS, CENTROIDS = 1000, 4096, 4
+#: Languages whose centroids are held at once. With more, tasks read them from the shared folder block by block.
+AT_ONCE = 500
 ROUNDS = 12
 #: A text is rejected below this share of the similarity that nearly all training texts reached.
 SLACK, NEARLY_ALL = 0.5, 0.01
@@ -64,15 +67,39 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Model:
-    idf: np.ndarray
+class Block:
     centroids: np.ndarray  # a row each, of length 1
     language: list[str]  # of each centroid
     floor: np.ndarray  # least similarity per centroid's language and power of two of the length
 
+    @classmethod
+    def of(cls, made: list[tuple]) -> Block:
+        """From (lang, centre, floor) in any order."""
+        made = sorted(made, key=lambda r: (r[0], list(r[1])))
+        return cls(np.array([r[1] for r in made], np.float32), [r[0] for r in made], np.array([r[2] for r in made]))
+
+
+@dataclass
+class Model:
+    """The centroids of up to ``AT_ONCE`` languages are in ``held``, those of more in the Parquet files ``files``,
+    each of which has about so many, in the order of the languages."""
+
+    idf: np.ndarray
+    held: Block | None
+    files: list[str]
+
     def vectors(self, rows: list[np.ndarray]) -> np.ndarray:
         return unit(np.log1p(np.array(rows, np.float32)) * self.idf)
 
+    def blocks(self) -> Iterator[Block]:
+        if self.held:
+            yield self.held
+        for path in self.files:
+            store, inside = fs.FileSystem.from_uri(path)
+            read = pq.read_table(inside, filesystem=store).to_pylist()
+            if read:
+                yield Block.of([(r["lang"], r["centre"], r["floor"]) for r in read])
+
 
 def length_class(n: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(n, 1)).astype(int), 31)
@@ -113,8 +140,8 @@ def fit(
 ) -> Model | None:
     """Learn from at most ``per_language`` texts per language, those whose id and text have the least hash.
 
-    Rows without a language or a letter teach nothing; without any other row there is no model. Only
-    the centroids, bounded by languages, ``k`` and ``cells``, reach the driver.
+    Rows without a language or a letter teach nothing; without any other row there is no model. Every
+    language is learned, however many there are; the driver holds the centroids of ``AT_ONCE`` languages at most.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"),
@@ -140,11 +167,14 @@ def fit(
         rows = np.stack(group["v"].to_list())
         return pd.DataFrame({"lang": [group["lang"].iloc[0]], "n": [len(rows)], "df": [(rows > 0).sum(axis=0)]})
 
-    seen = counted.groupBy("lang").applyInPandas(held, "lang string, n bigint, df array<bigint>")
-    seen = seen.join(sizes, "lang").orderBy(F.desc("size"), "lang").limit(LANGUAGES).collect()
-    if not seen:
+    seen = written(counted.groupBy("lang").applyInPandas(held, "lang string, n bigint, df array<bigint>"), "language_counts")
+    texts = seen.agg(F.sum("n").alias("n"), F.count("*").alias("languages")).first()
+    if not texts["languages"]:
         return None
-    idf = np.log((1 + sum(r["n"] for r in seen)) / (1 + np.sum([r["df"] for r in seen], axis=0))).astype(np.float32) + 1
+    df = np.zeros(cells)
+    for r in seen.select(F.posexplode("df").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        df[r["cell"]] = r["n"]
+    idf = np.log((1 + texts["n"]) / (1 + df)).astype(np.float32) + 1
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         rows = np.stack(group.sort_values("no")["v"].to_list())
@@ -155,14 +185,13 @@ def fit(
         lang = group["lang"].iloc[0]
         return pd.DataFrame({"lang": lang, "centre": list(centres), "floor": [floor] * len(centres)})
 
-    known = [r["lang"] for r in seen]
-    made = counted.where(F.col("lang").isin(known)).groupBy("lang").applyInPandas(
-        cluster, "lang string, centre array<float>, floor array<double>"
-    ).collect()
-    made.sort(key=lambda r: (r["lang"], r["centre"]))
-    return Model(
-        idf, np.array([r["centre"] for r in made], np.float32), [r["lang"] for r in made], np.array([r["floor"] for r in made])
-    )
+    made = counted.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>, floor array<double>")
+    if texts["languages"] <= AT_ONCE:
+        return Model(idf, Block.of([tuple(r) for r in made.collect()]), [])
+    blocks = -(-texts["languages"] // AT_ONCE)
+    stored = written(written(made, "centroids").repartitionByRange(blocks, "lang"), "centroid_blocks")
+    first = stored.groupBy(F.col("_metadata.file_path").alias("path")).agg(F.min("lang").alias("lang")).orderBy("lang")
+    return Model(idf, None, [r["path"] for r in first.collect()])
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
@@ -178,18 +207,24 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
         for batch in batches:
             out = pd.DataFrame({"lang_pred": "und", "score": 0.0, "rejected": True}, index=range(len(batch)))
             # vectors of a few texts at a time: one takes as much room as a long text
-            for start in range(0, len(batch) if model else 0, TEXTS_AT_ONCE):
-                rows = [counts(t, len(model.idf)) for t in batch.iloc[start : start + TEXTS_AT_ONCE]]
-                part = [start + i for i, row in enumerate(rows) if row is not None]
-                rows = [row for row in rows if row is not None]
-                if not rows:
-                    continue
-                near = model.vectors(rows) @ model.centroids.T
-                best, score = near.argmax(axis=1), np.clip(near.max(axis=1).astype(float), 0, 1)
-                long = length_class(np.array([row.sum() for row in rows]))
-                out.loc[part, "lang_pred"] = [model.language[b] for b in best]
-                out.loc[part, "score"] = score
-                out.loc[part, "rejected"] = score < model.floor[best, long]
+            best = np.full(len(batch), -np.inf)
+            for block in model.blocks() if model else ():
+                for start in range(0, len(batch), TEXTS_AT_ONCE):
+                    rows = [counts(t, len(model.idf)) for t in batch.iloc[start : start + TEXTS_AT_ONCE]]
+                    part = np.array([start + i for i, row in enumerate(rows) if row is not None], int)
+                    rows = [row for row in rows if row is not None]
+                    if not rows:
+                        continue
+                    near = model.vectors(rows) @ block.centroids.T
+                    own, most = near.argmax(axis=1), near.max(axis=1).astype(float)
+                    better = most > best[part]
+                    part, own, most = part[better], own[better], most[better]
+                    long = length_class(np.array([row.sum() for row in rows]))[better]
+                    score = np.clip(most, 0, 1)
+                    best[part] = most
+                    out.loc[part, "lang_pred"] = [block.language[i] for i in own]
+                    out.loc[part, "score"] = score
+                    out.loc[part, "rejected"] = score < block.floor[own, long]
             yield out
 
     guess.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}

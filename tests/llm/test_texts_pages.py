@@ -3,10 +3,12 @@
 import base64
 import hashlib
 import io
+import math
 import random
 import zipfile
 from collections import Counter
 
+import numpy as np
 import public_tokenizers as public
 import pytest
 import tiktoken
@@ -100,7 +102,7 @@ def test_far_texts_are_rejected(spark):
 def test_short_and_long_texts_have_a_floor(spark, sf):
     df = spark.read.parquet(f"{sf}/documents.parquet")
     model = langid.fit(df)
-    assert (model.floor > 0).all()
+    assert (model.held.floor > 0).all()
     rng = random.Random(2)
     foreign = ["".join(rng.choice("абвгдежзиклмнопрст ") for _ in range(n)) for n in (20, 60, 300, 1_500, 60_000) for _ in range(5)]
     out = langid.predict(docs(spark, [(i, t, None, None) for i, t in enumerate(foreign)]), model).toPandas()
@@ -109,10 +111,58 @@ def test_short_and_long_texts_have_a_floor(spark, sf):
     assert langid.predict(own, model).toPandas()["rejected"].mean() < 0.05
 
 
-def test_languages_by_all_their_texts(spark, monkeypatch):
-    monkeypatch.setattr(langid, "LANGUAGES", 1)
-    rows = [(i, f"some words {i}", "y" if i % 3 else "x", "a") for i in range(60)]
-    assert set(langid.fit(docs(spark, rows), per_language=5).language) == {"y"}
+def test_any_number_of_languages(spark, sf, monkeypatch):
+    """Centroids that are read in blocks from the shared folder say the same as those held at once."""
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = docs(spark, [(1, None, None, None), (2, "1 2", None, None), (3, "где мы", None, None)], clashing=False)
+    asked = df.select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    columns = ["doc_id", "lang_pred", "rejected", "score"]
+    held = langid.fit(df)
+    want = sorted(map(tuple, langid.predict(asked, held).select(columns).collect()))
+    monkeypatch.setattr(langid, "AT_ONCE", 1)
+    blocks = langid.fit(df)
+    assert blocks.held is None and len(blocks.files) > 1
+    assert sorted(lang for b in blocks.blocks() for lang in set(b.language)) == sorted(set(held.held.language))
+    got = sorted(map(tuple, langid.predict(asked, blocks).select(columns).collect()))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-6)
+
+
+def test_rare_languages_are_learned(spark):
+    """All of six hundred languages, also those of a single text."""
+    rows = [(i, f"{chr(0x4E00 + i % 600) * 8} {chr(0x4E00 + i % 600) * 3}", f"l{i % 600}", "a") for i in range(700)]
+    model = langid.fit(docs(spark, rows, clashing=False))
+    out = langid.predict(docs(spark, rows, clashing=False), model).toPandas()
+    assert model.held is None and (out["lang_pred"] == out["lang"]).mean() > 0.95
+
+
+def test_predictions_equal_a_plain_search(spark, sf):
+    """Weights, clusters, floors and the search written out with dictionaries and loops, over a small table."""
+    texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").orderBy("doc_id").limit(60)
+    model = langid.fit(texts)
+
+    def vector(text):
+        found = langid.counts(text)
+        v = {c: math.log1p(n) * float(model.idf[c]) for c, n in enumerate(found) if n}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {c: x / size for c, x in v.items()}, int(found.sum())
+
+    rows = texts.collect()
+    df = {}
+    for r in rows:
+        for c in np.flatnonzero(langid.counts(r["text"])):
+            df[c] = df.get(c, 0) + 1
+    for c in (0, 7, 1000, 4095):
+        assert model.idf[c] == pytest.approx(math.log((1 + len(rows)) / (1 + df.get(c, 0))) + 1, rel=1e-6)
+    out = {r["doc_id"]: r for r in langid.predict(texts, model).collect()}
+    for r in rows:
+        v, long = vector(r["text"])
+        near = [sum(x * float(centre[c]) for c, x in v.items()) for centre in model.held.centroids]
+        best = max(range(len(near)), key=lambda i: near[i])
+        got = out[r["doc_id"]]
+        assert got["score"] == pytest.approx(near[best], abs=1e-5)
+        assert got["lang_pred"] == model.held.language[best]
+        assert got["rejected"] == (near[best] < model.held.floor[best][min(31, int(math.log2(long)))])
 
 
 def test_nothing_to_learn_from(spark):
