@@ -147,30 +147,50 @@ def _closed(html: str) -> set[int]:
     """Positions of the hidden elements that have an end tag of their own before the element around them ends."""
     out: set[int] = set()
     stack: list[tuple[str, int]] = []
+    # how many elements of each name are open, and where: no tag searches the stack
+    open_: Counter[str] = Counter()
+    special: list[int] = []  # positions of svg, math and what may hold HTML within them
+    hidden_at: dict[str, int] = {}  # position of the last open element of HIDDEN_BLOCKS
+
+    def pop() -> tuple[str, int]:
+        last = stack.pop()
+        open_[last[0]] -= 1
+        if special and special[-1] == len(stack):
+            special.pop()
+        while stack and not stack[-1][0]:  # taken out before
+            stack.pop()
+        return last
+
     for at, text, name, closes, attrs in _tokens(html):
         if text is not None or name in RAW or name in VOID or name in INLINE:
             continue
         if closes:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    out.add(stack[depth][1])
-                    del stack[depth:]
+            while open_[name]:
+                last = pop()
+                if last[0] == name:
+                    out.add(last[1])
                     break
             continue
         if name in FOREIGN and attrs.endswith("/"):
             continue
-        if name in NOT_FOREIGN:  # ends svg and math, but for HTML that they hold
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] in HOLDS_HTML:
-                    break
-                if stack[depth][0] in FOREIGN:
-                    del stack[depth:]
-                    break
+        if name in NOT_FOREIGN and special and stack[special[-1]][0] in FOREIGN:  # ends svg and math, but for HTML that they hold
+            depth = special[-1]
+            while len(stack) > depth:
+                pop()
         if name in HIDDEN_BLOCKS:  # not within its like: the one before was left open
-            stack = [x for x in stack if x[0] != name]
+            if open_[name]:
+                open_[name] = 0
+                stack[hidden_at[name]] = ("", 0)
+                while stack and not stack[-1][0]:
+                    stack.pop()
         if stack and stack[-1][0] in CLOSES_ITSELF and (stack[-1][0] == name or stack[-1][0] == "p") and name not in HIDDEN:
-            stack.pop()
+            pop()
+        if name in FOREIGN or name in HOLDS_HTML:
+            special.append(len(stack))
+        elif name in HIDDEN_BLOCKS:
+            hidden_at[name] = len(stack)
         stack.append((name, at))
+        open_[name] += 1
     return out
 
 
@@ -186,6 +206,8 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
     html = html or ""
     closed = _closed(html) if ANY_HIDDEN.search(html) else set()
     hiding: list[str] = []  # open elements from the outermost hidden one on
+    # how many elements of each name are open, and of the hidden ones
+    open_, hidden = Counter(), Counter()
     until_block = False  # within a hidden element without an end tag
 
     def block() -> Iterator[Block]:
@@ -204,14 +226,17 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
             if not closes:
                 if not (name in FOREIGN and attrs.endswith("/")):
                     hiding.append(name)
-            elif name in hiding:
-                while hiding.pop() != name:
-                    pass
+                    hidden[name] += 1
+            elif hidden[name]:
+                last = ""
+                while last != name:
+                    last = hiding.pop()
+                    hidden[last] -= 1
             continue
         if text is not None:
             if stack[-1][0] == "head" and text.strip():
                 yield from block()
-                stack.pop()
+                open_[stack.pop()[0]] -= 1
             if not until_block:
                 pending.append(text)
                 if in_link:
@@ -219,7 +244,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
             continue
         if stack[-1][0] == "head" and name not in HEAD:  # may be left open
             yield from block()
-            stack.pop()
+            open_[stack.pop()[0]] -= 1
         if name in RAW:
             if not closes and name in RAW_BLOCKS:
                 yield from block()
@@ -241,6 +266,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
                 until_block = False
             elif at in closed:
                 hiding.append(name)
+                hidden[name] += 1
             elif not (name in FOREIGN and attrs.endswith("/")):
                 until_block = True
             continue
@@ -248,14 +274,14 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         yield from block()
         in_link = 0
         if closes:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    mains -= sum(x.main for _, x in stack[depth:])
-                    del stack[depth:]
-                    break
+            last = ""
+            while open_[name] and last != name:
+                last, x = stack.pop()
+                open_[last] -= 1
+                mains -= x.main
             continue
         if stack[-1][0] in CLOSES_ITSELF and (stack[-1][0] == name or stack[-1][0] == "p"):
-            stack.pop()
+            open_[stack.pop()[0]] -= 1
         named = " ".join(b or c or d for _, b, c, d in NAMES.findall(attrs)).lower()
         around = stack[-1][1]
         token = _hash(f"{around.token} {name} {named}")
@@ -267,6 +293,7 @@ def parse(html: str | None) -> Iterator[Tag | Block]:
         yield Tag(token, around.token, element)
         mains += name in MAIN
         stack.append((name, element))
+        open_[name] += 1
     yield from block()
 
 
@@ -425,8 +452,11 @@ def _around(elements: list[Element], tags: set[int]) -> Element:
         x = above(x.around)
     depth, at = {x: i for i, x in enumerate(chain)}, 0
     for x in dict.fromkeys(elements):
+        path = []
         while x not in depth:
+            path.append(x)
             x = x.around
+        depth.update(dict.fromkeys(path, depth[x]))
         at = max(at, depth[x])
     return chain[at]
 

@@ -5,6 +5,7 @@ import hashlib
 import io
 import math
 import random
+import time
 import zipfile
 from collections import Counter
 
@@ -353,3 +354,13 @@ def test_damage_is_noticed():
     assert warc.parsed(data)["payload"] == b"payload"
     with pytest.raises(ValueError, match="damaged"):
         warc.parsed(data.replace(b"payload\r\n", b"paYload\r\n"))
+
+
+@pytest.mark.parametrize("piece", [
+    "<div>x</span2></y>", "<svg><g>", "<object><div></q>", "<select><option>a</p>", "<div id=a>w ", "<button>a<select>b</select>", "<svg><desc><div>",
+])
+def test_parsing_time_grows_with_the_page_alone(piece):
+    """What is never closed, or never opened, costs no search through all that is open."""
+    start = time.perf_counter()
+    html.main_text(piece * (1_000_000 // len(piece)), set(), set())
+    assert time.perf_counter() - start < 30
