@@ -74,3 +74,58 @@ def recall_at_precision(swept: DataFrame, min_precision: float = 0.10) -> DataFr
     return best.select(
         F.coalesce(F.col("best.recall"), F.lit(0.0)).alias("recall"), F.col("best.threshold").alias("threshold")
     )
+
+
+# Cells that a score between 0 and 1 is dealt to: its leading bits.
+CELL_BITS = 12
+
+
+def score_cells(df: DataFrame, score: str, positive: Column, *, bits: int = CELL_BITS) -> DataFrame:
+    """Counts per cell of the score: cell, low (its smallest score), hits, rows.
+
+    At most ``2 ** bits`` rows, whatever the number of scores, and mergeable: see ``merged_cells``. Scores lie between
+    0 and 1. Rows without a score or a label are left out.
+    """
+    cell = F.least(F.floor(F.col(score).cast("double") * (1 << bits)), F.lit((1 << bits) - 1)).cast("int")
+    known = df.filter(F.col(score).isNotNull() & positive.isNotNull())
+    return known.groupBy(cell.alias("cell")).agg(
+        F.min(F.col(score).cast("double")).alias("low"), F.count_if(positive).alias("hits"), F.count(F.lit(1)).alias("rows")
+    )
+
+
+def merged_cells(cells: DataFrame) -> DataFrame:
+    """The cells of all rows from those of parts of them, such as days or micro-batches, put one below the other."""
+    return cells.groupBy("cell").agg(F.min("low").alias("low"), F.sum("hits").alias("hits"), F.sum("rows").alias("rows"))
+
+
+def bounded_sweep(cells: DataFrame, min_precision: float = 0.10) -> DataFrame:
+    """One row: bounds of the average precision and of the best recall at a precision, from merged cells.
+
+    Columns: ap_low, ap_high, recall_low, recall_high, threshold. The exact values lie within the bounds whatever
+    the order of the scores within a cell. Every cell's smallest score is a threshold whose counts are
+    exact: ``threshold`` is the one that reaches ``recall_low``. With T positives and F others above a cell of p and n,
+    its positives add at most p * (T + p) / (T + F + p) and at least p - (F + n) * ln((T + F + n + p) / (T + F + n))
+    to the sum of precisions.
+    """
+    running = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
+    # at most 2 ** bits rows: the only window without a key
+    upto = cells.withColumns({"_t": F.sum("hits").over(running), "_r": F.sum("rows").over(running)})
+    p, t, r = (F.col(c).cast("double") for c in ("hits", "_t", "_r"))
+    before = r - p
+    others = r - t
+    high = p * F.try_divide(t, r - (F.col("rows") - F.col("hits")))
+    low = F.when(before > 0, F.greatest(p - others * F.log(r / before), F.lit(0.0))).otherwise(p)
+    best = F.max(F.when(t / r >= min_precision, F.struct(t.alias("t"), F.col("low").alias("threshold"))))
+    most = F.max(F.when(t / (r - (F.col("rows") - F.col("hits"))) >= min_precision, t))
+    found = upto.agg(
+        F.sum(F.when(p > 0, low)).alias("_low"), F.sum(F.when(p > 0, high)).alias("_high"), best.alias("_best"),
+        most.alias("_most"), F.sum("hits").alias("_p"),
+    )
+
+    def share(column: Column) -> Column:
+        return F.coalesce(F.try_divide(column, F.col("_p")), F.lit(0.0))
+
+    return found.select(
+        share(F.col("_low")).alias("ap_low"), share(F.col("_high")).alias("ap_high"), share(F.col("_best.t")).alias("recall_low"),
+        share(F.col("_most")).alias("recall_high"), F.col("_best.threshold").alias("threshold"),
+    )

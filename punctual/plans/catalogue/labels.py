@@ -58,13 +58,15 @@ def sql_over_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("select count(*) as rows, cast(11 as int) as columns, cast(1 as bigint) as files, count(*) > 0 as has_bytes from lineitem")
+@query("select count(*) as rows, cast(11 as int) as columns, true as files_agree, count(*) > 0 as has_bytes from lineitem")
 def table_report(spark: SparkSession, sf: str) -> DataFrame:
-    """K8: rows, columns, files and bytes of a table written as one file."""
+    """K8: rows, columns, files and bytes of a table, written by as many tasks as read it."""
     path = shared_path(spark, "report")
-    table(spark, sf, "lineitem").coalesce(1).write.parquet(path)
-    report = file_report(spark.read.parquet(path))
-    return report.select("rows", "columns", "files", (F.col("bytes") > F.col("rows")).alias("has_bytes"))
+    table(spark, sf, "lineitem").write.parquet(path)
+    written = spark.read.parquet(path)
+    files = written.agg(F.count_distinct(F.col("_metadata.file_path")).alias("n")).scalar()
+    report = file_report(written)
+    return report.select("rows", "columns", (F.col("files") == files).alias("files_agree"), (F.col("bytes") > F.col("rows")).alias("has_bytes"))
 
 
 @query(

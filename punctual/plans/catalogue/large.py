@@ -9,8 +9,16 @@ from punctual.operators.lookup import attach, salted_join
 from punctual.operators.quantiles import group_quantiles
 from punctual.operators.sampling import class_weights, oversample, stratified, undersample
 from punctual.operators.store import build_store, order_store
-from punctual.operators.thresholds import average_precision, recall_at_precision, sweep
+from punctual.operators.thresholds import (
+    average_precision,
+    bounded_sweep,
+    merged_cells,
+    recall_at_precision,
+    score_cells,
+    sweep,
+)
 from punctual.plans.catalogue.adapters import EVENTS, events, table
+from punctual.session import settle
 from punctual.plans.catalogue.registry import query, rounded
 
 
@@ -147,6 +155,34 @@ def sweep_in_many_ranges(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(average_precision(swept).select("avg_precision", best.alias("recall"), lines.alias("thresholds")), ["avg_precision"], 9)
 
 
+@query(
+    f"""
+    with {EVENTS}, s as (select (k * 40 + hour) / 8192.0::double as score, value > 9000 as late from ev),
+    c as (select floor(score * 256) as cell, min(score) as low, count(case when late then 1 end) as hits, count(*) as rows from s group by 1),
+    u as (select *, sum(hits) over higher as t, sum(rows) over higher as r, (select sum(hits) from c) as p
+          from c window higher as (order by cell desc rows between unbounded preceding and current row)),
+    best as (select t::double / p as recall, low from u where t::double / r >= 0.1 order by t desc, low desc limit 1)
+    select (select count(*) from c) as cells, (select sum(hits) from c)::bigint as positives, true as ap_inside, true as recall_inside,
+           coalesce((select recall from best), 0) as recall_low, (select low from best) as threshold
+    """
+)
+def sweep_in_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells of two halves of the rows, merged; the exact sweep lies within the bounds that they give."""
+    rows = events(spark, sf).withColumn("score", (F.col("k") * 40 + F.col("hour")) / F.lit(8192.0))
+    late = F.col("value") > 9000
+    halves = [score_cells(rows.filter(F.col("event_id") % 2 == i), "score", late, bits=8) for i in (0, 1)]
+    cells = settle(merged_cells(halves[0].unionByName(halves[1])))
+    swept = sweep(rows, "score", late)
+    exact = average_precision(swept).scalar(), recall_at_precision(swept, 0.1).select("recall").scalar()
+    known = cells.agg(F.struct(F.count(F.lit(1)).alias("cells"), F.sum("hits").alias("positives")).alias("k")).scalar()
+    pad = F.lit(1e-9)
+    return bounded_sweep(cells, 0.1).select(
+        known["cells"].alias("cells"), known["positives"].alias("positives"),
+        exact[0].between(F.col("ap_low") - pad, F.col("ap_high") + pad).alias("ap_inside"),
+        exact[1].between(F.col("recall_low") - pad, F.col("recall_high") + pad).alias("recall_inside"), "recall_low", "threshold",
+    )
+
+
 STORE_ROWS = """
 o as (select l_suppkey::varchar as restaurant_id, l_returnflag as city, l_quantity / 7 as distance_km, l_quantity / 3 as prep,
              l_linenumber::double as promised, l_discount as rating from lineitem)"""

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctual.operators.audit import fitted_on_train_only
 from punctual.operators.behaviour import prediction_ratio, recorded_predictions
 from punctual.operators.evaluation import regression_report
-from punctual.operators.fingerprint import content_hash, data_fingerprint
+from punctual.operators.fingerprint import changed_ranges, changed_rows, content_hash, data_fingerprint, hash_tree
+from punctual.operators.groupmap import map_groups
 from punctual.operators.history import build_features
 from punctual.operators.lineage import column_sources, leaking_sources, lineage_kept
 from punctual.operators.lookup import attach
@@ -365,3 +367,39 @@ def leakage_by_lineage(spark: SparkSession, sf: str) -> DataFrame:
         for c in built.columns
     ]
     return means.select(F.inline(F.array(*lines)))
+
+
+@query(
+    """
+    with l as (select *, row_number() over (order by l_orderkey desc, l_linenumber desc) as rn from lineitem)
+    select l_orderkey, l_linenumber, l_quantity, 'removed' as change, 1::bigint as ranges from l where rn = 1
+    union all select l_orderkey, l_linenumber, l_quantity + 1, 'added', 1::bigint from l where rn = 1
+    """
+)
+def changed_line(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of a table that differ in one row: found by their hash trees, read from its range only."""
+    old = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    last = old.agg(F.max(F.struct("l_orderkey", "l_linenumber"))).scalar()
+    new = old.withColumn("l_quantity", F.when(F.struct("l_orderkey", "l_linenumber") == last, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    trees = [hash_tree(df, "l_orderkey", ["l_linenumber", "l_quantity"], leaf_keys=256, fan=8) for df in (old, new)]
+    ranges = changed_ranges(*trees, leaf_keys=256, fan=8)
+    return changed_rows(old, new, "l_orderkey", ranges).withColumn("ranges", F.lit(ranges.count()).cast("long"))
+
+
+@query(
+    f"""
+    with {EVENTS}
+    select user_id, count(*) as rows, max(value) - min(value) as spread from ev group by user_id
+    """
+)
+def group_spread(spark: SparkSession, sf: str) -> DataFrame:
+    """a user's function over each group, fed batch by batch; it keeps three numbers."""
+
+    def spread(key, batches):
+        rows, low, high = 0, float("inf"), float("-inf")
+        for batch in batches:
+            rows += len(batch)
+            low, high = min(low, batch["value"].min()), max(high, batch["value"].max())
+        yield pd.DataFrame({"user_id": [key[0]], "rows": [rows], "spread": [high - low]})
+
+    return map_groups(events(spark, sf).select("user_id", "value"), ["user_id"], spread, "user_id long, rows long, spread double")
