@@ -116,7 +116,7 @@ def bounded_sweep(cells: DataFrame, min_precision: float = 0.10) -> DataFrame:
     high = p * F.try_divide(t, r - (F.col("rows") - F.col("hits")))
     low = F.when(before > 0, F.greatest(p - others * F.log(r / before), F.lit(0.0))).otherwise(p)
     best = F.max(F.when(t / r >= min_precision, F.struct(t.alias("t"), F.col("low").alias("threshold"))))
-    most = F.max(F.when(t / (r - (F.col("rows") - F.col("hits"))) >= min_precision, t))
+    most = F.max(F.when(F.try_divide(t, r - (F.col("rows") - F.col("hits"))) >= min_precision, t))
     found = upto.agg(
         F.sum(F.when(p > 0, low)).alias("_low"), F.sum(F.when(p > 0, high)).alias("_high"), best.alias("_best"),
         most.alias("_most"), F.sum("hits").alias("_p"),

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -15,7 +16,8 @@ from punctual.operators.agreement import kappa, pair_sheets
 from punctual.operators.audit import ORDER_TIME, added_columns, assert_no_leakage, audit, column_catalogue, fitted_on_train_only
 from punctual.operators.behaviour import implausible, never_lower, prediction_ratio, score_twice, unchanged
 from punctual.operators.evaluation import alpha_report, confusion_report, quantile_promises
-from punctual.operators.fingerprint import data_fingerprint
+from punctual.operators.fingerprint import changed_ranges, changed_rows, data_fingerprint, hash_tree
+from punctual.operators.groupmap import map_groups
 from punctual.operators.history import ORDER_RATIOS, build_features, fit_history
 from punctual.operators.lineage import assert_no_leaking_source, column_sources, leaking_sources, lineage_kept
 from punctual.operators.lookup import attach, hot_hashes, lookup_with_default, salted_join, unseen
@@ -33,10 +35,10 @@ from punctual.operators.sampling import (
     undersample,
 )
 from punctual.operators.slices import over_budget, shift_period, slice_report, worst_slice
-from punctual.session import settle
+from punctual.session import settle, shared_path
 from punctual.operators.split import hash_side, time_split
 from punctual.operators.store import StaleStore, check_freshness, order_store, store_alarms, store_drift, store_info
-from punctual.operators.thresholds import average_precision, recall_at_precision, sweep
+from punctual.operators.thresholds import average_precision, bounded_sweep, merged_cells, recall_at_precision, score_cells, sweep
 
 few = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -545,3 +547,77 @@ def test_lineage_follows_values_through_every_kind_of_plan(spark):
     assert column_sources(settle(built.select("calm"))) == {"calm": ["calm"]}
     with lineage_kept(spark):
         assert column_sources(settle(settle(built.select(F.col("calm").alias("x"))).select(F.col("x").alias("y")))) == {"y": ["courier_wait_min"]}
+
+
+# --- mergeable cells, hash trees, group map ------------------------------------------------
+
+
+@pytest.mark.parametrize("bits", [1, 4, 10])
+def test_cells_of_halves_bound_the_exact_sweep(spark, bits):
+    random = np.random.default_rng(bits)
+    scores = np.concatenate([random.random(400), np.round(random.random(200), 1), [0.0, 1.0, 1.0]])
+    rows = [(i, float(s), bool(random.random() < s * 0.4)) for i, s in enumerate(scores)] + [(9000, None, True), (9001, 0.5, None)]
+    df = spark.createDataFrame(rows, "id int, s double, y boolean")
+    whole = score_cells(df, "s", F.col("y"), bits=bits)
+    halves = [score_cells(df.filter(f), "s", F.col("y"), bits=bits) for f in ("id % 2 = 0", "id % 2 = 1")]
+    merged = merged_cells(halves[0].unionByName(halves[1]))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, whole.collect()))
+    assert merged.count() <= 2**bits
+    swept = sweep(df, "s", F.col("y"))
+    exact = average_precision(swept).first()[0]
+    for least in (0.05, 0.3, 0.99):
+        got = bounded_sweep(merged, least).first()
+        recall = recall_at_precision(swept, least).first()["recall"]
+        assert got["ap_low"] - 1e-9 <= exact <= got["ap_high"] + 1e-9
+        assert got["recall_low"] - 1e-9 <= recall <= got["recall_high"] + 1e-9
+    if bits == 10:
+        assert got["ap_high"] - got["ap_low"] < 0.1
+    none = bounded_sweep(score_cells(df.filter("not y"), "s", F.col("y"), bits=bits)).first()
+    assert (none["ap_low"], none["recall_high"], none["threshold"]) == (0.0, 0.0, None)
+
+
+def test_hash_trees_find_what_changed_and_read_its_range(spark):
+    rows = [(k, f"v{k}") for k in range(5000)] + [(None, "n"), (7, "twice"), (7, "twice")]
+    old = spark.createDataFrame(rows, "k long, v string")
+    options = {"leaf_keys": 16, "fan": 4}
+
+    def found(new):
+        trees = [hash_tree(df, "k", ["v"], **options) for df in (old, new)]
+        ranges = changed_ranges(*trees, **options)
+        return sorted(map(tuple, ranges.collect()), key=str), sorted(map(tuple, changed_rows(old, new, "k", ranges).collect()), key=str)
+
+    assert found(old.repartition(7)) == ([], [])
+    ranges, changed = found(old.withColumn("v", F.when(F.col("k") == 4321, "new").otherwise(F.col("v"))))
+    assert ranges == [(4320, 4336, 16, 16)] and changed == [(4321, "new", "added"), (4321, "v4321", "removed")]
+    ranges, changed = found(old.filter("k is not null").filter("k <> 7 or v <> 'twice'").unionByName(spark.createDataFrame([(90_000, "x")], old.schema)))
+    assert [r[:2] for r in ranges] == [(0, 16), (90_000, 90_016), (None, None)]
+    assert changed == [(7, "twice", "removed"), (7, "twice", "removed"), (90_000, "x", "added"), (None, "n", "removed")]
+    # of a table sorted by its key only the file with the range is read
+    path = shared_path(spark, "sorted")
+    old.repartitionByRange(8, "k").sortWithinPartitions("k").write.parquet(path)
+    stored = spark.read.parquet(path)
+    part = stored.filter((F.col("k") >= 4320) & (F.col("k") < 4336))
+    assert part.select(F.col("_metadata.file_path")).distinct().count() == 1
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,4320), LessThan(k,4336)]" in plan_of(part)
+    assert hash_tree(old.limit(0), "k", ["v"])[0].count() == 0
+
+
+def test_a_group_is_never_held_whole(spark):
+    """A group of 20,000 rows comes in batches of 500 rows at most; the function itself keeps two numbers."""
+    rows = spark.range(20_300).select(F.when(F.col("id") < 20_000, 1).when(F.col("id") < 20_200, 2).alias("g"), F.col("id").alias("v"))
+
+    def function(key, batches):
+        rows = most = 0
+        for batch in batches:
+            rows, most = rows + len(batch), max(most, len(batch))
+            if rows == len(batch):
+                yield pd.DataFrame({"g": [key[0]], "rows": [-1], "most": [0]})  # results may come before the group ends
+        yield pd.DataFrame({"g": [key[0]], "rows": [rows], "most": [most]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        got = {(r["g"], r["rows"]): r["most"] for r in map_groups(rows, ["g"], function, "g int, rows long, most long").collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == {(1, -1): 0, (1, 20_000): 500, (2, -1): 0, (2, 200): 200, (None, -1): 0, (None, 100): 100}
