@@ -289,7 +289,7 @@ def stream_scored(spark: SparkSession, sf: str) -> DataFrame:
     f"""
     with {SERVED}
     select concat('E', event_id) as order_id, used_default_profile, known.event_type as served_type,
-           case lot when 1 then known.k end as served_k, case lot when 1 then hour end as served_hour,
+           case lot when 1 then known.k end as served_k, case lot when 1 then hour::double end as served_hour,
            case lot when 1 then '{STAMP}' end as first_stamp
     from known
     """
@@ -300,7 +300,7 @@ def stream_responses(spark: SparkSession, sf: str) -> DataFrame:
     used = F.from_json("features_used", "event_type string, k double, hour bigint")
     return answers.select(
         "order_id", "used_default_profile", used["event_type"].alias("served_type"), used["k"].alias("served_k"),
-        used["hour"].alias("served_hour"), F.when(F.col("release") == 1, F.col("store_computed_at")).alias("first_stamp"),
+        used["hour"].cast("double").alias("served_hour"), F.when(F.col("release") == 1, F.col("store_computed_at")).alias("first_stamp"),
     )
 
 
