@@ -11,7 +11,8 @@ from punctual.functions.calendar import calendar
 from punctual.functions.clean import minutes_between, parse_ntz, shift_minutes
 from punctual.operators.dedup import keep_first
 from punctual.operators.lookup import attach
-from punctual.operators.quantiles import group_quantiles
+from punctual.operators.quantiles import counted_quantiles
+from punctual.session import settle
 
 # The columns of the order table, its known clock fault and the accepted range.
 NATURAL_KEY = ("placed_at", "city", "restaurant_id", "courier_id", "distance_km", "subtotal_inr")
@@ -117,10 +118,12 @@ def naive_minutes_by_group(df: DataFrame, rules: LabelRules = LabelRules()) -> D
         F.col(rules.group),
         minutes_between(parse_ntz(rules.delivered), parse_ntz(rules.placed)).alias("naive_minutes"),
     )
-    shares = naive.groupBy(rules.group).agg(
-        F.avg((F.col("naive_minutes") < 0).cast("double")).alias("share_negative")
-    )
-    medians = group_quantiles(naive, [rules.group], "naive_minutes", {"median_minutes": 0.5})
+    # each row is parsed once; shares and medians come from counts per value
+    counts = settle(naive.groupBy(rules.group, "naive_minutes").agg(F.count(F.lit(1)).alias("n")))
+    known = F.sum(F.when(F.col("naive_minutes").isNotNull(), F.col("n")))
+    below = F.sum(F.when(F.col("naive_minutes") < 0, F.col("n")).otherwise(0))
+    shares = counts.groupBy(rules.group).agg(F.try_divide(below, known).alias("share_negative"))
+    medians = counted_quantiles(counts, [rules.group], "naive_minutes", "n", {"median_minutes": 0.5})
     return attach(shares, medians, rules.group, null_safe=True).orderBy("median_minutes", rules.group)
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.operators.quantiles import group_quantiles
+from punctual.operators.quantiles import counted_quantiles
+from punctual.session import settle
 
 
 def summary(df: DataFrame, columns: list[str], *, quartiles: bool = True) -> DataFrame:
@@ -13,18 +14,25 @@ def summary(df: DataFrame, columns: list[str], *, quartiles: bool = True) -> Dat
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     )
+    # the rows are read once, for counts per value; the rest is computed from these
     long = df.select(F.inline(cells))
-    plain = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.count_if(F.col("value").isNull()).alias("null_count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    counts = settle(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    known = F.col("value").isNotNull()
+    plain = settle(counts.groupBy("column").agg(
+        F.sum(F.when(known, F.col("n")).otherwise(0)).alias("count"),
+        F.sum(F.when(known, 0).otherwise(F.col("n"))).alias("null_count"),
+        F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum(F.when(known, F.col("n")))).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
+    ))
+    off = F.col("value") - F.col("mean")
+    spread = counts.join(plain.select("column", "mean", "count"), "column").groupBy("column").agg(
+        F.sqrt(F.try_divide(F.sum(off * off * F.col("n")), F.max("count") - 1)).alias("std")
     )
+    plain = plain.join(spread, "column").select("column", "count", "null_count", "mean", "std", "min", "max")
     if not quartiles:
         return plain
-    quantiles = group_quantiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    quantiles = counted_quantiles(counts, ["column"], "value", "n", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     return plain.join(quantiles, "column", "left")
 
 
