@@ -338,7 +338,8 @@ def _vectors(pages: DataFrame) -> DataFrame:
                     held[0] += 1
                     held[1] ^= _hash(f"{no} {n}")
             rows = [(host, token, v[2], v[3], v[0], v[1]) for (host, token), v in merged.items()]
-            yield pd.DataFrame(rows, columns=["host", "token", "parent", "is_tag", "pages", "vector"])
+            if rows:  # none if all pages are empty
+                yield pd.DataFrame(rows, columns=["host", "token", "parent", "is_tag", "pages", "vector"])
 
     kinds = "host string, token bigint, parent bigint, is_tag boolean, pages bigint, vector bigint"
     each = pages.mapInPandas(count, kinds)
@@ -376,10 +377,12 @@ def _nested(tokens: pd.DataFrame) -> pd.DataFrame:
         return inside[token]
 
     kept = [r for r in rows.values() if nests(r.token)]
-    return pd.DataFrame({
+    found = pd.DataFrame({
         "host": [r.host for r in kept], "token": [r.token for r in kept],
         "is_tag": [r.is_tag for r in kept], "class": [r.vector for r in kept],
     })
+    # also where nothing nests
+    return found.astype({"host": object, "token": "int64", "is_tag": bool, "class": "int64"})
 
 
 def templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:

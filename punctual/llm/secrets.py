@@ -89,10 +89,13 @@ def battery(tokens: DataFrame) -> DataFrame:
     df = df.withColumn("sides", F.expr("transform(codes, c -> c >= a / 2)"))
     df = df.withColumns({
         "high": F.expr("cast(size(filter(sides, x -> x)) as double)"),
-        "turns": F.expr("cast(size(filter(sides, (x, i) -> i > 0 and x <> sides[i - 1])) + 1 as double)"),
+        # neighbours side by side, so that no step of a lambda looks at the whole token
+        "turns": F.expr(
+            "cast(size(filter(zip_with(slice(sides, 1, size(sides) - 1), slice(sides, 2, size(sides) - 1), (x, y) -> x <> y), z -> z)) + 1 as double)"
+        ),
         "lagged": F.expr(
-            "aggregate(transform(codes, (x, i) -> if(i = 0, 0D, (x - (a - 1) / 2) * (codes[i - 1] - (a - 1) / 2))),"
-            " 0D, (s, x) -> s + x)"
+            "aggregate(zip_with(slice(codes, 1, size(codes) - 1), slice(codes, 2, size(codes) - 1),"
+            " (x, y) -> (y - (a - 1) / 2) * (x - (a - 1) / 2)), 0D, (s, x) -> s + x)"
         ),
     })
     n, a, high = F.col("n"), F.col("a"), F.col("high")
