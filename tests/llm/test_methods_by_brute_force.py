@@ -128,6 +128,7 @@ def test_bars_equal_counts_by_hand(spark):
     """The least bin of p at which the estimated false share of an encoding and length is still small enough."""
     tokens = _tokens(2)
     tested = secrets.battery(spark.createDataFrame([(t,) for t in tokens], "token string"))
+    tested = spark.createDataFrame(tested.select("token", "encoding", "long", "p").collect())  # as ``scan`` does, written first
     rows = [(r["token"], r["encoding"], int(math.log2(r["long"])), int(min(r["p"], 0.999999) * secrets.BINS)) for r in tested.collect()]
     want = []
     for cell in {r[1:3] for r in rows}:
