@@ -162,7 +162,7 @@ def stream_deliveries(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def stream_order_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    """One state and one timer per order: delivered, cancelled, timed out, or still in flight in the state.
+    """Every order in the state, with the time its timer runs to: delivered, cancelled, timed out, or still in flight there.
 
     A failed event is an order cancelled after five minutes, a sign-up one that nothing more is heard of.
     """

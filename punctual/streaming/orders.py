@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from datetime import timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -89,59 +90,109 @@ def windows_so_far(
 PLACED, DELIVERED, CANCELLED = "placed", "delivered", "cancelled"
 LONGEST_MINUTES = 720
 OUTCOME = "outcome string, placed_ms long, actual_minutes double"
-ORDER_STATE = "placed_ms long, delivered_ms long, cancelled_ms long, done boolean"
+# The times that an order has in the state, in this order.
+STEPS = {PLACED: 0, DELIVERED: 1, CANCELLED: 2}
+# Groups of orders that share a state. A stream that has begun keeps its number of them.
+BUCKETS = 2048
 
 
 class OrderLifecycle(StatefulProcessor):
-    """One state per order, and a timer at the time by which it must have been delivered."""
+    """The orders of a bucket in one state, and a timer at the first time by which one of them must have been delivered.
 
-    def __init__(self, key_names: list[str], longest_minutes: int):
-        self.key_names, self.longest = key_names, longest_minutes * 60_000
+    Every call of the state is a message to the JVM. A state and a timer for each order would take several of them
+    an order; so they are a few a bucket and batch.
+    """
+
+    def __init__(self, keys: T.StructType, longest_minutes: int):
+        self.keys, self.longest = keys, longest_minutes * 60_000
+        self.zoned = [i for i, f in enumerate(keys) if isinstance(f.dataType, T.TimestampType)]
+        self.bytes = [i for i, f in enumerate(keys) if isinstance(f.dataType, T.BinaryType)]
 
     def init(self, handle) -> None:
+        order = T.StructType().add("key", self.keys)
+        for step in STEPS:
+            order = order.add(f"{step}_ms", "long")
         self.handle = handle
-        self.order = handle.getValueState("order", ORDER_STATE)
+        self.orders = handle.getValueState("orders", T.StructType().add("orders", T.ArrayType(order.add("done", "boolean"))))
+
+    def _own(self, key: Iterable) -> tuple:
+        """A key that is the same whether it comes from a row or from the state."""
+        if not self.zoned and not self.bytes:
+            return tuple(key)
+        values = list(key)
+        for i in self.zoned:
+            values[i] = None if values[i] is None else values[i].astimezone(timezone.utc)
+        for i in self.bytes:
+            values[i] = None if values[i] is None else bytes(values[i])
+        return tuple(values)
+
+    def _known(self) -> dict[tuple, list]:
+        """Per key: placed, delivered, cancelled, done."""
+        found = self.orders.get()
+        return {self._own(key): steps for key, *steps in found[0]} if found else {}
+
+    def _due(self, order: list) -> int:
+        return (min(x for x in order[1:3] if x is not None) if order[0] is None else order[0]) + self.longest
+
+    def _first_due(self, orders: Iterable[list]) -> int | None:
+        return min(map(self._due, orders), default=None)
+
+    def _keep(self, known: dict[tuple, list], alarm: int | None) -> None:
+        """Store the orders; ``alarm`` is the timer that is set."""
+        due = self._first_due(known.values())
+        if due != alarm:
+            if alarm is not None:
+                self.handle.deleteTimer(alarm)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if known:
+            self.orders.update(([(key, *order) for key, order in known.items()],))
+        else:
+            self.orders.clear()
 
     def _row(self, key: tuple, outcome: str, placed: int | None, end: int | None = None) -> Row:
         minutes = None if placed is None or end is None else (end - placed) / 60_000
-        return Row(**dict(zip(self.key_names, key, strict=True)), outcome=outcome, placed_ms=placed, actual_minutes=minutes)
+        return Row(**dict(zip(self.keys.names, key, strict=True)), outcome=outcome, placed_ms=placed, actual_minutes=minutes)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        placed, delivered, cancelled, done = self.order.get() if self.order.exists() else (None, None, None, False)
+        known = self._known()
+        alarm = self._first_due(known.values())
+        touched: dict[tuple, list] = {}
+        width = len(self.keys)
         for row in rows:
+            own, step, at_ms = self._own(row[-2 - width : -2]), STEPS.get(row[-2]), row[-1]
+            order = known.get(own)
+            if order is None:
+                order = known[own] = [None, None, None, False]
+            touched[own] = order
             # of two reports of the same step the earlier counts
-            if row.kind == PLACED:
-                placed = row.at_ms if placed is None else min(placed, row.at_ms)
-            elif row.kind == DELIVERED:
-                delivered = row.at_ms if delivered is None else min(delivered, row.at_ms)
-            elif row.kind == CANCELLED:
-                cancelled = row.at_ms if cancelled is None else min(cancelled, row.at_ms)
-        first = [x for x in (placed, delivered, cancelled) if x is not None]
-        if not first:
-            return
-        ended = placed is not None and (delivered is not None or cancelled is not None)
-        if ended and not done:
-            done = True
-            took = None if delivered is None else delivered - placed
-            if cancelled is not None and (delivered is None or cancelled <= delivered):
-                yield self._row(key, "cancelled", placed)
-            elif took <= 0:
-                yield self._row(key, "not_positive", placed, delivered)
-            elif took >= self.longest:
-                yield self._row(key, "timed_out", placed)
-            else:
-                yield self._row(key, "delivered", placed, delivered)
-        # a settled order stays known until no row of it can come any more
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer((min(first) if placed is None else placed) + self.longest)
-        self.order.update((placed, delivered, cancelled, done))
+            if step is not None and at_ms is not None and (order[step] is None or at_ms < order[step]):
+                order[step] = at_ms
+        for own, order in touched.items():
+            placed, delivered, cancelled, done = order
+            if placed is None and delivered is None and cancelled is None:
+                del known[own]
+            elif not done and placed is not None and (delivered is not None or cancelled is not None):
+                # a settled order stays known until no row of it can come any more
+                order[3] = True
+                if cancelled is not None and (delivered is None or cancelled <= delivered):
+                    yield self._row(own, "cancelled", placed)
+                elif delivered <= placed:
+                    yield self._row(own, "not_positive", placed, delivered)
+                elif delivered - placed >= self.longest:
+                    yield self._row(own, "timed_out", placed)
+                else:
+                    yield self._row(own, "delivered", placed, delivered)
+        self._keep(known, alarm)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        placed, _, _, done = self.order.get()
-        self.order.clear()
-        if not done:
-            yield self._row(key, "timed_out" if placed is not None else "never_placed", placed)
+        known, now = self._known(), timerValues.getCurrentWatermarkInMs()
+        for own in [own for own, order in known.items() if self._due(order) <= now]:
+            placed, _, _, done = known.pop(own)
+            if not done:
+                yield self._row(own, "timed_out" if placed is not None else "never_placed", placed)
+        # the timer that has run out is removed by Spark
+        self._keep(known, None)
 
     def close(self) -> None:
         pass
@@ -149,7 +200,7 @@ class OrderLifecycle(StatefulProcessor):
 
 def order_outcomes(
     steps: DataFrame, on: list[str], *, at: str = "at", kind: str = "kind", longest_minutes: int = LONGEST_MINUTES,
-    delay: str = "1 hour",
+    delay: str = "1 hour", buckets: int = BUCKETS,
 ) -> DataFrame:
     """One row per order as soon as its end is known: the keys, outcome, placed_at, actual_minutes.
 
@@ -159,17 +210,23 @@ def order_outcomes(
     earlier of a delivery and a cancellation counts if both are known when the first is handled; an
     order has one row, later steps change nothing. Rows behind the watermark are dropped. Start the
     query within ``state_in_rocksdb``. ``orders_in_flight`` reads what is still open.
+
+    Orders are dealt over ``buckets`` by a hash of their keys. A task holds the orders of one bucket at a time, those of
+    the last ``longest_minutes``: with many millions of them, begin with more buckets.
     """
-    timed = steps.withWatermark(at, delay).select(*on, at, F.col(kind).alias("kind"), F.unix_millis(at).alias("at_ms"))
-    out = T.StructType([steps.schema[c] for c in on])
+    bucket = F.pmod(F.xxhash64(*on), F.lit(buckets)).cast("int").alias("_bucket")
+    timed = steps.withWatermark(at, delay).select(bucket, at, *on, F.col(kind).alias("kind"), F.unix_millis(at).alias("at_ms"))
+    keys = T.StructType([steps.schema[c] for c in on])
+    out = T.StructType(list(keys.fields))
     for column in OUTCOME.split(", "):
         out = out.add(*column.split(" "))
-    found = timed.groupBy(*on).transformWithState(OrderLifecycle(on, longest_minutes), out, "Append", "EventTime")
+    found = timed.groupBy("_bucket").transformWithState(OrderLifecycle(keys, longest_minutes), out, "Append", "EventTime")
     return found.select(*on, "outcome", F.timestamp_millis("placed_ms").alias("placed_at"), "actual_minutes")
 
 
 def orders_in_flight(spark: SparkSession, progress: str) -> DataFrame:
     """The orders without an outcome so far, read from the state that ``order_outcomes`` keeps below ``progress``."""
-    state = spark.read.format("statestore").option("stateVarName", "order").load(progress)
-    placed = F.timestamp_millis("value.placed_ms").alias("placed_at")
-    return state.filter("not value.done").select("key.*", F.lit("in_flight").alias("outcome"), placed, F.lit(None).cast("double").alias("actual_minutes"))
+    state = spark.read.format("statestore").option("stateVarName", "orders").load(progress)
+    orders = state.select(F.explode("value.orders").alias("o")).filter("not o.done")
+    placed = F.timestamp_millis("o.placed_ms").alias("placed_at")
+    return orders.select("o.key.*", F.lit("in_flight").alias("outcome"), placed, F.lit(None).cast("double").alias("actual_minutes"))

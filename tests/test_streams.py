@@ -2,7 +2,9 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer
@@ -13,7 +15,7 @@ from punctual.session import shared_path
 from punctual.sources.releases import pinned_stores, publish_model, read_model, release, released
 from punctual.sources.versions import expire, latest_version, let_out, live_version, publish, read_version, version_folders, withdraw
 from punctual.streaming.common import drain, drained, event_time, file_stream, state_in_rocksdb
-from punctual.streaming.orders import bias_by_window, deliveries, drop_twins, order_outcomes, orders_in_flight, windows_so_far
+from punctual.streaming.orders import OrderLifecycle, bias_by_window, deliveries, drop_twins, order_outcomes, orders_in_flight, windows_so_far
 from punctual.streaming.requests import parse_requests, refresh_merged, refresh_store, respond, score_stream, serve_stream
 
 EVENTS = "id int, k string, ts timestamp_ntz, y double, pred double"
@@ -410,3 +412,95 @@ def test_outcomes_with_timers_survive_a_restart_and_any_order_of_arrival(spark):
               "i": ("never_placed", None), "j": ("timed_out", None)}
     assert done == known
     assert [r["order_id"] for r in orders_in_flight(spark, os.path.join(out, "progress")).collect()] == ["z"]
+
+
+@pytest.mark.parametrize("buckets", [1, 16])
+def test_outcomes_of_orders_that_share_a_state(spark, buckets):
+    """Keys of several types, null among them, are told apart in one bucket and known again in a later batch."""
+    folder, out = shared_path(spark, "steps"), shared_path(spark, "out")
+    on = ["day", "no", "tag"]
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "i int, kind string, t string")
+        i = F.col("i")
+        df = df.select(
+            F.when(i != 2, F.timestamp_micros(i.cast("long") * 1_000_001)).alias("day"), F.when(i != 3, i + F.lit(2**60)).alias("no"),
+            F.encode(F.concat(F.lit("x"), i), "utf-8").alias("tag"), "kind", F.col("t").cast("timestamp").alias("at"),
+        )
+        df.coalesce(1).write.mode("append").parquet(folder)
+        arriving = file_stream(spark, folder, "day timestamp, no long, tag binary, kind string, at timestamp")
+        with state_in_rocksdb(spark):
+            drain(order_outcomes(arriving, on, buckets=buckets), out)
+        got = drained(spark, out, "day timestamp, no long, tag binary, outcome string, placed_at timestamp, actual_minutes double").collect()
+        assert all((r["day"] is None) == (r["tag"] == b"x2") and (r["no"] is None) == (r["tag"] == b"x3") for r in got)
+        return sorted((bytes(r["tag"]).decode(), r["outcome"], r["actual_minutes"]) for r in got)
+
+    day = "2025-01-01 "
+    # the watermark is 22:00, when the first, but not the second, runs out
+    done = run([
+        (1, "placed", day + "10:00:00"), (2, "placed", day + "10:00:00.001"), (3, "placed", day + "22:00:00"),
+        (4, "cancelled", day + "22:30:00"), (5, "unheard of", day + "22:40:00"), (6, "placed", day + "22:50:00"), (6, "delivered", day + "23:00:00"),
+    ])
+    first = [("x1", "timed_out", None), ("x6", "delivered", 10.0)]
+    assert [r for r in done if r[0] != "x2"] == first
+    done = run([(3, "delivered", day + "22:30:00"), (4, "placed", day + "22:20:00"), (6, "placed", day + "22:45:00"), (7, "placed", day + "22:50:00")])
+    first += [("x3", "delivered", 30.0), ("x4", "cancelled", None)]
+    assert [r for r in done if r[0] != "x2"] == sorted(first)
+    left = orders_in_flight(spark, os.path.join(out, "progress"))
+    assert {r["tag"] for r in left.collect()} - {b"x2"} == {b"x7"} and left.schema["no"].dataType.simpleString() == "bigint"
+    done = run([(8, "placed", "2025-01-03 10:00:00")])
+    assert done == sorted([*first, ("x2", "timed_out", None), ("x7", "timed_out", None)])
+    assert [r["tag"] for r in orders_in_flight(spark, os.path.join(out, "progress")).collect()] == [b"x8"]
+
+
+def test_a_bucket_of_orders_takes_few_calls_of_its_state():
+    """Each call is a message to the JVM: their number is that of the buckets and not that of the orders."""
+    calls = []
+
+    class Told:
+        def __init__(self):
+            self.value = None
+
+        def get(self):
+            calls.append("get")
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            calls.append("clear")
+            self.value = None
+
+        def exists(self):
+            calls.append("exists")
+            return self.value is not None
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, name, schema):
+            return Told()
+
+        def listTimers(self):
+            calls.append("list")
+            return list(self.timers)
+
+        def registerTimer(self, at):
+            calls.append("register")
+            self.timers.add(at)
+
+        def deleteTimer(self, at):
+            calls.append("delete")
+            self.timers.remove(at)
+
+    handle = Handle()
+    orders = OrderLifecycle(T.StructType().add("order_id", "long"), 720)
+    orders.init(handle)
+    steps = [Row(_bucket=0, at=None, order_id=i, kind="placed", at_ms=60_000 * i) for i in range(1000)]
+    assert list(orders.handleInputRows((0,), iter(steps), None)) == [] and len(calls) <= 5 and handle.timers == {720 * 60_000}
+    calls.clear()
+    steps = [Row(_bucket=0, at=None, order_id=i, kind="delivered", at_ms=60_000 * (i + 5)) for i in range(1000)]
+    assert [r["actual_minutes"] for r in orders.handleInputRows((0,), iter(steps), None)] == [5.0] * 1000 and len(calls) <= 5
