@@ -22,7 +22,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import text_or_empty
+from punctual.llm.common import give_back, text_or_empty
 
 #: No pair. Larger than any rank.
 NONE = np.int64(2**31 - 1)
@@ -287,6 +287,9 @@ def coded(
                 )
                 rows.append((*row, [int(i) for i in joined.split()]) if ids else row)
             yield pd.DataFrame(rows, columns=columns)
+            batch = rows = None
+        own.known = {}
+        give_back()
 
     code.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     kinds = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if ids else "")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import broadcast_if_small, components, text_or_empty, written
+from punctual.llm.common import broadcast_if_small, components, give_back, text_or_empty, written
 
 WORDS, THRESHOLD = 5, 0.8
 #: The chance that a pair at the threshold shares a band, and how many hashes it may cost.
@@ -95,6 +95,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, words: int, bands: i
                 g = grams(text, words)
                 out.append((len(g), hashlib.blake2b(g.tobytes(), digest_size=16).digest(), own.of(g) if len(g) else []))
             yield pd.DataFrame(out, columns=["n", "digest", "bands"])
+            batch = out = None
+        give_back()
 
     sign.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     signed = F.pandas_udf(sign, "n int, digest binary, bands array<bigint>")(F.col(text_col))

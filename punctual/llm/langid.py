@@ -18,7 +18,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctual.llm.common import broadcast_if_small, written
+from punctual.llm.common import broadcast_if_small, give_back, written
 
 #: Bounds of the model: texts per language that are learned from, cells of a vector, centroids per language.
 PER_LANGUAGE, CELLS, CENTROIDS = 1000, 4096, 4
@@ -160,6 +160,8 @@ def fit(
                 vectors = [counts(t, cells) for t in part["text"]]
                 out = pd.DataFrame({"lang": part["lang"], "no": part["no"], "v": vectors})
                 yield out[[v is not None for v in vectors]]
+            batch = part = vectors = out = None
+        give_back()
 
     counted = written(sample.mapInPandas(count, "lang string, no int, v array<bigint>"), "language_sample")
 
@@ -226,6 +228,8 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text") -> Dat
                     out.loc[part, "score"] = score
                     out.loc[part, "rejected"] = score < block.floor[own, long]
             yield out
+            batch = out = rows = None
+        give_back()
 
     guess.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     guessed = F.pandas_udf(guess, "lang_pred string, score double, rejected boolean")(F.col(text_col))
