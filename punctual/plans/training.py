@@ -9,8 +9,8 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import QuantileDiscretizer, SQLTransformer, StringIndexer, VectorAssembler, VectorSlicer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +49,8 @@ MOST_CATEGORIES = MAX_BINS - 2
 REST = "(other)"
 # Fits that run at the same time.
 SIDE_BY_SIDE = 8
+# Rows that one task of a fit takes. A fit on more takes rows with equal features together, or spreads them.
+ROWS_PER_TASK = 250_000
 
 
 def serving_frame(labelled: DataFrame) -> DataFrame:
@@ -68,8 +70,32 @@ def _folded(train: DataFrame, columns: list[str], most: int) -> dict[str, list[s
     return kept
 
 
-def prepared(train: DataFrame, features: list[str], categorical: list[str], most: int) -> list:
-    """Index categories, fold rare ones, assemble. A category that train never had counts as a missing one."""
+def spread(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` settled, and its number of rows. Parts with far more than ``ROWS_PER_TASK`` rows are divided.
+
+    Parts come from the files: a table in a few large ones, or in few row groups, would leave most cores idle.
+    """
+    settled = settle(df)
+    sizes = settled.groupBy(F.spark_partition_id().alias("part")).count()
+    total, most = sizes.agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0))).first()
+    if most > 2 * ROWS_PER_TASK:
+        settled = settle(settled.repartition(-(-total // ROWS_PER_TASK)))
+    return settled, total
+
+
+def _wide(train: DataFrame, columns: list[str]) -> list[str]:
+    """Those of the columns with more values than a tree has bins."""
+    if not columns:
+        return []
+    counts = train.agg(*[F.approx_count_distinct(F.col(c), 0.02).alias(c) for c in columns]).first()
+    return [c for c in columns if counts[c] >= MAX_BINS]
+
+
+def prepared(train: DataFrame, features: list[str], categorical: list[str], most: int, binned: bool = False) -> list:
+    """Index categories, fold rare ones, assemble. A category that train never had counts as a missing one.
+
+    With ``binned`` a column with more values than a tree has bins is cut at its quantiles, as each tree would do.
+    """
     used = [c for c in categorical if c in features]
     stages, inputs = [], {c: c for c in features}
     kept = _folded(train, used, most)
@@ -88,6 +114,12 @@ def prepared(train: DataFrame, features: list[str], categorical: list[str], most
         sources = [f"_{c}_kept" if c in kept else c for c in used]
         stages.append(StringIndexer(inputCols=sources, outputCols=outputs, handleInvalid="keep"))
         inputs |= dict(zip(used, outputs))
+    wide = _wide(train, [c for c in features if c not in used]) if binned else []
+    if wide:
+        outputs = [f"_{c}_bin" for c in wide]
+        # one bin less, as a missing value has its own
+        stages.append(QuantileDiscretizer(inputCols=wide, outputCols=outputs, numBuckets=MAX_BINS - 1, handleInvalid="keep"))
+        inputs |= dict(zip(wide, outputs))
     stages.append(VectorAssembler(inputCols=[inputs[c] for c in features], outputCol="_features", handleInvalid="keep"))
     return stages
 
@@ -102,10 +134,35 @@ def side_by_side(calls: list[Callable]) -> list:
         return pool.map(lambda call: call(), [inherited(call) for call in calls])
 
 
-def _fit(learner, train: DataFrame, columns: list, features: list[str], categorical: list[str], most: int) -> PipelineModel:
+def _fit(
+    learner, train: DataFrame, columns: list, features: list[str], categorical: list[str], most: int, weight: str | None = None
+) -> PipelineModel:
     """Fit on the columns in use, written once: each tree level reads that table and not what lies below it."""
-    narrow = settle(train.select(*columns))
-    return Pipeline(stages=[*prepared(narrow, features, categorical, most), learner]).fit(narrow)
+    narrow, rows = spread(train.select(*columns))
+    shape = Pipeline(stages=prepared(narrow, features, categorical, most, rows > ROWS_PER_TASK)).fit(narrow)
+    return PipelineModel([*shape.stages, fit_rows(learner, shape.transform(narrow), rows, weight)])
+
+
+def fit_rows(learner, table: DataFrame, rows: int, weight: str | None = None):
+    """The learner's model of ``table``, which has ``rows`` rows and their ``_features``.
+
+    To a regression many rows with the same features are one with their mean target and their number as weight. So
+    in a table of more than ``ROWS_PER_TASK`` rows such rows are taken together, unless hardly any two are
+    alike. A classifier gets all rows.
+    """
+    if rows <= ROWS_PER_TASK or isinstance(learner, GBTClassifier) or weight:
+        return learner.fit(table)
+    target = learner.getLabelCol()
+    flat = table.select(vector_to_array("_features").alias("_values"), target)
+    cells = flat.agg(F.approx_count_distinct(F.xxhash64("_values"), 0.02)).first()[0]
+    if cells * 1.5 > rows:
+        return learner.fit(table)
+    count = F.count(F.lit(1))
+    # a missing target stays one, and so an error
+    mean = F.when(F.count(target) == count, F.avg(target)).alias("_mean")
+    together = flat.groupBy("_values").agg(count.cast("double").alias("_weight"), mean)
+    together, _ = spread(together.select(array_to_vector("_values").alias("_features"), F.col("_mean").alias(target), "_weight"))
+    return learner.copy().setWeightCol("_weight").fit(together)
 
 
 def fit_regressor(
@@ -169,7 +226,7 @@ def fit_classifier(
     if weight:
         learner = learner.setWeightCol(weight)
         columns.append(weight)
-    return _fit(learner, train, columns, features, categorical, most_categories)
+    return _fit(learner, train, columns, features, categorical, most_categories, weight)
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -217,15 +274,15 @@ def feature_bakeoff(
     """
     used = list(dict.fromkeys(c for features in sets.values() for c in features))
     label = F.col(target).cast("double").alias(target)
-    train, test = settle(train.select(*used, label)), test.select(*used, label)
-    stages = prepared(train, used, categorical, most_categories)
+    (train, rows), test = spread(train.select(*used, label)), test.select(*used, label)
+    stages = prepared(train, used, categorical, most_categories, rows > ROWS_PER_TASK)
     stages[-1].setOutputCol("_matrix")
     indexed = Pipeline(stages=stages).fit(train)
     train, test = (settle(indexed.transform(side).select("_matrix", target)) for side in (train, test))
 
     def one(features: list[str]) -> PipelineModel:
         slicer = VectorSlicer(inputCol="_matrix", outputCol="_features", indices=[used.index(c) for c in features])
-        return Pipeline(stages=[slicer, _regressor(target, **model)]).fit(train)
+        return PipelineModel([slicer, fit_rows(_regressor(target, **model), slicer.transform(train), rows)])
 
     fitted = side_by_side([partial(one, features) for features in sets.values()])
     scored = test
@@ -349,14 +406,15 @@ def leak_ladder(
 
     def with_history(source: DataFrame, sides: tuple[DataFrame, DataFrame]) -> tuple[DataFrame, DataFrame]:
         history: History = fit_history(source, history_keys, target, name)
-        return history.apply(sides[0]), history.apply(sides[1])
+        return settle(history.apply(sides[0])), settle(history.apply(sides[1]))
 
     needed = list(dict.fromkeys([*features, answer, from_answer, *history_keys, target, ts, row_id]))
-    with_twins = raw_label(False).select(*needed)
+    # labelling is the longest step and every set of rows below begins with it
+    with_twins = settle(raw_label(False).select(*needed))
     twin_sides = shuffled(with_twins)
     all_rows = with_history(with_twins, twin_sides)
     train_only = with_history(twin_sides[0], twin_sides)
-    single = raw_label(True).select(*needed)
+    single = settle(raw_label(True).select(*needed))
     single_sides = shuffled(single)
     no_twins = with_history(single_sides[0], single_sides)
     by_time = time_split(single, ts, holdout_days)

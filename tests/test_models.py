@@ -4,12 +4,14 @@ from pyspark.sql import functions as F
 from punctual.operators.behaviour import score_twice, unchanged
 from punctual.operators.evaluation import regression_report
 from punctual.operators.history import build_features
+from punctual.plans import training
 from punctual.plans.promises import fit_promises, promise_sweep
 from punctual.plans.training import (
     SERVING_FEATURES,
     evaluation_bundle,
     feature_bakeoff,
     feature_importances,
+    fit_classifier,
     fit_regressor,
     imbalance_bakeoff,
     label_beside_prediction,
@@ -162,3 +164,61 @@ def test_learned_promises_follow_the_spread(spark, with_base):
     wide = promise_sweep(promised.filter("weather = 'rain'"), "y").filter("alpha = 0.9").first()["median_promise"]
     assert abs(wide - 124) < 0.7
     assert promise_sweep(promised.limit(0), "y").count() == 5
+
+
+def test_large_fits_take_equal_rows_together(spark, monkeypatch):
+    """More rows than a task takes: a regression gets a row per combination, and both models are the same."""
+    i = F.col("id")
+    rows = settle(spark.range(0, 2400, 1, 1).select(
+        (i % 7).alias("x"), F.concat(F.lit("c"), i % 5).alias("c"), ((i * 7919) % 101 < 3 + (i % 7) * (i % 7) + 9 * (i % 5)).cast("int").alias("late"),
+        (3.0 * (i % 7) + (i % 5) * (i % 2) + i % 11).alias("y"),
+    )).withColumn("w", F.when(F.col("late") == 1, 4.0).otherwise(1.0))
+
+    def both():
+        value = fit_regressor(rows, ["x", "c"], "y", categorical=["c"], **SMALL)
+        chance = fit_classifier(rows, ["x", "c"], "late", weight="w", categorical=["c"], **SMALL)
+        scored = training.score_class(chance, score(value, rows)).select("x", "c", "pred", "proba").distinct().collect()
+        return {(r["x"], r["c"]): (r["pred"], r["proba"]) for r in scored}
+
+    want, seen = both(), []
+    for learner in (training.GBTRegressor, training.GBTClassifier):
+        fit = learner.fit
+        monkeypatch.setattr(learner, "fit", lambda self, df, fit=fit: (seen.append(df.count()), fit(self, df))[1])
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
+    got = both()
+    assert len(got) == 35 and got.keys() == want.keys()
+    for key in want:
+        assert got[key] == pytest.approx(want[key], rel=1e-9)
+    assert seen == [35, 2400]
+
+
+def test_large_fits_bin_wide_columns_and_spread_rows(spark, monkeypatch):
+    monkeypatch.setattr(training, "ROWS_PER_TASK", 100)
+    i = F.col("id")
+    rows = spark.range(0, 6000, 1, 1).select((i * 0.5).alias("x"), (i % 2).alias("b"), (i * 2.0 + i % 2).alias("y"))
+    parts, n = training.spread(rows)
+    assert n == 6000 and parts.groupBy(F.spark_partition_id()).count().count() == 60
+    assert parts.exceptAll(rows).count() == 0 and training.spread(rows.limit(0))[1] == 0
+    model = fit_regressor(rows, ["x", "b"], "y", categorical=[])
+    report = regression_report(score(model, rows), "pred", "y").first()
+    assert report["r2"] > 0.95 and report["n"] == 6000
+    # a row without x counts as one with a missing value
+    assert score(model, rows.withColumn("x", F.lit(None).cast("double"))).filter("pred is null").count() == 0
+
+
+def test_leak_ladder_labels_once(spark, trips):
+    counted = spark.sparkContext.accumulator(0)
+
+    def labelled(drop):
+        def seen(x):
+            counted.add(1)
+            return x
+
+        return trips.withColumn("city", F.udf(seen, "string")("city"))
+
+    leak_ladder(
+        labelled, features=["distance_km", "city", "hour"], answer="eta_error_min", from_answer="courier_payout_inr",
+        history_keys=["restaurant_id"], target="actual_minutes", ts="placed_utc", row_id="order_id", holdout_days=10, trees=1, depth=1,
+    )
+    # once with and once without twins
+    assert counted.value == 2 * trips.count()
