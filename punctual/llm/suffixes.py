@@ -28,16 +28,16 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctual.llm.common import broadcast_if_small, text_or_empty, written
+from punctual.llm.common import broadcast_if_small, give_back, text_or_empty, written
 from punctual.session import shared_path
 
 LENGTH, SEED = 50, 24
-#: Strings that one row stands for at most, bytes worked on at once, seeds and pieces held by a task.
-PER_PIECE, CHUNK, HELD_SEEDS, HELD_PIECES = 32, 1 << 20, 4_000_000, 400_000
+#: Strings that one row stands for at most, bytes worked on at once, seeds and pieces held by a task, rows sent at once.
+PER_PIECE, CHUNK, HELD_SEEDS, HELD_PIECES, SENT = 32, 1 << 18, 1_000_000, 400_000, 20_000
 #: Seeds per part of the hash range, bits of the bitmap per seed and in all.
 PART, BITS_PER_SEED, MOST_BITS = 1 << 20, 16, 1 << 28
-#: Pieces per bucket, and pieces of one seed beyond which its strings are aggregated.
-BUCKET, HOT = 50_000, 50_000
+#: Pieces per bucket, of these sorted at once, and pieces of one seed beyond which its strings are aggregated.
+BUCKET, SORTED, HOT = 50_000, 10_000, 50_000
 
 _random = np.random.default_rng(50)
 _byte = _random.integers(1, 2**63, 256, np.uint64)
@@ -68,10 +68,12 @@ def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def pieces(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def pieces(
+    texts: list[bytes], length: int = LENGTH, places: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of ``texts`` put end to end: (seed hash, text number, first string, number of strings, place of the seed).
 
-    All strings of a piece have the same least seed. Strings lie within one text.
+    All strings of a piece have the same least seed. Strings lie within one text. Without ``places`` these are 0.
     """
     sizes = np.array([len(t) for t in texts])
     raw = np.frombuffer(b"".join(texts), np.uint8)
@@ -92,10 +94,10 @@ def pieces(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.nda
     first = np.repeat(new, parts) + nth * PER_PIECE
     count = np.minimum(np.repeat(new + runs, parts) - first, PER_PIECE)
     seed = least[first]
-    place = np.empty(len(first), np.int64)
-    for k in range(0, len(first), 100_000):
-        at = first[k : k + 100_000, None] + np.arange(width)
-        place[k : k + 100_000] = first[k : k + 100_000] + (h[at] == seed[k : k + 100_000, None]).argmax(axis=1)
+    place = np.zeros(len(first), np.int64)
+    for k in range(0, len(first) if places else 0, SENT):
+        at = first[k : k + SENT, None] + np.arange(width)
+        place[k : k + SENT] = first[k : k + SENT] + (h[at] == seed[k : k + SENT, None]).argmax(axis=1)
     # least hashes lie low; spread, they fall evenly into the parts of the hash range
     return seed * _odd[7], np.searchsorted(ends, first, "right"), first, count, place
 
@@ -103,11 +105,13 @@ def pieces(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, np.nda
 def chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
     """Rows of the batches with their texts as bytes, about CHUNK bytes at once."""
     for batch in batches:
-        raw = [t.encode("utf-8", "surrogatepass") for t in batch["text"]]
-        sums = np.cumsum([len(r) for r in raw]) // CHUNK
-        for n in np.unique(sums):
-            at = np.flatnonzero(sums == n)
-            yield batch.iloc[at[0] : at[-1] + 1], raw[at[0] : at[-1] + 1]
+        raw, size, start = [], 0, 0
+        for n, text in enumerate(batch["text"], 1):
+            raw.append(text.encode("utf-8", "surrogatepass"))
+            size += len(raw[-1])
+            if size >= CHUNK or n == len(batch):
+                yield batch.iloc[start:n], raw
+                raw, size, start = [], 0, n
 
 
 def _seeds(texts: DataFrame, parts: int, length: int) -> DataFrame:
@@ -125,7 +129,7 @@ def _seeds(texts: DataFrame, parts: int, length: int) -> DataFrame:
     def collect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, n = [], 0
         for rows, raw in chunks(batches):
-            seed, text, *_ = pieces(raw, length)
+            seed, text, *_ = pieces(raw, length, places=False)
             ids = rows["id"].to_numpy()[text]
             order = np.lexsort((ids, seed))
             seed, ids = seed[order], ids[order]
@@ -138,6 +142,8 @@ def _seeds(texts: DataFrame, parts: int, length: int) -> DataFrame:
                 held, n = [], 0
         if n:
             yield pack(_at_most_twice(np.concatenate(held)))
+        rows = raw = held = seed = ids = order = again = other = text = _ = None
+        give_back()
 
     return texts.mapInPandas(collect, "part bigint, seeds binary")
 
@@ -167,7 +173,10 @@ def _bitmap(rows: pd.DataFrame, most_bits: int) -> pd.DataFrame:
     flags = np.zeros(bits, bool)
     for spot in _spots(twice, bits):
         flags[spot] = True
-    return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "bits": [np.packbits(flags).tobytes()]})
+    out = pd.DataFrame({"part": [int(rows["part"].iloc[0])], "bits": [np.packbits(flags).tobytes()]})
+    low = wide = seeds = twice = flags = spot = None
+    give_back()
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -206,17 +215,30 @@ def merged(spans: pd.DataFrame) -> pd.DataFrame:
 
 def _candidates(texts: DataFrame, path: str, parts: int, length: int) -> DataFrame:
     """Pieces that may repeat (id, h, start, stop, lead, piece), and with a null lead spans to remove."""
-    names = ["id", "h", "start", "stop", "lead", "piece"]
-
-    def settle(held: list[tuple]) -> pd.DataFrame:
-        rows = pd.DataFrame(held, columns=names)
-        least = rows.groupby("piece", sort=False)["id"].transform("min")
-        again = rows["id"] > least
-        spans = merged(rows.loc[again, names[:4]]).assign(lead=None, piece=None)
-        return pd.concat([rows[~again], spans], ignore_index=True)[names]
+    names = ["id", "h", "start", "stop"]
+
+    def settle(held: list[tuple]) -> Iterator[pd.DataFrame]:
+        *places, own = zip(*held, strict=True)
+        ids, hs, start, stop, seed = [np.concatenate(x) for x in places]
+        own = np.array([piece for part in own for piece in part], object)
+        group, values = pd.factorize(own)
+        least = np.full(len(values), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, ids)
+        again = ids > least[group]
+        group = values = least = None
+        spans = pd.DataFrame({"id": ids[again], "h": hs[again], "start": start[again], "stop": stop[again]})
+        if len(spans):
+            yield merged(spans).assign(lead=None, piece=None)
+        on = np.flatnonzero(~again)
+        for k in range(0, len(on), SENT):
+            at = on[k : k + SENT]
+            leads = [piece[p : p + SEED] for piece, p in zip(own[at], seed[at].tolist(), strict=True)]
+            out = pd.DataFrame(dict(zip(names, (ids[at], hs[at], start[at], stop[at]), strict=True)))
+            yield out.assign(lead=leads, piece=own[at])
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
+        held: list[tuple] = []  # arrays and the pieces of a chunk; the lead is cut from its piece when it is sent
+        n = 0
         for rows, raw in chunks(batches):
             seed, text, first, count, place = pieces(raw, length)
             if not len(seed):
@@ -224,15 +246,18 @@ def _candidates(texts: DataFrame, path: str, parts: int, length: int) -> DataFra
             some = np.flatnonzero(_may_repeat(seed, path, parts))
             whole = b"".join(raw)
             begin = np.cumsum([0, *map(len, raw)])[text[some]]
-            ids, hs = rows["id"].to_numpy()[text[some]].tolist(), rows["h"].to_numpy()[text[some]].tolist()
+            ids, hs = rows["id"].to_numpy()[text[some]], rows["h"].to_numpy()[text[some]]
             first, stop, place = first[some], first[some] + count[some] + length - 1, place[some]
-            own = zip(ids, hs, (first - begin).tolist(), (stop - begin).tolist(), first.tolist(), stop.tolist(), place.tolist(), strict=True)
-            held += [(i, h, a, b, whole[p : p + SEED], whole[x:y]) for i, h, a, b, x, y, p in own]
-            if len(held) >= HELD_PIECES:
-                yield settle(held)
-                held = []
-        if held:
-            yield settle(held)
+            own = [whole[x:y] for x, y in zip(first.tolist(), stop.tolist(), strict=True)]
+            held.append((ids, hs, first - begin, stop - begin, place - first, own))
+            n += len(own)
+            if n >= HELD_PIECES:
+                yield from settle(held)
+                held, n = [], 0
+        if n:
+            yield from settle(held)
+        rows = raw = held = own = whole = seed = text = first = count = place = some = begin = ids = hs = stop = None
+        give_back()
 
     return texts.mapInPandas(find, "id bigint, h bigint, start bigint, stop bigint, lead binary, piece binary")
 
@@ -293,12 +318,15 @@ def _sorted_buckets(found: DataFrame, buckets: int, length: int) -> DataFrame:
         held = [b for b in batches if len(b)]
         if held:
             rows = pd.concat(held, ignore_index=True)
+            held = None
             # by groups of whole leads, so that the suffixes of a part are bounded
             rows = rows.sort_values("lead", kind="stable", ignore_index=True)
             new = np.flatnonzero(rows["lead"].ne(rows["lead"].shift()).to_numpy())
-            cuts = [int(new[k]) for k in range(len(new)) if k == 0 or new[k] // 20_000 != new[k - 1] // 20_000]
+            cuts = [int(new[k]) for k in range(len(new)) if k == 0 or new[k] // SORTED != new[k - 1] // SORTED]
             for a, b in zip(cuts, [*cuts[1:], len(rows)], strict=True):
                 yield repeated(rows.iloc[a:b].reset_index(drop=True), length)
+        rows = new = None
+        give_back()
 
     dealt = found.repartitionByRange(buckets, "lead")
     return dealt.mapInPandas(compare, "id bigint, h bigint, start bigint, stop bigint")
@@ -387,6 +415,8 @@ def without_repeats(
         for texts, starts, stops in batches:
             out = [cut(t.encode("utf-8", "surrogatepass"), a, b) for t, a, b in zip(texts, starts, stops, strict=True)]
             yield pd.DataFrame(out, columns=["removed", "runs", "kept"])
+            texts = starts = stops = out = None
+        give_back()
 
     apply.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series, pd.Series]], "return": Iterator[pd.DataFrame]}
     made = F.pandas_udf(apply, "removed bigint, runs bigint, kept binary")("text", "starts", "stops")

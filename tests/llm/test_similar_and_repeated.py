@@ -1,10 +1,13 @@
 """The Jaccard join and the suffix deduplication against brute force."""
 
 import hashlib
+import os
 import random
+import sys
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -164,6 +167,43 @@ def test_repeats_in_awkward_rows(spark):
     assert suffixes.without_repeats(docs(spark, [])).count() == 0
 
 
+def test_repeats_when_little_is_held_at_once(spark, monkeypatch):
+    for name, n in (("CHUNK", 200), ("HELD_SEEDS", 50), ("HELD_PIECES", 30), ("SENT", 4), ("SORTED", 8)):
+        monkeypatch.setattr(suffixes, name, n)
+    rows = passages()
+    assert cut_rows(suffixes.without_repeats(docs(spark, rows).repartition(3))) == brute_repeats(rows)
+
+
+def test_texts_become_bytes_a_chunk_at_a_time(monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK", 100)
+    seen = []
+
+    class Text(str):
+        def encode(self, *how):
+            seen.append(str(self))
+            return str.encode(self, *how)
+
+    texts = [Text("é" * n) for n in (10, 20, 30, 0, 200, 5)]
+    parts, most = [], []
+    for rows, raw in suffixes.chunks(iter([pd.DataFrame({"id": range(6), "text": texts}), pd.DataFrame({"id": [], "text": []})])):
+        assert len(rows) == len(raw)
+        parts += zip(rows["id"], raw, strict=True)
+        most.append(len(seen))
+    assert parts == [(n, t.encode()) for n, t in enumerate(map(str, texts))]
+    assert most == [3, 5, 6]
+
+
+def test_tasks_give_back_what_they_took(spark, monkeypatch, tmp_path):
+    place = str(tmp_path)
+
+    def told():
+        open(os.path.join(place, sys._getframe(1).f_code.co_name), "w").close()
+
+    monkeypatch.setattr(suffixes, "give_back", told)
+    suffixes.without_repeats(docs(spark, passages())).collect()
+    assert set(os.listdir(place)) >= {"collect", "find", "compare", "apply"}
+
+
 @given(st.lists(st.binary(min_size=1, max_size=6), max_size=300), st.integers(2, 9))
 @settings(max_examples=60, deadline=None)
 def test_multikey_quicksort(keys, small):
