@@ -28,8 +28,8 @@ from punctual.llm.common import give_back, text_or_empty
 NONE = np.int64(2**31 - 1)
 #: Pieces up to so many bytes are merged together.
 SHORT = 64
-#: So many encoded pieces are remembered by a task.
-REMEMBERED = 500_000
+#: So many encoded pieces are remembered by a task, so many characters are cut to pieces and bytes are merged at once.
+REMEMBERED, CUT, MERGED = 200_000, 500_000, 1 << 18
 
 # Fixed value: the White_Space property, which \s stands for in the pattern of the tokenizer.
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -229,8 +229,9 @@ class Codec:
             else:
                 groups.setdefault(max(2, 1 << (len(raw) - 1).bit_length()), []).append(piece)
         for leaves, group in groups.items():
-            for k in range(0, len(group), 20_000):
-                part = group[k : k + 20_000]
+            step = MERGED // leaves
+            for k in range(0, len(group), step):
+                part = group[k : k + step]
                 for piece, ids in zip(part, merge_short([p.encode() for p in part], leaves, self.words), strict=True):
                     self.known[piece] = " ".join([names[i] for i in ids])
 
@@ -239,7 +240,7 @@ class Codec:
         start = 0
         while start < len(texts):
             cut, size = [], 0
-            while start + len(cut) < len(texts) and (not cut or size < 2_000_000):
+            while start + len(cut) < len(texts) and (not cut or size < CUT):
                 size += len(texts[start + len(cut)])
                 cut.append(self.pieces(texts[start + len(cut)]))
             start += len(cut)

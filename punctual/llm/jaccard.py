@@ -215,9 +215,15 @@ def _labels(
     found = texts.join(broadcast_if_small(known, members.count()), "key", "left_semi")
     rows = tasks.join(found, "key").select("task", "node", "copies", "left", "right", "text")
     limit = Fraction(str(threshold))
-    compared = rows.groupBy("task").applyInPandas(
-        lambda group: _compare(group, words, limit), "node bigint, links bigint, root bigint"
-    )
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        out, large = _compare(group, words, limit), len(group) >= BLOCK // 2
+        group = None
+        if large:
+            give_back()
+        return out
+
+    compared = rows.groupBy("task").applyInPandas(compare, "node bigint, links bigint, root bigint")
     compared = written(compared, "links")
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(compared.select(F.col("node").alias("a"), F.col("root").alias("b")), "classes")

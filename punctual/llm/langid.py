@@ -167,7 +167,10 @@ def fit(
 
     def held(group: pd.DataFrame) -> pd.DataFrame:
         rows = np.stack(group["v"].to_list())
-        return pd.DataFrame({"lang": [group["lang"].iloc[0]], "n": [len(rows)], "df": [(rows > 0).sum(axis=0)]})
+        out = pd.DataFrame({"lang": [group["lang"].iloc[0]], "n": [len(rows)], "df": [(rows > 0).sum(axis=0)]})
+        rows = group = None
+        give_back()
+        return out
 
     seen = written(counted.groupBy("lang").applyInPandas(held, "lang string, n bigint, df array<bigint>"), "language_counts")
     texts = seen.agg(F.sum("n").alias("n"), F.count("*").alias("languages")).first()
@@ -184,8 +187,10 @@ def fit(
         centres = clustered(vectors, k)
         near, long = (vectors @ centres.T).max(axis=1), length_class(rows.sum(axis=1))
         floor = floors(near, long)
-        lang = group["lang"].iloc[0]
-        return pd.DataFrame({"lang": lang, "centre": list(centres), "floor": [floor] * len(centres)})
+        out = pd.DataFrame({"lang": group["lang"].iloc[0], "centre": list(centres), "floor": [floor] * len(centres)})
+        rows = vectors = near = group = None
+        give_back()
+        return out
 
     made = counted.groupBy("lang").applyInPandas(cluster, "lang string, centre array<float>, floor array<double>")
     if texts["languages"] <= AT_ONCE:

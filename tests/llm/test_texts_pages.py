@@ -54,6 +54,21 @@ def test_short_and_long_pieces_merge_alike():
     assert bpe.merge_short(pieces, 16, CODEC.words) == [bpe.merge_long(p, CODEC.words) for p in pieces]
 
 
+def test_merges_and_cuts_are_bounded_at_once(monkeypatch):
+    sizes, cuts = [], []
+    merge, own = bpe.merge_short, bpe.Codec(RANKS, public.PATTERN)
+    monkeypatch.setattr(bpe, "merge_short", lambda pieces, leaves, words: sizes.append(len(pieces) * leaves) or merge(pieces, leaves, words))
+    texts = [" ".join(f"{k:x}" * 9 for k in range(n, n + 2_000)) for n in range(5_000, 45_000, 2_000)]
+    cut = own.pieces
+    own.pieces = lambda text: cuts.append(len(text)) or cut(text)
+    coded = own.encode(texts)
+    first = next(coded)
+    assert sum(cuts) <= 500_000 + max(map(len, texts)) < sum(map(len, texts))
+    assert own.decode(first).decode() == texts[0]
+    assert [own.decode(ids).decode() for ids in coded] == texts[1:]
+    assert max(sizes) <= 1 << 18
+
+
 def test_coded_rows(spark):
     rows = awkward()
     got = Counter(tuple(r) for r in bpe.coded(docs(spark, rows), RANKS, public.PATTERN).collect())
