@@ -36,6 +36,15 @@ from punctual.streaming.orders import (
 from punctual.streaming.requests import refresh_merged, score_stream, serve_stream
 
 
+#: Rows of a file in an inbox. A file is often one row group, which one task reads, however many rows it has.
+FILE_ROWS = 100_000
+
+
+def arrive(lot: DataFrame, inbox: str) -> None:
+    """Add a lot to an inbox, in files that all tasks of its batch can share."""
+    lot.write.option("maxRecordsPerFile", FILE_ROWS).mode("append").parquet(inbox)
+
+
 def event_files(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream, be it one file or a folder of files."""
     events_table = table(spark, sf, "events")
@@ -106,7 +115,7 @@ def stream_late_rows(spark: SparkSession, sf: str) -> DataFrame:
     out, inbox = shared_path(spark, "late-bias"), shared_path(spark, "inbox")
     rows = events(spark, sf)
     for lot in (rows.filter("event_type <> 'error'"), rows.filter("event_type = 'error'")):
-        lot.write.mode("append").parquet(inbox)
+        arrive(lot, inbox)
         arriving = event_time(file_stream(spark, inbox, rows.schema), "ts")
         drain(bias_by_window(arriving, "ts", "pred", "value"), out)
     return _windows(spark, out, event_time(rows, "ts"))
@@ -206,7 +215,7 @@ def stream_scored_by_rules(spark: SparkSession, sf: str) -> DataFrame:
     store = user_store(train).withColumn("restaurant_id", F.col("user_id").cast("string"))
     publish(store.select("restaurant_id", "event_type", "k", "computed_at", "distance_unit"), root)
     bodies = request_bodies(spark, sf).select("body")
-    bodies.write.parquet(inbox)
+    arrive(bodies, inbox)
     arriving = file_stream(spark, inbox, bodies.schema)
     score_stream(
         arriving, root, lambda rows: rows.withColumn("pred", rules_minutes()), out, defaults=SCORED_DEFAULTS
@@ -234,7 +243,7 @@ def _served(spark: SparkSession, sf: str) -> str:
         return train
 
     def answer(lot: DataFrame) -> None:
-        lot.select("body").write.mode("append").parquet(inbox)
+        arrive(lot.select("body"), inbox)
         serve_stream(file_stream(spark, inbox, "body string"), pairs, out, defaults=SERVED_DEFAULTS).awaitTermination()
 
     early, late = time_split(request_bodies(spark, sf), "ts", HOLDOUT_DAYS)
@@ -335,7 +344,7 @@ def stream_refreshed_store(spark: SparkSession, sf: str) -> DataFrame:
     rows = events(spark, sf)
     early, late = time_split(rows, "ts", HOLDOUT_DAYS)
     for lot in (early, late):
-        lot.write.mode("append").parquet(inbox)
+        arrive(lot, inbox)
         arrivals = file_stream(spark, inbox, rows.schema)
         refresh_merged(arrivals, USER_STORE, root, progress, computed_at=F.lit(STAMP), trigger={"availableNow": True}).awaitTermination()
     latest = read_version(spark, root)

@@ -11,6 +11,7 @@ from pyspark.ml.feature import SQLTransformer
 
 from punctual.operators.store import build_store
 from punctual.operators.store_state import StoreSpec, StoreState, finished, merged, state_of
+from punctual.plans.catalogue import streams
 from punctual.session import shared_path
 from punctual.sources.releases import pinned_stores, publish_model, read_model, release, released
 from punctual.sources.versions import expire, latest_version, let_out, live_version, publish, read_version, version_folders, withdraw
@@ -504,3 +505,14 @@ def test_a_bucket_of_orders_takes_few_calls_of_its_state():
     calls.clear()
     steps = [Row(_bucket=0, at=None, order_id=i, kind="delivered", at_ms=60_000 * (i + 5)) for i in range(1000)]
     assert [r["actual_minutes"] for r in orders.handleInputRows((0,), iter(steps), None)] == [5.0] * 1000 and len(calls) <= 5
+
+
+def test_a_lot_of_one_task_is_read_by_several(spark, tmp_path, monkeypatch):
+    inbox = str(tmp_path / "inbox")
+    monkeypatch.setattr(streams, "FILE_ROWS", 100)
+    streams.arrive(spark.range(1000, numPartitions=1), inbox)
+    streams.arrive(spark.range(1000, 1050, numPartitions=1), inbox)
+    rows = spark.read.parquet(inbox)
+    assert sorted(r["id"] for r in rows.collect()) == list(range(1050))
+    sizes = rows.groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in sizes) == [50] + [100] * 10
